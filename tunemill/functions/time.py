@@ -53,5 +53,9 @@ def week_of_year(ts: Column) -> Column:
 
 
 def time_bucket(ts: Column, unit: str) -> Column:
-    """Coarse time bucket; splits the rows of one busy user into many small groups."""
-    return F.date_trunc(unit, ts)
+    """Coarse time bucket; splits the rows of one busy user into many small groups.
+
+    Rows without a time fall into a bucket before all others, where a sort puts
+    them too. The bucket is never NULL, so it can be joined on by equality.
+    """
+    return F.coalesce(F.date_trunc(unit, ts), F.expr("TIMESTAMP '0001-01-01 00:00:00'"))

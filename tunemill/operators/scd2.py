@@ -33,10 +33,14 @@ def distinct_user_states(events: DataFrame) -> DataFrame:
 
 
 def _with_carry(rows: DataFrame, carry: DataFrame, key: tuple[str, ...], name: str) -> DataFrame:
-    """Attach the one ``carry`` row of each bucket; NULL keys match too."""
+    """Attach the one ``carry`` row of each bucket. Staging leaves no NULL in the key.
+
+    The equality on the plain columns partitions the rows as the windows after
+    it need them.
+    """
     right = carry.select(name, *[F.col(c).alias(f"_key_{c}") for c in key])
-    on = [F.col(c).eqNullSafe(F.col(f"_key_{c}")) for c in key]
-    return rows.join(right, reduce(and_, on)).drop(*[f"_key_{c}" for c in key])
+    on = [F.col(c) == F.col(f"_key_{c}") for c in key]
+    return rows.join(right, reduce(and_, on), "left").drop(*[f"_key_{c}" for c in key])
 
 
 def level_change_flag(states: DataFrame, bucket: str = "hour") -> DataFrame:

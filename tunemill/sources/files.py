@@ -15,8 +15,11 @@ from tunemill.sources.seeds import STATE_NAMES
 
 
 def csv_scan(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """CSV with a header line. Without a schema the column types are inferred."""
-    reader = spark.read.option("header", True)
+    """CSV with a header line. Without a schema the column types are inferred.
+
+    A quote inside a quoted value is written twice, as most tools write it.
+    """
+    reader = spark.read.option("header", True).option("escape", '"')
     # FAILFAST: a row that does not fit must not turn into NULLs unseen.
     reader = reader.schema(schema).option("mode", "FAILFAST") if schema is not None \
         else reader.option("inferSchema", True)

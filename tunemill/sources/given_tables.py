@@ -7,7 +7,11 @@ stand for the source tables, ``{raw_events}`` for the view of that name.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tunemill import schemas
+from tunemill.functions.text import escape_text
 
 SONGS_SQL = """
 SELECT CONCAT('S', CAST(p_partkey AS STRING)) AS song_id,
@@ -81,6 +85,28 @@ SELECT ts, level, city, state, userAgent, lon, lat, userId, lastName, firstName,
 FROM {raw_events} WHERE event_type IN ('signup', 'error')
 """
 
+# Event types that make up each topic.
+TOPIC_EVENTS = {
+    schemas.LISTEN: ("view",),
+    schemas.PAGE_VIEW: ("click", "purchase"),
+    schemas.AUTH: ("signup", "error"),
+}
+
+
+def _wire_value(name: str) -> Column:
+    """A message field out of the raw events; those have no session and no zip code."""
+    if name == "ts":
+        return F.unix_millis("ts")
+    if name.lower() == "sessionid":
+        return F.col("userId").cast("int")
+    if name == "itemInSession":
+        return (F.col("event_id") % 100).cast("int")
+    if name == "zip":
+        return (F.col("userId") % 1000 + 10000).cast("int")
+    if name in ("song", "artist"):
+        return escape_text(name)
+    return F.col(name)
+
 
 class GivenTables:
     """The derived inputs over one folder of source tables, all lazy."""
@@ -111,3 +137,16 @@ class GivenTables:
 
     def auth_raw(self, events: DataFrame | None = None) -> DataFrame:
         return self.spark.sql(AUTH_RAW_SQL, raw_events=self.raw_events(events))
+
+    def event_stream(self) -> DataFrame:
+        """The event table as a file stream."""
+        return (self.spark.readStream.schema(self.table("events").schema)
+                .option("pathGlobFilter", "events.parquet").parquet(self.sf_dir))
+
+    def envelope(self, topic: str, events: DataFrame | None = None) -> DataFrame:
+        """Messages of ``topic`` as a broker would hand them out: ``topic`` and binary ``value``."""
+        raw = self.raw_events(events).where(F.col("event_type").isin(*TOPIC_EVENTS[topic]))
+        message = raw.select(*[_wire_value(f.name).alias(f.name)
+                               for f in schemas.WIRE[topic].fields])
+        return message.select(F.lit(topic).alias("topic"),
+                             F.to_json(F.struct(*message.columns)).cast("binary").alias("value"))
