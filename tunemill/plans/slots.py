@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tunemill import schemas
-from tunemill.functions.time import five_minute_interval
 from tunemill.functions.time import slot_for as slot_column
 from tunemill.operators.staging import stage
 from tunemill.sources.files import lake_slice

@@ -15,6 +15,20 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
 
+_STORED: dict[tuple[str, str, str], object] = {}
+
+
+def stored_once(g: GivenTables, name: str, build: Callable[[], object]) -> object:
+    """What ``build`` stored, built once per application and table folder.
+
+    Several queries read the same lake, staging table or star; it is written by
+    the first of them.
+    """
+    key = (g.spark.sparkContext.applicationId, g.sf_dir, name)
+    if key not in _STORED:
+        _STORED[key] = build()
+    return _STORED[key]
+
 
 def with_ctes(sql: str) -> str:
     """Put the common table expressions that ``sql`` names in front of it."""

@@ -7,8 +7,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tunemill.operators import dims, facts, scd2, staging
-from tunemill.plans.star import build_star
-from tunemill.registry.base import query
+from tunemill.plans.star import Star, build_star
+from tunemill.registry.base import query, stored_once
 from tunemill.session import scratch_path, written
 from tunemill.sources.given_tables import GivenTables
 
@@ -254,24 +254,34 @@ def _(g):
     return facts.join_datetime(plays, hours).select("userId", "ts", "dateKey")
 
 
-def _star(g: GivenTables):
-    # The staged events feed four tables, so they are stored first.
+def star_of(g: GivenTables) -> Star:
+    def build() -> Star:
+        # The staged events feed four tables, so they are stored first.
+        events = written(staged(g), "staged")
+        return build_star(g.spark, events, g.songs(), g.state_codes(),
+                          scratch_path(g.spark, "star"))
+
+    return stored_once(g, "star", build)
+
+
+def fact_tables(g: GivenTables) -> tuple[DataFrame, ...]:
+    """Stored events and user history, and the small dimensions as plans."""
     events = written(staged(g), "staged")
-    return build_star(g.spark, events, g.songs(), g.state_codes(), scratch_path(g.spark, "star"))
+    return (events, written(dims.dim_users(events), "dim_users"), dims.dim_artists(g.songs()),
+            dims.dim_songs(g.songs()), dims.dim_location(events, g.state_codes()),
+            dims.dim_datetime_of(events))
 
 
 @query("fact_streams", "SELECT * FROM fact_streams")
-def fact_query(g):
-    events = written(staged(g), "staged")
-    return facts.fact_streams(
-        events, written(dims.dim_users(events), "dim_users"), dims.dim_artists(g.songs()),
-        dims.dim_songs(g.songs()), dims.dim_location(events, g.state_codes()),
-        dims.dim_datetime_of(events))
+def _(g):
+    return facts.fact_streams(*fact_tables(g))
 
 
 @query("wide_streams", "SELECT * FROM wide_streams")
-def wide_query(g):
-    return _star(g).wide
+def _(g):
+    events, *dimensions = fact_tables(g)
+    fact = written(facts.fact_streams(events, *dimensions), "fact")
+    return facts.wide_streams(fact, *dimensions)
 
 
 @query("wide_projection", """
@@ -280,7 +290,7 @@ SELECT userId, level, count(*) AS plays, count(DISTINCT songKey) AS songs,
 FROM wide_streams GROUP BY userId, level""")
 def _(g):
     """Listening summary over the wide view, by its column names."""
-    return _star(g).wide.groupBy("userId", "level").agg(
+    return star_of(g).wide.groupBy("userId", "level").agg(
         F.count(F.lit(1)).alias("plays"), F.count_distinct("songKey").alias("songs"),
         F.min("timestamp").alias("first_play"), F.max("timestamp").alias("last_play"))
 
@@ -294,7 +304,7 @@ UNION ALL SELECT 'dim_datetime', count(*) FROM dim_datetime
 UNION ALL SELECT 'fact_streams', count(*) FROM fact_streams
 UNION ALL SELECT 'wide_streams', count(*) FROM wide_streams""")
 def _(g):
-    star = _star(g)
+    star = star_of(g)
     tables = {"dim_users": star.users, "dim_artists": star.artists, "dim_songs": star.songs,
               "dim_location": star.location, "dim_datetime": star.datetime,
               "fact_streams": star.fact, "wide_streams": star.wide}

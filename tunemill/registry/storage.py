@@ -12,28 +12,44 @@ from tunemill.operators import dims, staging
 from tunemill.operators import sequences as seq
 from tunemill.plans import slots
 from tunemill.plans.songs import load_songs
-from tunemill.registry.base import query
-from tunemill.registry.star import fact_query, staged
-from tunemill.session import scratch_path
+from tunemill.functions.time import five_minute_interval
+from tunemill.registry.base import query, stored_once
+from tunemill.registry.star import staged, star_of
+from tunemill.session import scratch_path, written
 from tunemill.sources import files, kafka, tables
 from tunemill.sources.given_tables import GivenTables
 from tunemill.streaming.ingest import flatten, ingest, parse_json, payload
+from tunemill.streaming.jobs import finish
+from tunemill.streaming.sinks import lake_sink
 
 
-def write_lake(g: GivenTables, topics=schemas.TOPICS) -> str:
-    """The given events of the topics as lake folders, as the ingest job lands them."""
-    base = scratch_path(g.spark, "lake")
-    for topic in topics:
-        rows = ingest(g.envelope(topic), topic)
-        (rows.hint("rebalance", *schemas.LAKE_PARTS).write
-             .partitionBy(*schemas.LAKE_PARTS).parquet(f"{base}/{topic}"))
-    return base
+def listen_lake(g: GivenTables) -> str:
+    """The lake folder of the listen events, landed by the ingest stream."""
+    def build() -> str:
+        path = scratch_path(g.spark, "lake")
+        rows = ingest(g.envelope(schemas.LISTEN, g.event_stream()), schemas.LISTEN)
+        finish([lake_sink(rows, f"{path}/{schemas.LISTEN}", f"{path}/checkpoint",
+                          "available").start()])
+        return path
+
+    return stored_once(g, "lake", build)
+
+
+def listen_staging(g: GivenTables) -> str:
+    """The staging table of the listen events: made empty, then appended to."""
+    def build() -> str:
+        path = scratch_path(g.spark, "staging")
+        tables.ensure_table(g.spark, path, schemas.LISTEN)
+        tables.append_staging(staged(g), path, schemas.LISTEN)
+        return path
+
+    return stored_once(g, "staging", build)
 
 
 def last_slot(g: GivenTables) -> datetime:
     """Slot of the newest listen event: one value to the driver, as a scheduler passes it."""
-    text = g.listen_raw().agg(F.date_format(F.max("ts"), "yyyy-MM-dd HH:mm")).first()[0]
-    return datetime.strptime(text, "%Y-%m-%d %H:%M")
+    text = g.listen_raw().agg(five_minute_interval(F.max("ts"))).first()[0]
+    return datetime.strptime(text, "%Y-%m-%d %H-%M")
 
 
 LAST_SLOT = "(SELECT time_bucket(INTERVAL '5 minutes', MAX(ts)) FROM listen_raw)"
@@ -165,8 +181,8 @@ FROM raw_events WHERE event_type = 'view' AND {IN_LAST_SLOT}"""
 
 @query("lake_slice", _SLICE)
 def _(g):
-    base = write_lake(g, (schemas.LISTEN,))
-    rows = files.lake_slice(g.spark, f"{base}/{schemas.LISTEN}", schemas.LISTEN, last_slot(g))
+    rows = files.lake_slice(g.spark, f"{listen_lake(g)}/{schemas.LISTEN}", schemas.LISTEN,
+                            last_slot(g))
     return rows.select("artist", "song", "userId", "level", "ts")
 
 
@@ -174,49 +190,38 @@ def _(g):
 SELECT CAST(day(ts) AS INT) AS day, CAST(hour(ts) AS INT) AS hour, count(*) AS n
 FROM listen_raw GROUP BY ALL""")
 def _(g):
-    base = write_lake(g, (schemas.LISTEN,))
-    rows = files.lake_scan(g.spark, f"{base}/{schemas.LISTEN}", schemas.LISTEN)
+    rows = files.lake_scan(g.spark, f"{listen_lake(g)}/{schemas.LISTEN}", schemas.LISTEN)
     return rows.groupBy("day", "hour").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("compact_slots", """
-SELECT strftime(time_bucket(INTERVAL '5 minutes', ts), '%Y-%m-%d %H-%M') AS slot, count(*) AS n
-FROM listen_raw GROUP BY ALL""")
+@query("lake_sink", """
+SELECT strftime(time_bucket(INTERVAL '5 minutes', ts), '%Y-%m-%d %H-%M') AS slot, count(*) AS n,
+  count(DISTINCT userId) AS users FROM listen_raw GROUP BY ALL""")
 def _(g):
-    base = write_lake(g, (schemas.LISTEN,))
-    out = scratch_path(g.spark, "compacted")
-    tables.compact_slots(g.spark, f"{base}/{schemas.LISTEN}", out, schemas.LISTEN)
-    rows = files.lake_scan(g.spark, out, schemas.LISTEN)
+    rows = files.lake_scan(g.spark, f"{listen_lake(g)}/{schemas.LISTEN}", schemas.LISTEN)
     return rows.groupBy(F.col("five_minute_interval").alias("slot")).agg(
-        F.count(F.lit(1)).alias("n"))
+        F.count(F.lit(1)).alias("n"), F.count_distinct("userId").alias("users"))
 
 
-@query("ensure_table", "SELECT * FROM stg_listen")
+@query("append_staging", "SELECT * FROM stg_listen")
 def _(g):
-    """A table made empty and made again after a load, which must keep its rows."""
-    path = scratch_path(g.spark, "staging")
-    tables.ensure_table(g.spark, path, schemas.LISTEN)
-    tables.append_staging(staged(g), path, schemas.LISTEN)
-    tables.ensure_table(g.spark, path, schemas.LISTEN)
-    return files.staging_scan(g.spark, path, schemas.LISTEN)
+    return files.staging_scan(g.spark, listen_staging(g), schemas.LISTEN)
 
 
-@query("append_staging", """
-SELECT * FROM stg_listen UNION ALL SELECT * FROM stg_listen""")
+@query("ensure_table", "SELECT * FROM stg_listen")
 def _(g):
-    """A plain append that runs twice keeps both copies."""
-    path = scratch_path(g.spark, "staging")
-    for _run in range(2):
-        tables.append_staging(staged(g), path, schemas.LISTEN)
+    """Making a table that is there already keeps its rows."""
+    path = listen_staging(g)
+    tables.ensure_table(g.spark, path, schemas.LISTEN)
     return files.staging_scan(g.spark, path, schemas.LISTEN)
 
 
 @query("replace_slot", "SELECT * FROM stg_listen")
 def _(g):
-    """A load that runs twice in the other mode leaves one copy."""
-    path = scratch_path(g.spark, "staging")
-    for _run in range(2):
-        tables.append_staging(staged(g), path, schemas.LISTEN, "replace_slot")
+    """Loading a slot again in this mode leaves the table as it was."""
+    path = listen_staging(g)
+    again = files.staging_scan(g.spark, path, schemas.LISTEN, start=last_slot(g))
+    tables.append_staging(written(again, "slot"), path, schemas.LISTEN, "replace_slot")
     return files.staging_scan(g.spark, path, schemas.LISTEN)
 
 
@@ -224,9 +229,7 @@ def _(g):
 SELECT * FROM stg_listen WHERE ts >= (SELECT date_trunc('day', MAX(ts)) FROM stg_listen)""")
 def _(g):
     """The last day of the staging table, read by its hour partitions."""
-    path = scratch_path(g.spark, "staging")
-    tables.append_staging(staged(g), path, schemas.LISTEN)
-    return files.staging_scan(g.spark, path, schemas.LISTEN,
+    return files.staging_scan(g.spark, listen_staging(g), schemas.LISTEN,
                               start=last_slot(g).replace(hour=0, minute=0))
 
 
@@ -245,9 +248,9 @@ def _(g):
 @query("materialize", """
 SELECT strftime(ts, '%Y-%m-%d %H') AS ts_hour, count(*) AS n FROM fact_streams GROUP BY ALL""")
 def _(g):
-    path = scratch_path(g.spark, "fact")
-    tables.materialize(fact_query(g), path, "ts")
-    return g.spark.read.parquet(path).groupBy(F.col("ts_hour").cast("string")).agg(
+    """Rows per hour partition of the stored fact table."""
+    fact = star_of(g).fact
+    return fact.groupBy(tables.ts_hour(F.col("ts")).alias("ts_hour")).agg(
         F.count(F.lit(1)).alias("n"))
 
 
@@ -266,32 +269,15 @@ def _(g):
 
 
 @query("load_slot", f"""
-SELECT 'listen_events' AS topic, userId, date_trunc('millisecond', ts) AS ts, level
-FROM stg_listen WHERE {IN_LAST_SLOT}
-UNION ALL SELECT 'page_view_events', userId, date_trunc('millisecond', ts), level
-FROM stg_page WHERE {IN_LAST_SLOT}
-UNION ALL SELECT 'auth_events', userId, date_trunc('millisecond', ts), level
-FROM stg_auth WHERE {IN_LAST_SLOT}""")
+SELECT userId, trim(artist, chr(34)) AS artist, song, date_trunc('millisecond', ts) AS ts, level
+FROM stg_listen WHERE {IN_LAST_SLOT}""")
 def _(g):
-    """One slot of every topic from lake to staging, loaded twice to the same end."""
-    lake, base = write_lake(g), scratch_path(g.spark, "staging")
+    """One slot from lake to staging, loaded twice to the same end."""
+    base = scratch_path(g.spark, "staging")
     for _run in range(2):
-        slots.load_slot(g.spark, lake, base, last_slot(g))
-    parts = [files.staging_scan(g.spark, f"{base}/{t}", t).select(
-        F.lit(t).alias("topic"), "userId", "ts", "level") for t in schemas.TOPICS]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
-
-
-@query("load_range", """
-SELECT date_trunc('millisecond', ts) AS ts, userId, trim(artist, chr(34)) AS artist, song, duration
-FROM stg_listen""")
-def _(g):
-    """All slots in one job."""
-    lake, base = write_lake(g, (schemas.LISTEN,)), scratch_path(g.spark, "staging")
-    rows = files.lake_scan(g.spark, f"{lake}/{schemas.LISTEN}", schemas.LISTEN)
-    slots.load_range(rows, base, schemas.LISTEN)
+        slots.load_slot(g.spark, listen_lake(g), base, last_slot(g), (schemas.LISTEN,))
     return files.staging_scan(g.spark, f"{base}/{schemas.LISTEN}", schemas.LISTEN).select(
-        "ts", "userId", "artist", "song", "duration")
+        "userId", "artist", "song", "ts", "level")
 
 
 @query("missing_slots", """
@@ -300,7 +286,7 @@ SELECT DISTINCT strftime(time_bucket(INTERVAL '5 minutes', ts - INTERVAL 5 MINUT
 EXCEPT SELECT slot FROM slots""")
 def _(g):
     """Slots that loads at the time of every event would read and that have no listen rows."""
-    loaded = staged(g).select(slots.five_minute_interval(F.col("ts")).alias("slot"))
+    loaded = staged(g).select(five_minute_interval(F.col("ts")).alias("slot"))
     return slots.missing_slots(g.raw_events(), loaded)
 
 

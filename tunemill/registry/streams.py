@@ -11,7 +11,6 @@ from tunemill.operators import staging
 from tunemill.registry.base import query
 from tunemill.registry.star import staged
 from tunemill.session import scratch_path
-from tunemill.sources import files
 from tunemill.streaming import jobs, sinks
 from tunemill.streaming.ingest import ingest
 
@@ -98,36 +97,7 @@ def _(g):
     once = _auth_stream(g)
     twice = once.unionByName(_auth_stream(g))
     log = _run(g, staging.drop_duplicate_events_stream(twice), "append")
-    return log.select("userId", "ts", "level")
-
-
-@query("lake_sink", """
-SELECT strftime(time_bucket(INTERVAL '5 minutes', ts), '%Y-%m-%d %H-%M') AS slot, count(*) AS n,
-  count(DISTINCT userId) AS users FROM listen_raw GROUP BY ALL""")
-def _(g):
-    path = scratch_path(g.spark, "lake")
-    writer = sinks.lake_sink(_listen_stream(g), f"{path}/{schemas.LISTEN}",
-                             f"{path}/checkpoint", "available")
-    jobs.finish([writer.start()])
-    rows = files.lake_scan(g.spark, f"{path}/{schemas.LISTEN}", schemas.LISTEN)
-    return rows.groupBy(F.col("five_minute_interval").alias("slot")).agg(
-        F.count(F.lit(1)).alias("n"), F.count_distinct("userId").alias("users"))
-
-
-@query("ingest_all_topics", """
-SELECT 'listen_events' AS topic, userId, date_trunc('millisecond', ts) AS ts FROM listen_raw
-UNION ALL SELECT 'page_view_events', userId, date_trunc('millisecond', ts) FROM page_raw
-UNION ALL SELECT 'auth_events', userId, date_trunc('millisecond', ts) FROM auth_raw""")
-def _(g):
-    """Three streams at once from messages to the lake."""
-    base = scratch_path(g.spark, "lake")
-    sources = {t: g.envelope(t, g.event_stream()) for t in schemas.TOPICS}
-    writers = jobs.ingest_all_topics(sources, base, "available")
-    jobs.finish(jobs.run_ingest(g.spark, writers, wait=False))
-    parts = [files.lake_scan(g.spark, f"{base}/{t}", t).select(
-        F.lit(t).alias("topic"), F.col("userId").cast("bigint").alias("userId"), "ts")
-        for t in schemas.TOPICS]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return log.select(F.col("userId").cast("bigint"), "ts", "level")
 
 
 @query("realtime_aggregates", f"""
