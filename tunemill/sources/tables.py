@@ -51,7 +51,7 @@ def materialize(df: DataFrame, path: str, hour_of: str | None = None) -> None:
 
 def read_table(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
     """Read a materialized table back with the columns of ``like``, without inference."""
-    return spark.read.schema(like.schema).parquet(path)
+    return spark.read.schema(like.schema).parquet(path).select(*like.columns)
 
 
 def register_view(df: DataFrame, name: str) -> None:
