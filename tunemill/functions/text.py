@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -16,27 +18,45 @@ _SIMPLE = {
     "\\v": "\v", "\\\\": "\\", "\\'": "'", '\\"': '"', "\\\n": "",
 }
 
-# Escapes that cannot be decoded to one byte: cut-off or named ones, a lone
-# backslash, octal above 377 and code points above 00FF.
-_BAD_TOKEN = (r"(?s)\A(?:\\|\\[xuUN]|\\[4-7][0-7]{2}|\\u(?!00)....|\\U(?!000000)........)\z")
 _NOT_LATIN1 = r"[^\u0000-\u00FF]"
+_NOT_ASCII = r"[^\u0000-\u007F]"
+# Stands for an escape that is no single byte. It is not Latin-1 itself, so one
+# check of the joined text finds it.
+_BROKEN = "\uFFFF"
+
+
+def _bind(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of ``value``, which is computed once however often ``body`` uses it."""
+    return F.transform(F.array(value), body)[0]
 
 
-def _code_point(digits: Column, base: int) -> Column:
-    return F.chr(F.conv(digits, base, 10).cast("int"))
+def _byte(digits: Column, base: int) -> Column:
+    """The character of a byte value, or the mark of a broken escape above 255."""
+    code = F.conv(digits, base, 10).cast("bigint")
+    return _bind(code, lambda n: F.when(n < 256, F.chr(n)).otherwise(_BROKEN))
 
 
 def _decode_token(token: Column) -> Column:
+    kind = F.substring(token, 2, 1)
     value = (
         F.when(~token.startswith("\\"), token)
-        .when(token.rlike(r"^\\[0-7]"), _code_point(F.substr(token, F.lit(2)), 8))
-        .when(token.rlike(r"^\\[xuU]."), _code_point(F.substr(token, F.lit(3)), 16))
+        .when(kind.between("0", "7"), _byte(F.substr(token, F.lit(2)), 8))
+        .when(kind.isin("x", "u", "U") & (F.length(token) > 2),
+              _byte(F.substr(token, F.lit(3)), 16))
+        # Cut off, named, or a backslash at the very end.
+        .when(kind.isin("x", "u", "U", "N", ""), _BROKEN)
     )
     for escape, char in _SIMPLE.items():
         value = value.when(token == escape, F.lit(char))
     return value.otherwise(token)
 
 
+def _from_bytes(chars: Column) -> Column:
+    """Characters up to U+00FF taken as bytes of UTF-8 text; NULL when they are not."""
+    text = F.try_validate_utf8(F.encode(chars, "ISO-8859-1").cast("string"))
+    return F.when(~chars.rlike(_NOT_LATIN1), F.trim(text, F.lit('"')))
+
+
 def decode_text(col: Column | str) -> Column:
     """Undo backslash escapes, read the bytes as UTF-8, strip outer double quotes.
 
@@ -46,30 +66,30 @@ def decode_text(col: Column | str) -> Column:
     """
     c = F.col(col) if isinstance(col, str) else col
     tokens = F.regexp_extract_all(c, F.lit(_TOKEN), F.lit(0))
-    broken = F.exists(tokens, lambda t: t.rlike(_BAD_TOKEN))
     chars = F.array_join(F.transform(tokens, _decode_token), "")
-    as_utf8 = F.try_validate_utf8(F.encode(chars, "ISO-8859-1").cast("string"))
-    decoded = F.when(broken, F.lit(None)).otherwise(F.trim(as_utf8, F.lit('"')))
     return (
-        F.when(c.rlike(_NOT_LATIN1), c)
         # Plain ASCII without escapes, nearly every value, needs no tokens.
-        .when(~c.contains("\\") & ~c.rlike(r"[^\u0000-\u007F]"), F.trim(c, F.lit('"')))
-        .otherwise(F.coalesce(decoded, c))
+        F.when(~c.contains("\\") & ~c.rlike(_NOT_ASCII), F.trim(c, F.lit('"')))
+        .when(c.rlike(_NOT_LATIN1), c)
+        .otherwise(F.coalesce(_bind(chars, _from_bytes), c))
     )
 
 
+def _escape_run(run: Column) -> Column:
+    pairs = F.regexp_extract_all(F.hex(F.encode(run, "UTF-8")), F.lit(".."), F.lit(0))
+    octal = F.transform(pairs, lambda p: F.concat(F.lit("\\"), F.lpad(F.conv(p, 16, 8), 3, "0")))
+    return (F.when(run.startswith("\\"), F.concat(run, run))
+            .when(run.rlike(_NOT_ASCII), F.array_join(octal, ""))
+            .otherwise(run))
+
+
 def escape_text(col: Column | str) -> Column:
     """Inverse of :func:`decode_text`: UTF-8 bytes above 7F as octal, backslash doubled."""
     c = F.col(col) if isinstance(col, str) else col
-    pairs = F.regexp_extract_all(F.hex(F.encode(c, "UTF-8")), F.lit("[0-9A-F]{2}"), F.lit(0))
-
-    def one(pair: Column) -> Column:
-        code = F.conv(pair, 16, 10).cast("int")
-        return (F.when(pair == "5C", F.lit("\\\\"))
-                .when(code >= 128, F.concat(F.lit("\\"), F.lpad(F.conv(pair, 16, 8), 3, "0")))
-                .otherwise(F.chr(code)))
-
-    return F.array_join(F.transform(pairs, one), "")
+    runs = F.regexp_extract_all(
+        c, F.lit(r"\\+|[\u0000-\u007F&&[^\\]]+|[^\u0000-\u007F]+"), F.lit(0))
+    plain = ~c.contains("\\") & ~c.rlike(_NOT_ASCII)
+    return F.when(plain, c).otherwise(F.array_join(F.transform(runs, _escape_run), ""))
 
 
 def clean_name(col: Column | str) -> Column:

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tunemill.operators import dims
 from tunemill.operators.facts import fact_streams, wide_streams
@@ -46,3 +47,16 @@ def build_star(spark: SparkSession, events: DataFrame, songs: DataFrame, state_c
                   fact_streams(events, users, artists, catalogue, location, datetime), "ts")
     wide = wide_streams(fact, users, artists, catalogue, location, datetime)
     return Star(users, artists, catalogue, location, datetime, fact, wide)
+
+
+def refresh_fact(star: Star, events: DataFrame, base: str, since: Column) -> None:
+    """Recompute the fact rows of the day of ``since`` and later, leaving older hours alone.
+
+    For loads every few minutes, which would otherwise rebuild years of plays.
+    The dimensions in ``star`` are to be the current ones. Their user rows
+    change by whole days, so the recomputed part starts with a day.
+    """
+    recent = events.where(F.col("ts") >= F.date_trunc("day", since))
+    fact = fact_streams(recent, star.users, star.artists, star.songs, star.location,
+                        star.datetime)
+    materialize(fact, f"{base}/fact_streams", "ts", only_hours=True)

@@ -23,7 +23,7 @@ def coded(g) -> DataFrame:
 
 
 def split(g) -> DataFrame:
-    return written(seq.split_by_length(coded(g)), "split")
+    return seq.split_by_length(coded(g))
 
 
 def parts(g) -> tuple[DataFrame, DataFrame]:

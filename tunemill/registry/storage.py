@@ -56,11 +56,9 @@ LAST_SLOT = "(SELECT time_bucket(INTERVAL '5 minutes', MAX(ts)) FROM listen_raw)
 IN_LAST_SLOT = f"time_bucket(INTERVAL '5 minutes', ts) = {LAST_SLOT}"
 
 
-@query("payload", "SELECT event_id, props AS value FROM events")
+@query("payload", "SELECT props AS value FROM events")
 def _(g):
-    events = g.table("events").select("event_id", F.col("props").cast("binary").alias("value"))
-    return events.select("event_id", "value").transform(
-        lambda df: df.select("event_id", F.col("value").cast("string").alias("value")))
+    return payload(g.table("events").select(F.col("props").cast("binary").alias("value")))
 
 
 @query("parse_json", "SELECT CAST(regexp_extract(props, '[0-9]+', 0) AS INT) AS k FROM events")
@@ -70,6 +68,29 @@ def _(g):
     return messages.transform(payload).transform(parse_json, schema).transform(flatten)
 
 
+@query("flatten", """
+SELECT CAST(regexp_extract(props, '[0-9]+', 0) AS INT) AS k, event_type AS kind FROM events""")
+def _(g):
+    """Fields of a parsed message as columns of their own."""
+    fields = F.struct(F.from_json("props", "k int").k.alias("k"),
+                      F.col("event_type").alias("kind"))
+    return g.table("events").select(fields.alias("data")).transform(flatten)
+
+
+@query("ingest", """
+SELECT CASE event_type WHEN 'view' THEN 'listen_events' WHEN 'click' THEN 'page_view_events'
+    WHEN 'purchase' THEN 'page_view_events' ELSE 'auth_events' END AS topic, userId,
+  date_trunc('millisecond', ts) AS ts,
+  strftime(time_bucket(INTERVAL '5 minutes', ts), '%Y-%m-%d %H-%M') AS five_minute_interval
+FROM raw_events""")
+def _(g):
+    """All three topics through the same steps."""
+    parts = [ingest(g.envelope(t), t).select(
+        F.lit(t).alias("topic"), F.col("userId").cast("bigint").alias("userId"), "ts",
+        "five_minute_interval") for t in schemas.TOPICS]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 _LAKE_TAIL = """CAST(year(ts) AS INT) AS year, CAST(month(ts) AS INT) AS month,
   CAST(day(ts) AS INT) AS day, CAST(hour(ts) AS INT) AS hour,
   strftime(time_bucket(INTERVAL '5 minutes', ts), '%Y-%m-%d %H-%M') AS five_minute_interval"""

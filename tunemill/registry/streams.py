@@ -100,6 +100,30 @@ def _(g):
     return log.select(F.col("userId").cast("bigint"), "ts", "level")
 
 
+@query("table_sink", """
+SELECT userId, song, date_trunc('millisecond', ts) AS ts FROM listen_raw""")
+def _(g):
+    return _run(g, _listen_stream(g).select("userId", "song", "ts"), "append").drop(sinks.BATCH)
+
+
+@query("run_ingest", """
+SELECT 'listen_events' AS topic, userId, date_trunc('millisecond', ts) AS ts FROM listen_raw
+UNION ALL SELECT 'page_view_events', userId, date_trunc('millisecond', ts) FROM page_raw
+UNION ALL SELECT 'auth_events', userId, date_trunc('millisecond', ts) FROM auth_raw""")
+def _(g):
+    """Streams of the three topics, running at once in one session."""
+    base = scratch_path(g.spark, "live")
+    rows = {t: ingest(g.envelope(t, g.event_stream()), t).select(
+        F.lit(t).alias("topic"), F.col("userId").cast("bigint").alias("userId"), "ts")
+        for t in schemas.TOPICS}
+    writers = [sinks.table_sink(df, f"{base}/{t}", f"{base}/checkpoint/{t}", "append", "available")
+               for t, df in rows.items()]
+    jobs.finish(jobs.run_ingest(g.spark, writers, wait=False))
+    logs = [sinks.read_log(g.spark, f"{base}/{t}", df).drop(sinks.BATCH)
+            for t, df in rows.items()]
+    return logs[0].unionByName(logs[1]).unionByName(logs[2])
+
+
 @query("realtime_aggregates", f"""
 SELECT 'real_listen' AS name, count(*) AS n FROM (
   {_CLOSED.format(_TRENDS.format("listen_raw"), "listen_raw")})

@@ -39,14 +39,20 @@ def drop_slice(spark: SparkSession, name: str) -> bool:
     return spark.catalog.dropTempView(name)
 
 
-def materialize(df: DataFrame, path: str, hour_of: str | None = None) -> None:
-    """Full refresh of a table, partitioned by the hour of ``hour_of`` when given."""
+def materialize(df: DataFrame, path: str, hour_of: str | None = None,
+                only_hours: bool = False) -> None:
+    """Full refresh of a table, partitioned by the hour of ``hour_of`` when given.
+
+    With ``only_hours`` just the hours present in ``df`` are replaced.
+    """
     if hour_of is None:
         df.write.mode("overwrite").parquet(path)
         return
     rows = df.withColumn("ts_hour", ts_hour(F.col(hour_of)))
-    (rows.hint("rebalance", "ts_hour").write.mode("overwrite")
-         .partitionBy("ts_hour").parquet(path))
+    writer = rows.hint("rebalance", "ts_hour").write.mode("overwrite").partitionBy("ts_hour")
+    if only_hours:
+        writer = writer.option("partitionOverwriteMode", "dynamic")
+    writer.parquet(path)
 
 
 def read_table(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
