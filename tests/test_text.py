@@ -6,20 +6,15 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from bench import row_decode
 from tests.conftest import plan_of
 from tunemill.functions.text import clean_name, decode_text, escape_text
 
 
-def model(s):
-    if not s:
-        return s
-    try:
-        with warnings.catch_warnings():
-            warnings.simplefilter("ignore")
-            chars = s.encode("latin-1").decode("unicode-escape")
-        return chars.encode("latin-1").decode("utf-8").strip('"')
-    except (UnicodeError, ValueError):
-        return s
+def model(text):
+    with warnings.catch_warnings():
+        warnings.simplefilter("ignore")  # unknown escapes
+        return row_decode(text)
 
 
 PIECES = st.sampled_from([
