@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from tunemill.llm import simhash
+from pyspark.sql import functions as F
+
+from tunemill.llm import pieces, simhash, tokens
 from tunemill.llm.common import read_table
 
 QUERIES: dict = {}
@@ -21,3 +23,19 @@ def op2_simhash_pivots(spark, sf_dir):
     found = simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.hex_fingerprint("fingerprint").alias("fingerprint"),
                         "component_id")
+
+
+@query
+def op3_pieces_viterbi(spark, sf_dir):
+    """Ids of every document, their number, and whether they decode to the very text."""
+    encoded = pieces.encode(read_table(spark, sf_dir, "documents"), keep=("text",))
+    source = encoded.withColumnRenamed("text", "source_text")
+    return (pieces.decode(source, keep=("source_text", "ids"))
+            .select("doc_id", F.size("ids").cast("long").alias("n_pieces"),
+                    F.col("text").eqNullSafe(F.col("source_text")).alias("round_trip"), "ids"))
+
+
+@query
+def op7_token_counts(spark, sf_dir):
+    """Bytes and tokens of every document."""
+    return tokens.token_counts(read_table(spark, sf_dir, "documents"))
