@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tunemill.llm import pieces, simhash, tokens
+from tunemill.llm import contain, pieces, simhash, tokens
 from tunemill.llm.common import read_table
 
 QUERIES: dict = {}
@@ -39,3 +39,10 @@ def op3_pieces_viterbi(spark, sf_dir):
 def op7_token_counts(spark, sf_dir):
     """Bytes and tokens of every document."""
     return tokens.token_counts(read_table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_benchmark_containment(spark, sf_dir):
+    """Documents and the test items that they hold to 0.8 or more."""
+    return contain.contained(read_table(spark, sf_dir, "documents"),
+                             read_table(spark, sf_dir, "benchmark"))
