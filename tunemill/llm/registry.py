@@ -2,21 +2,26 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
-from tunemill.llm import contain, pieces, simhash, tokens
+from tunemill.llm import contain, pieces, simhash, tokens, warc
 from tunemill.llm.common import read_table
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
 
 
-def query(function):
-    """Register ``function(spark, sf_dir)`` under its own name."""
+def query(function, sql=None):
+    """Register ``function(spark, sf_dir)`` under its own name, with its SQL if there is any."""
     QUERIES[function.__name__] = function
+    if sql is not None:
+        ORACLE[function.__name__] = sql
     return function
 
 
+def checked(sql: str):
+    """Decorator: register a function with the SQL that gives the same rows."""
+    return lambda function: query(function, sql)
+
+
 @query
 def op2_simhash_pivots(spark, sf_dir):
     """Fingerprint and component of every document."""
@@ -28,11 +33,7 @@ def op2_simhash_pivots(spark, sf_dir):
 @query
 def op3_pieces_viterbi(spark, sf_dir):
     """Ids of every document, their number, and whether they decode to the very text."""
-    encoded = pieces.encode(read_table(spark, sf_dir, "documents"), keep=("text",))
-    source = encoded.withColumnRenamed("text", "source_text")
-    return (pieces.decode(source, keep=("source_text", "ids"))
-            .select("doc_id", F.size("ids").cast("long").alias("n_pieces"),
-                    F.col("text").eqNullSafe(F.col("source_text")).alias("round_trip"), "ids"))
+    return pieces.round_trip(read_table(spark, sf_dir, "documents"))
 
 
 @query
@@ -46,3 +47,18 @@ def op4_benchmark_containment(spark, sf_dir):
     """Documents and the test items that they hold to 0.8 or more."""
     return contain.contained(read_table(spark, sf_dir, "documents"),
                              read_table(spark, sf_dir, "benchmark"))
+
+
+@checked(f"""
+WITH payloads AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+digests AS (SELECT page_id, strlen(html)::BIGINT AS payload_bytes, {warc.digest_sql("html")} AS payload_digest
+            FROM payloads),
+firsts AS (SELECT payload_digest, min(page_id) AS first_id FROM digests GROUP BY payload_digest)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first_id THEN first_id END AS refers_to
+FROM digests JOIN firsts USING (payload_digest)""")
+def op6_warc_index(spark, sf_dir):
+    """Every page written to WARC archives, found again through the index, and read back."""
+    return warc.archived(read_table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
