@@ -47,9 +47,10 @@ def test_segmentation_is_the_best_and_decoding_exact(spark, model):
     rows = {r.doc_id: r.ids for r in encode(df).collect()}
     for i, text in enumerate(texts):
         assert score_of(model, rows[i]) == pytest.approx(plain_score(model, text))
-        assert model.decode(rows[i]) == text
     back = {r.doc_id: r.text for r in decode(encode(df)).collect()}
     assert back == dict(enumerate(texts))
+    checked = pieces.round_trip(df).collect()
+    assert all(r.round_trip and r.ids == rows[r.doc_id] and r.n_pieces == len(r.ids) for r in checked)
 
 
 def test_shared_prefixes_change_nothing(model):
@@ -58,7 +59,14 @@ def test_shared_prefixes_change_nothing(model):
     assert together == [next(model.encode_sorted([w])) for w in words]
 
 
-def test_nulls_repeats_and_empty_tables(spark, monkeypatch):
+def test_words_stay_known_over_generations(model):
+    known = pieces.Known(model, room=4)
+    for words in ({" a", " b", " c"}, {" a", " d"}, {" a", " b", " e"}, {" c"}):
+        found = known.of(words)
+        assert {w: found[w] for w in words} == dict(zip(sorted(words), model.encode_sorted(sorted(words))))
+
+
+def test_nulls_repeats_and_empty_tables(spark):
     df = docs_of(spark, [(None, "a"), (1, None), (1, None), (2, ""), (3, "b c")])
     encoded = encode(df, keep=("text",))
     got = {(r.doc_id, r.text, None if r.ids is None else len(r.ids) > 0) for r in encoded.collect()}
@@ -66,3 +74,5 @@ def test_nulls_repeats_and_empty_tables(spark, monkeypatch):
     back = sorted(((r.doc_id, r.text) for r in decode(encoded).collect()), key=repr)
     assert back == sorted([(None, "a"), (1, None), (1, None), (2, ""), (3, "b c")], key=repr)
     assert encode(df.limit(0)).count() == 0
+    checked = {(r.doc_id, r.n_pieces is None, r.round_trip) for r in pieces.round_trip(df).collect()}
+    assert checked == {(None, False, True), (1, True, True), (2, False, True), (3, False, True)}
