@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tunemill.llm import contain, pieces, simhash, tokens, warc
+from tunemill.llm import contain, pieces, quality, simhash, tokens, warc
 from tunemill.llm.common import read_table
 
 QUERIES: dict = {}
@@ -62,3 +62,9 @@ def op6_warc_index(spark, sf_dir):
     """Every page written to WARC archives, found again through the index, and read back."""
     return warc.archived(read_table(spark, sf_dir, "pages")).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@checked(quality.measured_sql())
+def op8_line_cleaning(spark, sf_dir):
+    """Counts and verdict of every document."""
+    return quality.measured(read_table(spark, sf_dir, "documents")).drop("clean_text")
