@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tunemill.llm import contain, pieces, quality, simhash, tokens, warc
+from tunemill.llm import contain, pieces, quality, simhash, tokens, urls, warc
 from tunemill.llm.common import read_table
 
 QUERIES: dict = {}
@@ -68,3 +68,9 @@ def op6_warc_index(spark, sf_dir):
 def op8_line_cleaning(spark, sf_dir):
     """Counts and verdict of every document."""
     return quality.measured(read_table(spark, sf_dir, "documents")).drop("clean_text")
+
+
+@query
+def op9_url_model_ratio(spark, sf_dir):
+    """Host, path, rule and verdict of every page's URL."""
+    return urls.judged(read_table(spark, sf_dir, "pages"))
