@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tunemill.llm import contain, pieces, quality, simhash, tokens, urls, warc
+from tunemill.llm import contain, pieces, quality, secrets, simhash, tokens, urls, warc
 from tunemill.llm.common import read_table
 
 QUERIES: dict = {}
@@ -74,3 +74,9 @@ def op8_line_cleaning(spark, sf_dir):
 def op9_url_model_ratio(spark, sf_dir):
     """Host, path, rule and verdict of every page's URL."""
     return urls.judged(read_table(spark, sf_dir, "pages"))
+
+
+@query
+def op10_secret_network(spark, sf_dir):
+    """Secrets of every document: those of the patterns, and those that the network adds."""
+    return secrets.found(read_table(spark, sf_dir, "documents"))
