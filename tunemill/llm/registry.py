@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tunemill.llm import contain, pieces, quality, secrets, simhash, tokens, urls, warc
+from tunemill.llm import contain, pieces, quality, secrets, simhash, tokens, toxicity, urls, warc
 from tunemill.llm.common import read_table
 
 QUERIES: dict = {}
@@ -80,3 +80,9 @@ def op9_url_model_ratio(spark, sf_dir):
 def op10_secret_network(spark, sf_dir):
     """Secrets of every document: those of the patterns, and those that the network adds."""
     return secrets.found(read_table(spark, sf_dir, "documents"))
+
+
+@query
+def op1_toxicity_channel(spark, sf_dir):
+    """Toxicity score of every document, learnt from the labels of those not held out."""
+    return toxicity.scored(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
