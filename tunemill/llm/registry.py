@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tunemill.llm import contain, pieces, quality, secrets, simhash, tokens, toxicity, urls, warc
+from tunemill.llm import contain, lines, pieces, quality, secrets, simhash, tokens, toxicity, urls, warc
 from tunemill.llm.common import read_table
 
 QUERIES: dict = {}
@@ -86,3 +86,9 @@ def op10_secret_network(spark, sf_dir):
 def op1_toxicity_channel(spark, sf_dir):
     """Toxicity score of every document, learnt from the labels of those not held out."""
     return toxicity.scored(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+@query
+def op5_line_similarity(spark, sf_dir):
+    """Lines of every document, and which of them repeat an earlier line."""
+    return lines.line_report(read_table(spark, sf_dir, "documents"))
