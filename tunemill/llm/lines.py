@@ -16,7 +16,6 @@ tasks hold have a fixed size whatever the input.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -24,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tunemill.llm.common import WordCodes, mixed, runs, signed, steps, utf8, whole_groups
+from tunemill.llm.common import mixed, runs, signed, steps, utf8, whole_groups
 from tunemill.session import written
 
 SIMILARITY = 0.8
@@ -48,17 +47,41 @@ def prefix_size(n: np.ndarray, similarity: float) -> np.ndarray:
     return n - np.ceil(similarity * n - 1e-9).astype(np.int64) + 1
 
 
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+_WHITE = np.isin(np.arange(256), list(b" \t\n\x0b\x0c\r"))
+_LETTER = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+_STEP = np.uint64(0xD6E8FEB86659FD93)
+
+
+def hashed_words(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the words in UTF-8 bytes (A-Z as lower case), and where each begins.
+
+    Whole arrays at a time: numbers of the letters, each times a power for its place in the word.
+    """
+    inside = ~_WHITE[data]
+    at = np.flatnonzero(inside)
+    if not len(at):
+        return np.zeros(0, np.uint64), at
+    first = np.concatenate(([True], np.diff(at) > 1))
+    begin = np.flatnonzero(first)
+    starts = at[begin]
+    size = np.diff(np.append(begin, len(at)))
+    with np.errstate(over="ignore"):
+        powers = np.multiply.accumulate(np.concatenate(([np.uint64(1)], np.full(int(size.max()) - 1, _STEP))))
+        terms = _LETTER[_LOWER[data[at]]] * powers[at - np.repeat(starts, size)]
+        return mixed(np.add.reduceat(terms, begin) + size.astype(np.uint64)), starts
+
+
 def rarity_levels(docs: DataFrame, buckets: int = BUCKETS) -> np.ndarray:
     """Level of every bucket of words: the binary logarithm of how often its words stand in ``docs``."""
     chunk = min(_CHUNK, 1 << buckets)
 
     def per_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codes, sums = WordCodes(), np.zeros(1 << buckets, np.int64)
+        sums = np.zeros(1 << buckets, np.int64)
         for batch in steps(batches):
-            for text in utf8(batch.column("text")):
-                found = codes.of(text.lower().split()) & np.uint64((1 << buckets) - 1)
-                at, n = np.unique(found, return_counts=True)
-                sums[at.astype(np.int64)] += n
+            hashes, _ = hashed_words(np.frombuffer(b"\n".join(utf8(batch.column("text"))), np.uint8))
+            sums += np.bincount((hashes & np.uint64(len(sums) - 1)).astype(np.int64), minlength=len(sums))
         for at in range(0, len(sums), chunk):
             yield pa.RecordBatch.from_arrays(
                 [pa.array([at // chunk], pa.int32()), pa.array([sums[at:at + chunk].tobytes()])], ["chunk", "sums"])
@@ -75,23 +98,37 @@ def rarity_levels(docs: DataFrame, buckets: int = BUCKETS) -> np.ndarray:
     return np.ceil(np.log2(totals + 1)).astype(np.uint8)
 
 
+def line_hash(doc: np.ndarray, number: np.ndarray) -> np.ndarray:
+    """Hash of document and line number, as bit sets hold it."""
+    with np.errstate(over="ignore"):
+        return mixed(np.asarray(doc, np.int64).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+                     + np.asarray(number, np.int64).view(np.uint64))
+
+
 class _Lines:
-    """The lines of a step with words enough: owner, number, and their sets as sorted tokens."""
+    """The lines of a step with words enough: owner, number, and their sets as sorted tokens.
 
-    def __init__(self, ids: list, texts: list[bytes], codes: WordCodes, levels: np.ndarray):
-        owners, numbers, words = [], [], []
-        for doc, text in zip(ids, texts):
-            if doc is None:
-                continue
-            for number, line in enumerate(text.lower().split(b"\n")):
-                if len(found := line.split()) >= LEAST_WORDS:
-                    owners.append(doc)
-                    numbers.append(number)
-                    words.append(found)
-        self.doc = np.array(owners, np.int64)
-        self.number = np.array(numbers, np.int64)
-        hashes = codes.of(list(chain.from_iterable(words)))
-        line = np.repeat(np.arange(len(words)), np.fromiter(map(len, words), np.int64, len(words)))
+    With ``wanted``, a bit set of lines, only those.
+    """
+
+    def __init__(self, batch: pa.RecordBatch, levels: np.ndarray, wanted: np.ndarray | None = None):
+        ids = batch.column("doc_id").to_pylist()
+        kept = [i for i, doc in enumerate(ids) if doc is not None]
+        texts = utf8(batch.column("text"))
+        texts = [texts[i] for i in kept]
+        data = np.frombuffer(b"\n".join(texts), np.uint8)
+        ends = np.flatnonzero(data == 10)
+        counts = np.array([t.count(b"\n") + 1 for t in texts], np.int64)
+        # all lines of the step, whatever their words
+        doc = np.repeat(np.array([ids[i] for i in kept], np.int64), counts)
+        number = np.arange(int(counts.sum())) - np.repeat(np.cumsum(counts) - counts, counts)
+        hashes, starts = hashed_words(data)
+        line = np.searchsorted(ends, starts)
+        use = np.bincount(line, minlength=len(doc)) >= LEAST_WORDS
+        if wanted is not None:
+            use &= _inside(wanted, line_hash(doc, number))
+        hashes, line = hashes[use[line]], (np.cumsum(use) - 1)[line[use[line]]]
+        self.doc, self.number = doc[use], number[use]
         # a token: the level of its word above 59 bits of its hash, so that rare words come first
         level = levels[(hashes & np.uint64(len(levels) - 1)).astype(np.int64)].astype(np.uint64)
         tokens = (np.minimum(level, np.uint64(31)) << np.uint64(59)) | (mixed(hashes) >> np.uint64(5))
@@ -99,21 +136,19 @@ class _Lines:
         tokens, line = tokens[order], line[order]
         new = np.ones(len(tokens), bool)
         new[1:] = (tokens[1:] != tokens[:-1]) | (line[1:] != line[:-1])
-        self.tokens, line = tokens[new], line[new]
-        self.size = np.bincount(line, minlength=len(words))
+        self.tokens = tokens[new]
+        self.size = np.bincount(line[new], minlength=len(self.doc))
         self.begin = np.cumsum(self.size) - self.size
-        self.line = line
-
-    def place(self) -> np.ndarray:
-        """Hash of document and line number, as bit sets hold it."""
-        with np.errstate(over="ignore"):
-            return mixed(self.doc.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + self.number.view(np.uint64))
 
-    def signatures(self) -> np.ndarray:
-        """Parity of the tokens at each of 64 places: sets apart by ``d`` tokens differ in <= ``d`` bits."""
+    def signatures(self) -> tuple[np.ndarray, np.ndarray]:
+        """Parity of the tokens at each of 128 places: sets apart by ``d`` tokens differ in <= ``d`` bits."""
         if not len(self.size):
-            return np.zeros(0, np.uint64)
-        return np.bitwise_xor.reduceat(np.uint64(1) << (self.tokens & np.uint64(63)), self.begin)
+            return np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+        bit = np.uint64(1) << (self.tokens & np.uint64(63))
+        upper = (self.tokens & np.uint64(64)) > 0
+        none = np.uint64(0)
+        return (np.bitwise_xor.reduceat(np.where(upper, none, bit), self.begin),
+                np.bitwise_xor.reduceat(np.where(upper, bit, none), self.begin))
 
     def sums(self) -> np.ndarray:
         """A number that equal sets have in common (verified where it decides)."""
@@ -131,18 +166,18 @@ def _lists(tokens: np.ndarray, begin: np.ndarray, size: np.ndarray) -> pa.Array:
 
 
 def _prefixes(docs: DataFrame, levels: np.ndarray, similarity: float) -> DataFrame:
-    """``(doc_id, line_no, n, signature, prefix)`` of the lines that go on, ``prefix`` NULL for those
+    """``(doc_id, line_no, n, low, high, prefix)`` (both halves of a signature) of the lines that go on, ``prefix`` NULL for those
     that are settled: equal to an earlier line of the same step."""
     sent = docs.sparkSession.sparkContext.broadcast(levels)
 
     def per_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codes = WordCodes()
         for batch in steps(batches, step_bytes=8 << 20):
-            found = _Lines(batch.column("doc_id").to_pylist(), utf8(batch.column("text")), codes, sent.value)
+            found = _Lines(batch, sent.value)
             if not len(found.size):
                 continue
-            order = np.lexsort((found.number, found.doc, found.sums()))
-            sums = found.sums()[order]
+            sums = found.sums()
+            order = np.lexsort((found.number, found.doc, sums))
+            sums = sums[order]
             settled = np.zeros(len(order), bool)
             first = np.repeat(runs(sums)[:-1], np.diff(runs(sums)))
             for i in np.flatnonzero(first != np.arange(len(order))):
@@ -156,11 +191,11 @@ def _prefixes(docs: DataFrame, levels: np.ndarray, similarity: float) -> DataFra
             lists = pa.ListArray.from_arrays(lists.offsets, lists.values, mask=pa.array(settled))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(found.doc), pa.array(found.number.astype(np.int32)), pa.array(found.size.astype(np.int32)),
-                 pa.array(signed(found.signatures())), lists],
-                ["doc_id", "line_no", "n", "signature", "prefix"])
+                 *(pa.array(signed(s)) for s in found.signatures()), lists],
+                ["doc_id", "line_no", "n", "low", "high", "prefix"])
 
     return docs.select("doc_id", "text").mapInArrow(
-        per_task, "doc_id long, line_no int, n int, signature long, prefix array<long>")
+        per_task, "doc_id long, line_no int, n int, low long, high long, prefix array<long>")
 
 
 def _bit_set(hashes: DataFrame, bits: int) -> np.ndarray:
@@ -179,25 +214,25 @@ def _inside(bit_set: np.ndarray, hashes: np.ndarray) -> np.ndarray:
 
 
 def _places(rows: DataFrame) -> DataFrame:
-    """Hashes of the lines ``(doc_id, line_no)``, the same as :meth:`_Lines.place`."""
+    """Hashes of the lines ``(doc_id, line_no)``, by :func:`line_hash`."""
     def per_task(batches):
         for batch in batches:
-            doc = batch.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
-            number = batch.column("line_no").to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
-            with np.errstate(over="ignore"):
-                found = mixed(doc * np.uint64(0x9E3779B97F4A7C15) + number)
+            found = line_hash(*(batch.column(c).to_numpy(zero_copy_only=False) for c in ("doc_id", "line_no")))
             yield pa.RecordBatch.from_arrays([pa.array(signed(found))], ["hash"])
 
     return rows.select("doc_id", "line_no").mapInArrow(per_task, "hash long")
 
 
-def _postings(prefixes: DataFrame, group: int) -> DataFrame:
-    """A row for every line and word of its prefix: ``(word, doc_id, line_no, n, at, signature)``.
+def _postings(prefixes: DataFrame, group: int, words: DataFrame | None = None) -> DataFrame:
+    """A row for every line and word of its prefix (with ``words``, column ``hash``, of those only):
+    ``(word, doc_id, line_no, n, at, low, high)``.
 
     Words that over ``group`` lines have are dealt out: ``word`` is then a hash of the word and two
     shares, and a line goes to every pair of shares that has its own.
     """
-    rows = prefixes.select("doc_id", "line_no", "n", "signature", F.posexplode("prefix").alias("at", "word"))
+    rows = prefixes.select("doc_id", "line_no", "n", "low", "high", F.posexplode("prefix").alias("at", "word"))
+    if words is not None:
+        rows = rows.join(words.withColumnRenamed("hash", "word"), "word", "left_semi")
     bucket = F.pmod(F.xxhash64("word"), F.lit(_HOT_BUCKETS)).cast("int")
     hot = (prefixes.select(F.explode("prefix").alias("word")).groupBy(bucket.alias("bucket"))
            .agg(F.count("*").alias("held")).where(F.col("held") > group)
@@ -213,7 +248,7 @@ def _postings(prefixes: DataFrame, group: int) -> DataFrame:
         lambda other: F.xxhash64("word", F.least(F.col("own").cast("int"), other), F.greatest(F.col("own").cast("int"), other)))
     return dealt.select(
         F.explode(F.when(F.col("shares").isNull(), F.array("word")).otherwise(pairs)).alias("word"),
-        "doc_id", "line_no", "n", "at", "signature")
+        "doc_id", "line_no", "n", "at", "low", "high")
 
 
 def _candidates(postings: DataFrame, similarity: float, targets: np.ndarray | None = None) -> DataFrame:
@@ -227,17 +262,15 @@ def _candidates(postings: DataFrame, similarity: float, targets: np.ndarray | No
     def per_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         wanted = sent.value
         for batch in whole_groups(batches, "word"):
-            word, doc, number, n, at, signature = (
+            word, doc, number, n, at, low, high = (
                 batch.column(c).to_numpy(zero_copy_only=False)
-                for c in ("word", "doc_id", "line_no", "n", "at", "signature"))
-            n, at, signature = n.astype(np.int64), at.astype(np.int64), signature.view(np.uint64)
+                for c in ("word", "doc_id", "line_no", "n", "at", "low", "high"))
+            n, at, low, high = n.astype(np.int64), at.astype(np.int64), low.view(np.uint64), high.view(np.uint64)
             starts = runs(word)
             begin = np.repeat(starts[:-1], np.diff(starts))
             y = np.arange(len(word))
             if wanted is not None:
-                with np.errstate(over="ignore"):
-                    place = mixed(doc.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + number.astype(np.int64).view(np.uint64))
-                y = y[_inside(wanted, place)]
+                y = y[_inside(wanted, line_hash(doc, number))]
             shift, xs, ys = 1, [], []
             while len(y := y[y - shift >= begin[y]]):
                 x = y - shift
@@ -245,8 +278,11 @@ def _candidates(postings: DataFrame, similarity: float, targets: np.ndarray | No
                 need = overlap_needed(total, similarity)
                 good = np.minimum(n[x] - at[x], n[y] - at[y]) >= need
                 good &= np.minimum(n[x], n[y]) >= need
-                good &= np.bitwise_count(signature[x] ^ signature[y]) <= total - 2 * need
-                good &= (doc[x] != doc[y]) | (number[x] != number[y])
+                at_most = total - 2 * need
+                where = np.flatnonzero(good)
+                a, b = x[where], y[where]
+                apart = np.bitwise_count(low[a] ^ low[b]).astype(np.int64) + np.bitwise_count(high[a] ^ high[b])
+                good[where] = (apart <= at_most[where]) & ((doc[a] != doc[b]) | (number[a] != number[b]))
                 xs.append(x[good])
                 ys.append(y[good])
                 if wanted is None:
@@ -268,15 +304,12 @@ def _verified(pairs: DataFrame, docs: DataFrame, levels: np.ndarray, similarity:
     sent = docs.sparkSession.sparkContext.broadcast((levels, _bit_set(_places(ends), bits)))
 
     def per_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codes = WordCodes()
-        own_levels, wanted = sent.value
         for batch in steps(batches, step_bytes=8 << 20):
-            found = _Lines(batch.column("doc_id").to_pylist(), utf8(batch.column("text")), codes, own_levels)
-            at = np.flatnonzero(_inside(wanted, found.place())) if len(found.size) else []
-            if len(at):
+            found = _Lines(batch, *sent.value)
+            if len(found.size):
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(found.doc[at]), pa.array(found.number[at].astype(np.int32)),
-                     _lists(found.tokens, found.begin[at], found.size[at])], ["doc", "line", "words"])
+                    [pa.array(found.doc), pa.array(found.number.astype(np.int32)),
+                     _lists(found.tokens, found.begin, found.size)], ["doc", "line", "words"])
 
     sets = written(docs.select("doc_id", "text").mapInArrow(per_task, "doc long, line int, words array<long>")
                    .dropDuplicates(["doc", "line"]), "line-sets")
@@ -312,8 +345,8 @@ def removed_lines(docs: DataFrame, similarity: float = SIMILARITY, group: int =
         open_lines = _bit_set(_places(failed), bits)
         words = (going.join(failed, ["doc_id", "line_no"], "left_semi")
                  .select(F.explode("prefix").alias("hash")))
-        again = _with_words(going, _bit_set(words.select("hash"), bits))
-        more = written(_candidates(_postings(again, group), similarity, open_lines)
+        again = _postings(going, group, words.distinct())
+        more = written(_candidates(again, similarity, open_lines)
                        .join(pairs, ["x_doc", "x_line", "y_doc", "y_line"], "left_anti"), "more-pairs")
         found = _verified(more, docs, levels, similarity, bits)
         lines = lines.union(found.select("y_doc", "y_line")).distinct()
@@ -321,22 +354,6 @@ def removed_lines(docs: DataFrame, similarity: float = SIMILARITY, group: int =
     return lines.union(settled).distinct()
 
 
-def _with_words(prefixes: DataFrame, wanted: np.ndarray) -> DataFrame:
-    """Lines whose prefix has a word of a bit set; the whole prefix stays, so that places hold."""
-    sent = prefixes.sparkSession.sparkContext.broadcast(wanted)
-
-    def per_task(batches):
-        for batch in batches:
-            lists = batch.column("prefix")
-            inside = _inside(sent.value, lists.flatten().to_numpy(zero_copy_only=False).view(np.uint64))
-            sums = np.concatenate(([0], np.cumsum(inside)))
-            offsets = lists.offsets.to_numpy() - lists.offsets[0].as_py()
-            keep = sums[offsets[1:]] > sums[offsets[:-1]]
-            yield batch.filter(pa.array(keep))
-
-    return prefixes.mapInArrow(per_task, prefixes.schema)
-
-
 def line_report(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """``(doc_id, n_lines, n_removed, removed)`` for every row: lines, and the numbers of those removed."""
     found = (removed_lines(docs, similarity).groupBy("doc_id")

@@ -48,6 +48,8 @@ THRESHOLD = 0.7
 SLOTS = 1 << 18
 FEATURE_PREFIXES = range(3, 9)
 LEAST_SUPPORT = 3.0
+#: Labelled documents of each label that the classifier is fitted on at most.
+SAMPLE = 20_000
 KEPT = 300_000
 
 #: What opens and closes a word, left out before anything else, and runs of other signs at an end.
@@ -207,14 +209,19 @@ def design(ratings: np.ndarray) -> np.ndarray:
     return np.column_stack([np.ones(len(x)), x[:, 0], x[:, 1], x[:, 2], np.log1p(x[:, 3]), np.log1p(20 * x[:, 4])])
 
 
-def _labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Texts with a label, none of them held out; ``half`` splits them."""
+def _labelled(docs: DataFrame, labels: DataFrame, sample: int) -> DataFrame:
+    """Texts of at most ``sample`` documents of each label, those of the least hashes; ``half`` splits them.
+
+    The sampled ids have a bound, so they are broadcast and the texts are not shuffled.
+    """
     known = (labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull())
-             .groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
-    return (docs.select("doc_id", "text").where("doc_id IS NOT NULL").where(~held_out(F.col("doc_id")))
-            .join(known, "doc_id").select(
-                "doc_id", "text", F.col("toxic").cast("int").alias("toxic"),
-                F.pmod(F.xxhash64("doc_id"), F.lit(2)).cast("int").alias("half")))
+             .where(~held_out(F.col("doc_id")))
+             .groupBy("doc_id").agg(F.when(F.max("toxic") > 0, 1).otherwise(0).alias("toxic"))
+             .withColumn("_hash", F.xxhash64("doc_id")))
+    kept = [known.where(F.col("toxic") == kind).orderBy("_hash", "doc_id").limit(sample) for kind in (0, 1)]
+    chosen = written(kept[0].union(kept[1]).select("doc_id", "toxic"), "label-sample")
+    return (docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select(
+        "doc_id", "text", "toxic", F.pmod(F.xxhash64("doc_id"), F.lit(2)).cast("int").alias("half")))
 
 
 def _feature_counts(rows: DataFrame, logs: np.ndarray) -> np.ndarray:
@@ -234,7 +241,7 @@ def _feature_counts(rows: DataFrame, logs: np.ndarray) -> np.ndarray:
         at = np.flatnonzero(flat)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(flat[at])], ["at", "n"])
 
-    counts = (rows.select("text", "half", F.when(F.col("toxic") > 0, 1).otherwise(0).alias("toxic"))
+    counts = (rows.select("text", "half", "toxic")
               .mapInArrow(per_task, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).toArrow())
     out = np.zeros(2 * 2 * (SLOTS + 1))
     out[counts.column("at").to_numpy()] = counts.column("n").to_numpy()
@@ -304,10 +311,6 @@ def character_model(docs: DataFrame) -> np.ndarray:
                              int(table.max()) + 1, ORDER)
 
 
-#: Labelled documents of each label that the logistic function is fitted on, those of the least hashes.
-FITTED = 20_000
-
-
 def _logistic(ratings: np.ndarray, labels: np.ndarray) -> np.ndarray:
     """Weights by Newton steps, with a small penalty."""
     x, w = design(ratings), np.zeros(RATINGS + 1)
@@ -319,20 +322,17 @@ def _logistic(ratings: np.ndarray, labels: np.ndarray) -> np.ndarray:
     return w
 
 
-def fit(docs: DataFrame, labels: DataFrame) -> Model:
-    """Character model of all documents, feature weights and logistic function of the labelled ones."""
+def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
+    """Character model of all documents; feature weights and logistic function of labelled ones."""
     logs = character_model(docs)
-    rows = written(_labelled(docs, labels), "labelled")
+    rows = written(_labelled(docs, labels, sample), "labelled")
     counts = _feature_counts(rows, logs)
     weights = feature_weights(counts.sum(axis=0))
-    crossed = rows.select("toxic", "text", "half", "doc_id")
-    ratings = _ratings(crossed, logs, [feature_weights(counts[1]), feature_weights(counts[0])], ["toxic", "doc_id"])
-    kept = []
-    hashed = ratings.select("toxic", "ratings", F.xxhash64("doc_id", "ratings").alias("_hash"))
-    stored = written(hashed, "ratings")
-    for toxic in (0, 1):
-        same = stored.where((F.col("toxic") > 0) == bool(toxic)).orderBy("_hash").limit(FITTED).toArrow()
-        kept.append(np.array(same.column("ratings").to_pylist(), np.float64).reshape(-1, RATINGS))
+    ratings = _ratings(rows, logs, [feature_weights(counts[1]), feature_weights(counts[0])], ["toxic"])
+    found = ratings.select("toxic", "ratings").toArrow()
+    rows_of = np.array(found.column("ratings").to_pylist(), np.float64).reshape(-1, RATINGS)
+    toxic = found.column("toxic").to_numpy()
+    kept = [rows_of[toxic == kind] for kind in (0, 1)]
     if min(map(len, kept)) == 0:
         logistic = np.array([-2.0] + [0.0] * RATINGS)
     else:
@@ -340,16 +340,24 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     return Model(logs, weights, logistic)
 
 
-def scored(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+def scored(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, sample: int = SAMPLE,
+           carry: bool = False) -> DataFrame:
     """``(doc_id, held_out, score, predicted)`` for every row of ``docs``.
 
     Labels count only for documents that are not held out; a document labelled twice counts as toxic
     if one label says so. NULL and empty texts get the score of a text without words. A NULL doc_id
     has a NULL ``held_out`` and teaches nothing. Without labels of both kinds every score is low and
-    the same. Other columns are ignored, repeated rows stay, an empty table gives no rows.
+    the same. Other columns are ignored, repeated rows stay, an empty table gives no rows. With
+    ``carry`` the columns are those of ``docs`` and, in place of any of that name, ``predicted``.
     """
-    model = fit(docs, labels)
+    model = fit(docs, labels, sample)
     sent = docs.sparkSession.sparkContext.broadcast(model)
+    if carry:
+        rows = docs.drop("predicted")
+        fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema]
+    else:
+        rows = docs.select("doc_id", "text", held_out(F.col("doc_id")).alias("held_out"))
+        fields = ["doc_id long", "held_out boolean", "score double"]
 
     def per_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = sent.value
@@ -357,10 +365,10 @@ def scored(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) ->
         for batch in steps(batches):
             ratings = np.array([rated(t or "", weight_of) for t in batch.column("text").to_pylist()], np.float64)
             scores = own.score(ratings) if len(ratings) else np.zeros(0)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("held_out"), pa.array(scores),
-                 pa.array((scores >= threshold).astype(np.int32))],
-                ["doc_id", "held_out", "score", "predicted"])
+            columns = dict(zip(batch.schema.names, batch.columns))
+            if not carry:
+                columns = {"doc_id": columns["doc_id"], "held_out": columns["held_out"], "score": pa.array(scores)}
+            columns["predicted"] = pa.array((scores >= threshold).astype(np.int32))
+            yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
-    return (docs.select("doc_id", "text", held_out(F.col("doc_id")).alias("held_out"))
-            .mapInArrow(per_task, "doc_id long, held_out boolean, score double, predicted int"))
+    return rows.mapInArrow(per_task, ", ".join([*fields, "predicted int"]))
