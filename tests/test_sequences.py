@@ -222,3 +222,11 @@ def test_sort_within_user_spreads_a_busy_user(spark):
     assert placed.select("p").distinct().count() > 1
     assert [r.ts for r in placed.orderBy("at").limit(5).collect()] == \
         [r.ts for r in placed.orderBy("ts").limit(5).collect()]
+
+
+def test_unknown_songs_and_histories_in_parts_keep_their_places(spark):
+    rows = [(1, 0, ["a", "b", "x"]), (1, 1, ["c", "a"]), (2, 0, ["x"])]
+    df = spark.createDataFrame(rows, "userId bigint, part bigint, items array<string>")
+    vocab = spark.createDataFrame([(0, "a"), (1, "b"), (2, "c")], "label bigint, song string")
+    got = {r.userId: (r["items"], r.n) for r in seq.encode_sequences(df, vocab).collect()}
+    assert got == {1: ([0, 1, None, 2, 0], 5), 2: ([None], 1)}

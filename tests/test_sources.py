@@ -3,6 +3,7 @@
 from datetime import datetime
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from tests.conftest import plan_of
@@ -231,3 +232,15 @@ def test_staging_defaults(spark):
 
 def test_shared_dir_follows_the_session(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_kafka_options_for_loss_and_rate():
+    options = kafka.kafka_options("h:1", "t", fail_on_data_loss=True, max_per_trigger=1000, min_partitions=16)
+    assert options["failOnDataLoss"] == "true"
+    assert options["maxOffsetsPerTrigger"] == "1000" and options["minPartitions"] == "16"
+    assert "maxOffsetsPerTrigger" not in kafka.kafka_options("h:1", "t", streaming=False, max_per_trigger=5)
+
+
+def test_slice_of_a_lake_that_is_not_there(spark):
+    with pytest.raises(AnalysisException):
+        files.lake_slice(spark, scratch_path(spark, "none"), schemas.AUTH, datetime(2020, 1, 1)).count()

@@ -1,22 +1,14 @@
 """Text repair against a short Python model of the same decoding."""
 
-import warnings
-
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from bench import row_decode
+from bench import scan_repair as model
 from tests.conftest import plan_of
 from tunemill.functions.text import clean_name, decode_text, escape_text
 
 
-def model(text):
-    with warnings.catch_warnings():
-        warnings.simplefilter("ignore")  # unknown escapes
-        return row_decode(text)
-
-
 PIECES = st.sampled_from([
     "a", "Z", " ", '"', "'", "\\", "\\303", "\\266", "\\n", "\\t", "\\\\", '\\"', "\\x41", "\\xc3",
     "\\xb6", "\\x4", "\\u0041", "\\u20ac", "\\u00c3", "\\U00000042", "\\U0001F600", "\\q", "\\7",

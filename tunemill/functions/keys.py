@@ -20,5 +20,5 @@ def spread(col: str | Column, seed: int) -> Column:
 
 
 def spread_number(col: str | Column, seed: int) -> Column:
-    """First 32 bits of :func:`spread` as a non-negative number."""
-    return F.conv(F.substring(spread(col, seed), 1, 8), 16, 10).cast("bigint")
+    """First 60 bits of :func:`spread` as a non-negative number."""
+    return F.conv(F.substring(spread(col, seed), 1, 15), 16, 10).cast("bigint")

@@ -105,15 +105,22 @@ def song_vocabulary(plays: DataFrame) -> DataFrame:
 
 
 def encode_plays(plays: DataFrame, vocab: DataFrame) -> DataFrame:
-    """Add the ``label`` of each play's song. AQE splits the plays of a hot song."""
-    return plays.join(vocab.select("label", "song"), "song")
+    """Add the ``label`` of each play's song, NULL for a song that isn't in the vocabulary.
+
+    No play is lost, so counts and places stay. AQE splits the plays of a hot song.
+    """
+    return plays.join(vocab.select("label", "song"), "song", "left")
 
 
 def encode_sequences(sequences: DataFrame, vocab: DataFrame) -> DataFrame:
-    """Sequences of songs to sequences of labels, in the same order."""
-    flat = sequences.select("userId", F.posexplode("items").alias("_pos", "song"))
+    """Sequences of songs to sequences of labels, in the same order; an unknown song has a NULL label.
+
+    A history in several rows is put together in the order of its ``part``.
+    """
+    part = F.col("part") if "part" in sequences.columns else F.lit(0)
+    flat = sequences.select("userId", part.alias("_part"), F.posexplode("items").alias("_pos", "song"))
     coded = encode_plays(flat, vocab)
-    ordered = F.array_sort(F.collect_list(F.struct("_pos", F.col("label").cast("int").alias("l"))))
+    ordered = F.array_sort(F.collect_list(F.struct("_part", "_pos", F.col("label").cast("int").alias("l"))))
     return (coded.groupBy("userId").agg(ordered.alias("_all"))
             .select("userId", F.col("_all.l").alias("items"), F.size("_all").alias("n")))
 

@@ -176,7 +176,7 @@ SELECT userId, CAST(count(*) AS INT) AS n_recent, list(CAST(label AS INT) ORDER
 FROM (SELECT userId, song, row_number() OVER (PARTITION BY userId ORDER BY ts DESC, song DESC) AS rn
       FROM stg_listen) JOIN vocab USING (song) WHERE rn <= 19 GROUP BY userId""",
     "drawn": """
-SELECT userId, CAST(CAST('0x' || substr(md5(concat_ws('-', CAST(userId AS VARCHAR), '42')), 1, 8)
+SELECT userId, CAST(CAST('0x' || substr(md5(concat_ws('-', CAST(userId AS VARCHAR), '42')), 1, 15)
   AS BIGINT) % (SELECT count(*) FROM vocab) AS BIGINT) AS label FROM histories""",
     "chosen": """
 SELECT h.userId, h.n_recent, h.n_recent < 3 AS cold,

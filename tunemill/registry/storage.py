@@ -246,7 +246,13 @@ def _(g):
     return files.staging_scan(g.spark, path, schemas.LISTEN)
 
 
-@query("staging_scan", """
+@query("staging_scan", "SELECT * FROM stg_listen")
+def _(g):
+    """The whole staging table."""
+    return files.staging_scan(g.spark, listen_staging(g), schemas.LISTEN)
+
+
+@query("staging_range", """
 SELECT * FROM stg_listen WHERE ts >= (SELECT date_trunc('day', MAX(ts)) FROM stg_listen)""")
 def _(g):
     """The last day of the staging table, read by its hour partitions."""

@@ -9,7 +9,6 @@ from tunemill import schemas
 from tunemill.operators import aggregates as agg
 from tunemill.operators import staging
 from tunemill.registry.base import query
-from tunemill.registry.star import staged
 from tunemill.session import scratch_path
 from tunemill.streaming import jobs, sinks
 from tunemill.streaming.ingest import ingest
@@ -31,15 +30,16 @@ def rounded(df: DataFrame, *cols: str) -> DataFrame:
     return df.withColumns({c: F.round(c, 9) for c in cols})
 
 
-@query("song_trends", _TRENDS.format("stg_listen"))
+# The batch forms take the ingested rows, as the streams do.
+@query("song_trends", _TRENDS.format("listen_raw"))
 def _(g):
-    return agg.song_trends(staged(g))
+    return agg.song_trends(g.listen_raw())
 
 
 @query("user_engagement", """
-SELECT userId, round(avg(duration), 6) AS avg_session_duration FROM stg_listen GROUP BY userId""")
+SELECT userId, round(avg(duration), 6) AS avg_session_duration FROM listen_raw GROUP BY userId""")
 def _(g):
-    return agg.user_engagement(staged(g)).withColumn(
+    return agg.user_engagement(g.listen_raw()).withColumn(
         "avg_session_duration", F.round("avg_session_duration", 6))
 
 

@@ -63,7 +63,8 @@ def lake_slice(spark: SparkSession, base: str, topic: str, slot: datetime) -> Da
     """Rows of exactly one slot, without the partition columns.
 
     Reads the slot's own directory, so the driver lists that one and not the
-    hundred thousand of a year. A slot nobody wrote to has no rows.
+    hundred thousand of a year. A slot nobody wrote to has no rows; a lake that
+    isn't there is an error.
     """
     schema = schemas.lake_schema(topic)
     parts = slot_parts(slot)
@@ -73,6 +74,7 @@ def lake_slice(spark: SparkSession, base: str, topic: str, slot: datetime) -> Da
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
+        spark.read.schema(schema).parquet(base)  # raises unless the topic's folder exists
         rows = spark.createDataFrame([], schema)
     return rows.drop(*schemas.LAKE_PARTS)
 

@@ -17,24 +17,37 @@ def bootstrap_servers(host: str, ports: str | int | Iterable[str | int]) -> str:
 
 
 def kafka_options(servers: str, topic: str, group: str | None = None,
-                  starting: str = "earliest", streaming: bool = True) -> dict[str, str]:
-    """Source options. ``kafka.group.id`` (with the prefix) is what Spark hands on."""
+                  starting: str = "earliest", streaming: bool = True,
+                  fail_on_data_loss: bool = False, max_per_trigger: int | None = None,
+                  min_partitions: int | None = None) -> dict[str, str]:
+    """Source options. ``kafka.group.id`` (with the prefix) is what Spark hands on.
+
+    A stream goes on over lost offsets unless ``fail_on_data_loss``; a batch fails on them.
+    ``max_per_trigger`` bounds a micro-batch, above all the first from the earliest offset, and
+    ``min_partitions`` splits topic partitions among more tasks.
+    """
     options = {
         "kafka.bootstrap.servers": servers,
         "subscribe": topic,
         "startingOffsets": starting,
     }
     if streaming:
-        options["failOnDataLoss"] = "false"
+        options["failOnDataLoss"] = str(fail_on_data_loss).lower()
+        if max_per_trigger is not None:
+            options["maxOffsetsPerTrigger"] = str(max_per_trigger)
+    if min_partitions is not None:
+        options["minPartitions"] = str(min_partitions)
     if group is not None:
         options["kafka.group.id"] = group
     return options
 
 
 def kafka_stream(spark: SparkSession, servers: str, topic: str, group: str | None = None,
-                 starting: str = "earliest") -> DataFrame:
-    """Endless read of one topic."""
-    options = kafka_options(servers, topic, group, starting)
+                 starting: str = "earliest", fail_on_data_loss: bool = False,
+                 max_per_trigger: int | None = None, min_partitions: int | None = None) -> DataFrame:
+    """Endless read of one topic; options as in :func:`kafka_options`."""
+    options = kafka_options(servers, topic, group, starting, True, fail_on_data_loss,
+                            max_per_trigger, min_partitions)
     return spark.readStream.format("kafka").options(**options).load()
 
 
