@@ -34,6 +34,8 @@ BUCKETS = 20
 BIT_SET = 24
 #: Lines that meet at a word in one task.
 GROUP = 1 << 15
+#: Text bytes that a task takes at once: arrays of some eighty times that live for a moment.
+STEP = 3 << 20
 _CHUNK = 1 << 12
 _HOT_BUCKETS = 1 << 16
 
@@ -79,7 +81,7 @@ def rarity_levels(docs: DataFrame, buckets: int = BUCKETS) -> np.ndarray:
 
     def per_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros(1 << buckets, np.int64)
-        for batch in steps(batches):
+        for batch in steps(batches, step_bytes=STEP):
             hashes, _ = hashed_words(np.frombuffer(b"\n".join(utf8(batch.column("text"))), np.uint8))
             sums += np.bincount((hashes & np.uint64(len(sums) - 1)).astype(np.int64), minlength=len(sums))
         for at in range(0, len(sums), chunk):
@@ -105,6 +107,17 @@ def line_hash(doc: np.ndarray, number: np.ndarray) -> np.ndarray:
                      + np.asarray(number, np.int64).view(np.uint64))
 
 
+def _within_lines(line: np.ndarray, tokens: np.ndarray) -> np.ndarray:
+    """Order by line and then by token; one sort of a joint key unless that leaves a doubt."""
+    if not len(line) or line[-1] < 1 << 20:
+        key = line.astype(np.uint64) << np.uint64(44) | tokens >> np.uint64(20)
+        order = np.argsort(key)
+        ranked, found = key[order], tokens[order]
+        if not np.any((ranked[1:] == ranked[:-1]) & (found[1:] != found[:-1])):
+            return order
+    return np.lexsort((tokens, line))
+
+
 class _Lines:
     """The lines of a step with words enough: owner, number, and their sets as sorted tokens.
 
@@ -132,7 +145,7 @@ class _Lines:
         # a token: the level of its word above 59 bits of its hash, so that rare words come first
         level = levels[(hashes & np.uint64(len(levels) - 1)).astype(np.int64)].astype(np.uint64)
         tokens = (np.minimum(level, np.uint64(31)) << np.uint64(59)) | (mixed(hashes) >> np.uint64(5))
-        order = np.lexsort((tokens, line))
+        order = _within_lines(line, tokens)
         tokens, line = tokens[order], line[order]
         new = np.ones(len(tokens), bool)
         new[1:] = (tokens[1:] != tokens[:-1]) | (line[1:] != line[:-1])
@@ -171,7 +184,7 @@ def _prefixes(docs: DataFrame, levels: np.ndarray, similarity: float) -> DataFra
     sent = docs.sparkSession.sparkContext.broadcast(levels)
 
     def per_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in steps(batches, step_bytes=8 << 20):
+        for batch in steps(batches, step_bytes=STEP):
             found = _Lines(batch, sent.value)
             if not len(found.size):
                 continue
@@ -232,7 +245,9 @@ def _postings(prefixes: DataFrame, group: int, words: DataFrame | None = None) -
     """
     rows = prefixes.select("doc_id", "line_no", "n", "low", "high", F.posexplode("prefix").alias("at", "word"))
     if words is not None:
-        rows = rows.join(words.withColumnRenamed("hash", "word"), "word", "left_semi")
+        # a bit set first, so that few rows are left to shuffle for the join
+        rows = _in_bit_set(rows, _bit_set(words, BIT_SET)).join(
+            words.withColumnRenamed("hash", "word"), "word", "left_semi").select(*rows.columns)
     bucket = F.pmod(F.xxhash64("word"), F.lit(_HOT_BUCKETS)).cast("int")
     hot = (prefixes.select(F.explode("prefix").alias("word")).groupBy(bucket.alias("bucket"))
            .agg(F.count("*").alias("held")).where(F.col("held") > group)
@@ -251,6 +266,31 @@ def _postings(prefixes: DataFrame, group: int, words: DataFrame | None = None) -
         "doc_id", "line_no", "n", "at", "low", "high")
 
 
+def _in_bit_set(rows: DataFrame, wanted: np.ndarray) -> DataFrame:
+    """Rows whose ``word`` is in a bit set."""
+    sent = rows.sparkSession.sparkContext.broadcast(wanted)
+
+    def per_task(batches):
+        for batch in batches:
+            words = batch.column("word").to_numpy(zero_copy_only=False).view(np.uint64)
+            yield batch.filter(pa.array(_inside(sent.value, words)))
+
+    return rows.mapInArrow(per_task, rows.schema)
+
+
+def _large(batches: Iterator[pa.RecordBatch], rows: int = 200_000) -> Iterator[pa.RecordBatch]:
+    """Batches put together until they have ``rows`` rows."""
+    held, count = [], 0
+    for batch in batches:
+        held.append(batch)
+        count += batch.num_rows
+        if count >= rows:
+            yield pa.concat_batches(held)
+            held, count = [], 0
+    if held:
+        yield pa.concat_batches(held)
+
+
 def _candidates(postings: DataFrame, similarity: float, targets: np.ndarray | None = None) -> DataFrame:
     """Pairs of an earlier line x and a later line y that pass the filters at a word.
 
@@ -261,7 +301,7 @@ def _candidates(postings: DataFrame, similarity: float, targets: np.ndarray | No
 
     def per_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         wanted = sent.value
-        for batch in whole_groups(batches, "word"):
+        for batch in whole_groups(_large(batches), "word"):
             word, doc, number, n, at, low, high = (
                 batch.column(c).to_numpy(zero_copy_only=False)
                 for c in ("word", "doc_id", "line_no", "n", "at", "low", "high"))
@@ -304,7 +344,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, levels: np.ndarray, similarity:
     sent = docs.sparkSession.sparkContext.broadcast((levels, _bit_set(_places(ends), bits)))
 
     def per_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in steps(batches, step_bytes=8 << 20):
+        for batch in steps(batches, step_bytes=STEP):
             found = _Lines(batch, *sent.value)
             if len(found.size):
                 yield pa.RecordBatch.from_arrays(
