@@ -66,6 +66,26 @@ def test_words_stay_known_over_generations(model):
         assert {w: found[w] for w in words} == dict(zip(sorted(words), model.encode_sorted(sorted(words))))
 
 
+def test_every_text_piece_of_the_file_takes_part(model):
+    import sentencepiece
+
+    file = sentencepiece.SentencePieceProcessor(model_file=model_path())
+    table = {file.id_to_piece(i).replace("▁", " "): file.get_score(i) for i in range(file.vocab_size())
+             if not (file.is_byte(i) or file.is_control(i) or file.is_unknown(i) or file.is_unused(i))}
+    assert {" " * n for n in range(1, 17) if n != 15} <= table.keys()
+    lowest = min(table.values()) - pieces.UNKNOWN
+    for word in [" ★", " 梦", "  b", "   ", " " * 15, " " * 40 + "b", "     ★", " a", " \u2581 "]:
+        best = [0.0]
+        for end in range(1, len(word) + 1):
+            best.append(max([best[end - 1] + lowest] + [best[begin] + table[word[begin:end]] for begin in range(end)
+                                                        if word[begin:end] in table]))
+        ids = memoryview(next(model.encode_sorted([word]))).cast("i").tolist()
+        assert model.byte[32] not in ids, word
+        assert "".join(file.id_to_piece(i) for i in ids if not file.is_byte(i)).replace("▁", " ") == word.replace("\u2581", "")
+        unknown = sum(file.is_byte(i) for i in ids) // 3
+        assert sum(file.get_score(i) for i in ids if not file.is_byte(i)) + unknown * lowest == best[-1], word
+
+
 def test_nulls_repeats_and_empty_tables(spark):
     df = docs_of(spark, [(None, "a"), (1, None), (1, None), (2, ""), (3, "b c")])
     encoded = encode(df, keep=("text",))

@@ -5,10 +5,11 @@ blank and none holds a line feed, so the best segmentation of a text is that of
 The distinct marked words of a step are sorted; walking the sorted list is a depth-first walk of
 their trie, and the forward scores of the prefix shared with the word before are kept.
 
-Scores are those of the model file. The best segmentation has the greatest sum; of equal sums the
-one with the longest last piece is taken, and so on backwards. A character no piece covers costs
-the lowest score less ``UNKNOWN`` and is written as its UTF-8 bytes, so decoding gives back every
-text exactly, also one that holds the mark sign itself.
+Scores are those of the model file, for every piece that is text; the mark alone and runs of marks
+have by far the lowest, so they stand only where no other piece covers a blank. The best segmentation
+has the greatest sum; of equal sums the one with the longest last piece is taken, and so on backwards.
+A character no piece covers costs the lowest score less ``UNKNOWN`` and is written as its UTF-8 bytes,
+so decoding gives back every text exactly, also one that holds the mark sign itself.
 """
 
 from __future__ import annotations
@@ -26,8 +27,6 @@ from tunemill.llm.common import steps
 
 MODEL = "piece_bpe_32k.model"
 UNKNOWN = 10.0
-#: Blanks have no use as pieces below this score: the file marks pieces that it never merges so.
-NEVER = -1e8
 #: Words whose ids a task keeps.
 KEPT = 400_000
 MARKED = re.compile(r" *[^ \n]+| +|\n")
@@ -53,8 +52,7 @@ class Pieces:
             else:
                 plain = piece.replace("▁", " ")
                 self.text.append(plain.encode())
-                if model.get_score(i) > NEVER:
-                    self.scores[plain] = (model.get_score(i), i)
+                self.scores[plain] = (model.get_score(i), i)
         if any("\n" in p or re.search(r"[^ ] ", p) for p in self.scores):
             raise ValueError("a piece spans marked words")
         self.longest = max(map(len, self.scores))
