@@ -59,6 +59,62 @@ def test_search_finds_the_best_reading(restorer, monkeypatch):
         assert cost_of(restorer, word, restorer.restore(word)) == pytest.approx(plain_cost(restorer, word))
 
 
+def least_cost(restorer, lattice):
+    """Least cost over all states, and the repeats of a letter."""
+    states, before = {(0, 0): 0.0}, ""
+    for sign, options in lattice:
+        after = {}
+        for (a, b), cost in states.items():
+            for letter, price in options:
+                ways = [((a, b), price)] if letter is None else [((b, letter), price - restorer.logs[a][b][letter])]
+                if letter and letter == b and (letter < restorer.size - 1 or sign == before):
+                    ways.append(((a, b), tox.COST_REPEAT + price))
+                for key, more in ways:
+                    after[key] = min(after.get(key, math.inf), cost + more)
+        states, before = after, sign
+    return min(c - restorer.logs[a][b][0] for (a, b), c in states.items())
+
+
+def reading_cost(restorer, lattice, text):
+    """Least cost of the lattice's readings as ``text``."""
+    numbers = [0 if c == " " else restorer.number[c] for c in text]
+    ends, before = {0: 0.0}, ""  # by letters that have come
+    for sign, options in lattice:
+        after = {}
+        for n, cost in ends.items():
+            a, b = ([0, 0] + numbers[:n])[-2:]
+            for letter, price in options:
+                ways = [(n, price)] if letter is None else []
+                if letter is not None and n < len(numbers) and numbers[n] == letter:
+                    ways.append((n + 1, price - restorer.logs[a][b][letter]))
+                if letter and n and letter == b:
+                    ways.append((n, tox.COST_REPEAT + price))
+                for key, more in ways:
+                    after[key] = min(after.get(key, math.inf), cost + more)
+        ends, before = after, sign
+    a, b = ([0, 0] + numbers)[-2:]
+    return ends[len(numbers)] - restorer.logs[a][b][0]
+
+
+def test_no_path_is_left_out_whatever_the_length(restorer, monkeypatch):
+    rng = random.Random(8)
+    words = ["f**k", "b*t*h", "s***d", "i d i o t " * 9 + "s"] + ["".join(rng.choices("abeiost013$@!. -*", k=k)) for k in (5, 60, 130)]
+    words += ["-".join(rng.choices("abeiost", k=60)), "".join(rng.choices("abeiost013 -", k=90))]
+    for part in (1024, 7):
+        monkeypatch.setattr(tox, "PART", part)
+        for word in words:
+            lattice = restorer.inside(word)
+            assert reading_cost(restorer, lattice, restorer.restore(word)) == pytest.approx(least_cost(restorer, lattice)), word
+
+
+def test_edges_digits_and_doubled_letters_reach_the_lattice(restorer):
+    for word, plain in [("!diot", "idiot"), ("|diot", "idiot"), ("1d107", "idiot"), ("iidiot", "idiot"), ("$cum!!", "scum"), ("*diot", "idiot"),
+                        ("(!diot)", "idiot"), ("5tup1d", "stupid"), ("1053r", "loser"), ("$c**", "scum"), ("mor0n+", "moron"), ("5(um", "scum")]:
+        assert plain in tox.plain_words(word, restorer), (word, tox.plain_words(word, restorer))
+    for word in ("@$$", "a$$"):
+        assert any(w.isalpha() and w[:2] == "as" for w in tox.plain_words(word, restorer)), word
+
+
 def test_disguises_are_undone(restorer):
     for word, plain in [("1d1ot", "idiot"), ("m0r0n", "moron"), ("st*pid", "stupid"), ("i-d-i-o-t", "idiot"), ("s c u m", "scum"),
                         ("scccccum", "scum"), ("$tup1d", "stupid"), ("l0ser", "loser")]:

@@ -1,9 +1,11 @@
 """Toxicity behind a noisy channel: disguised words are restored by Viterbi search, then scored.
 
-Every sign that looks odd for a word (a digit or mark within it, a letter three times in a row, single
-letters set apart) makes a lattice: what each character may stand for, or that it stands for nothing,
-each at a cost. The path with the best sum of channel costs and log-probabilities of a character
-model (counted over all documents) is the restored word. Plain words are their own restoration.
+Every run of signs that has a look-alike, a wildcard, a mark between letters, a letter twice in a row,
+or is of single letters set apart, makes a lattice: what each character may stand for, or that it stands
+for nothing, each at a cost. The path with the best sum of channel costs and log-probabilities of a
+character model (counted over all documents) is the restored word; no path is left out. A mark at an
+end of a run may be a letter or nothing, and the word is restored both ways. Plain words are their own
+restoration.
 
 Scoring takes the restored words. A word's features are itself and its beginnings; a feature weighs
 as much as toxic documents hold it more often than others, less for rare ones. A document's score is
@@ -40,8 +42,8 @@ ANY = "*#"
 BETWEEN = " .-_*~'`,/\\"
 #: Costs: a look-alike, a letter kept out, a wildcard, a sign between letters, a repeated letter, another sign.
 COST_LOOK, COST_ANY, COST_BETWEEN, COST_REPEAT, COST_LOST = 1.0, 2.0, 0.7, 2.5, 9.0
-#: Words longer than this are cut for the search into parts of this length.
-PART = 48
+#: Signs between two kept columns of costs of the search, from which its way back is found again.
+PART = 1024
 
 HELD_OUT, FOLDS = 1, 3
 THRESHOLD = 0.7
@@ -54,10 +56,9 @@ KEPT = 300_000
 
 #: What opens and closes a word, left out before anything else, and runs of other signs at an end.
 TRIMS = ".,;:!?\"'()[]{}<>*#%&|-_+=~`/\\…«»“”‘’¡¿"
-RUNS = re.compile(r"^[$@]{2,}|[$@]{2,}$")
-#: Best states of the search that go on after each sign.
-BEAM = 16
-ODD = re.compile(r"[a-z][0-9@$!|+*#€£§._\-(<~'`]{1,3}[a-z]|[0-9@$!|+€£§(<][a-z]{2}|[a-z]{2}[0-9@$]|([a-z])\1\1")
+#: States of the search: all pairs of last letters, none is ever left out.
+BEAM = (len(LETTERS) + 2) ** 2
+ODD = re.compile(f"[{re.escape(''.join(LOOKS) + ANY + BETWEEN)}]|([a-z])\\1")
 APART = re.compile(r"(?<!\S)(?:\S[ \t.\-_*]){2,}\S(?!\S)")
 
 
@@ -71,8 +72,10 @@ class Restorer:
     def __init__(self, logs: np.ndarray):
         size = len(LETTERS) + 2
         self.size = size
-        self.logs = logs.reshape(size, size, size).tolist()
+        self.table = np.asarray(logs, np.float64).reshape(size, size, size)
+        self.logs = self.table.tolist()
         self.number = {c: i for i, c in enumerate(LETTERS, 1)}
+        self.known: dict[str, list] = {}
 
     def options(self, sign: str) -> list[tuple[int | None, float]]:
         """Letters that a sign may stand for, with costs; None: for nothing. A blank may end a word."""
@@ -90,16 +93,44 @@ class Restorer:
             found.append((None, COST_LOST) if sign.isascii() else (self.size - 1, 0.0))
         return found
 
+    def inside(self, word: str) -> list[tuple[str, list]]:
+        """Lattice of a word: its signs with their options."""
+        return [(c, self.known.get(c) or self.known.setdefault(c, self.options(c))) for c in word]
+
+    def edge(self, marks: str, forced: str = "") -> list[tuple[str, list]]:
+        """Lattice of the marks at an end of a word: letters or, but for those at ``1`` in ``forced``, nothing."""
+        found = []
+        for sign, must in zip(marks, forced or "0" * len(marks)):
+            letters = [o for o in self.options(sign) if sign in LOOKS or sign in ANY if o[0] not in (None, self.size - 1)]
+            found.append((sign, letters if must == "1" else [*letters, (None, COST_BETWEEN)]))
+        return found
+
+    def edges(self, marks: str, innermost: int) -> list[list[tuple[str, list]]]:
+        """Lattices of the marks at an end: none, all letters that they may be, and at least the innermost of these."""
+        may = [i for i, c in enumerate(marks) if c in LOOKS or c in ANY]
+        if not may:
+            return [[]]
+        every = "".join("1" if c in LOOKS or c in ANY else "0" for c in marks)
+        one = "".join("1" if i == may[innermost] else "0" for i in range(len(marks)))
+        return [[], *(self.edge(marks, forced) for forced in dict.fromkeys((every, one)))]
+
     def restore(self, word: str) -> str:
         """The likeliest plain words behind ``word`` (lower case); other letters stay as they are."""
-        return "".join(self._restored(word[i:i + PART]) for i in range(0, len(word), PART))
+        return self.best(self.inside(word))
 
-    def _restored(self, word: str) -> str:
-        logs = self.logs
+    def best(self, lattice: list[tuple[str, list]]) -> str:
+        """The reading of least cost, by all states."""
+        wide = [len(options) > 4 for _, options in lattice]
+        many = len(lattice) > PART or any(x and y for x, y in zip(wide, wide[1:]))
+        return self._by_arrays(lattice) if many else self._by_states(lattice)
+
+    def _by_states(self, lattice: list[tuple[str, list]]) -> str:
+        """For lattices of few options: states in a dictionary."""
+        logs, other = self.logs, self.size - 1
         # by the last two letters: cost so far, and the letters as a chain from the last
         states = {(0, 0): (0.0, None)}
-        for sign in word:
-            options = self.options(sign)
+        before = ""
+        for sign, options in lattice:
             after: dict[tuple[int, int], tuple[float, tuple | None]] = {}
             for (a, b), (cost, chain) in states.items():
                 ahead = logs[a][b]
@@ -108,14 +139,13 @@ class Restorer:
                         key, total, link = (a, b), cost + price, chain
                     else:
                         key, total = (b, letter), cost + price - ahead[letter]
-                        link = (letter if letter < self.size - 1 else sign, chain)
+                        link = (letter if letter < other else sign, chain)
                     if key not in after or total < after[key][0]:
                         after[key] = (total, link)
-                    if letter is not None and letter == b and letter and cost + COST_REPEAT + price < after.get((a, b), (math.inf,))[0]:
+                    if letter and letter == b and (letter < other or sign == before) and (
+                            cost + COST_REPEAT + price < after.get((a, b), (math.inf,))[0]):
                         after[(a, b)] = (cost + COST_REPEAT + price, chain)
-            states = after
-            if len(states) > BEAM:
-                states = dict(sorted(after.items(), key=lambda s: s[1][0])[:BEAM])
+            states, before = after, sign
         ended = min(states.items(), key=lambda s: s[1][0] - logs[s[0][0]][s[0][1]][0])
         letters, chain = [], ended[1][1]
         while chain is not None:
@@ -123,6 +153,61 @@ class Restorer:
             chain = chain[1]
         return "".join(reversed(letters))
 
+    def _column(self, costs: np.ndarray, options: list, repeats_other: bool) -> tuple[np.ndarray, np.ndarray]:
+        """Costs of all states after a sign, and the state before each: below 0 (-1 - state) if no letter came."""
+        size = self.size
+        after = np.full((size, size), np.inf)
+        back = np.zeros((size, size), np.int16)
+        letters = [(x, p) for x, p in options if x is not None]
+        if letters:
+            at = np.array([x for x, _ in letters])
+            ways = costs[:, :, None] - self.table[:, :, at]
+            first = ways.argmin(axis=0)
+            after[:, at] = np.take_along_axis(ways, first[None], 0)[0] + np.array([p for _, p in letters])
+            back[:, at] = first * size + np.arange(size)[:, None]
+        stay = np.full(size, np.inf)  # price of no letter, by the last letter
+        for letter, price in options:
+            if letter is None:
+                np.minimum(stay, price, out=stay)
+            elif letter and (letter < size - 1 or repeats_other):
+                stay[letter] = min(stay[letter], COST_REPEAT + price)
+        stayed = costs + stay
+        same = stayed < after
+        after[same] = stayed[same]
+        back[same] = -1 - np.arange(size * size, dtype=np.int16).reshape(size, size)[same]
+        return after, back.reshape(-1)
+
+    def _by_arrays(self, lattice: list[tuple[str, list]]) -> str:
+        """For any lattice: columns of all states. Of a long one the way back is computed again by parts."""
+        size = self.size
+        again = [False, *(x[0] == y[0] for x, y in zip(lattice, lattice[1:]))]
+        costs = np.full((size, size), np.inf)
+        costs[0, 0] = 0.0
+        kept, backs = [], []
+        for i, (_, options) in enumerate(lattice):
+            if i % PART == 0:
+                kept.append(costs)
+                backs = []
+            costs, back = self._column(costs, options, again[i])
+            backs.append(back)
+        state = int((costs - self.table[:, :, 0]).argmin())
+        letters = []
+        for part in range(len(kept) - 1, -1, -1):
+            begin = part * PART
+            if part < len(kept) - 1:
+                costs, backs = kept[part], []
+                for i in range(begin, begin + PART):
+                    costs, back = self._column(costs, lattice[i][1], again[i])
+                    backs.append(back)
+            for i in range(len(backs) - 1, -1, -1):
+                came = int(backs[i][state])
+                if came < 0:
+                    continue
+                letter = state % size
+                letters.append(" " if letter == 0 else LETTERS[letter - 1] if letter < size - 1 else lattice[begin + i][0])
+                state = came
+        return "".join(reversed(letters))
+
 
 def raw_words(text: str) -> Counter:
     """Runs of signs of a text (lower case) and of letters set apart, and how often each stands in it."""
@@ -133,14 +218,31 @@ def raw_words(text: str) -> Counter:
     return counts
 
 
-def plain_words(raw: str, restorer: Restorer) -> tuple[str, ...]:
-    """Words behind a run of signs: as it stands without marks around it, and restored if it is odd."""
+def split_marks(raw: str) -> tuple[str, str, str]:
+    """Marks before a word, the word, and marks after it."""
     bare = raw.strip(TRIMS)
-    if bare and bare[0] + bare[-1] != (bare[0] + bare[-1]).strip("$@"):
-        bare = RUNS.sub("", bare).strip(TRIMS)
-    if not bare or not (" " in raw or ODD.search(bare)):
+    begin = len(raw) - len(raw.lstrip(TRIMS))
+    return raw[:begin], bare, raw[begin + len(bare):]
+
+
+def plain_words(raw: str, restorer: Restorer) -> tuple[str, ...]:
+    """Words behind a run of signs: as it stands without marks around it, and restored if it is odd.
+
+    Marks around it that may be letters are tried as nothing and as letters. Marks alone are no word.
+    """
+    if not ODD.search(raw):
+        bare = raw.strip(TRIMS)
         return (bare,) if bare else ()
-    found = {bare, *restorer.restore(bare).split()}
+    before, bare, behind = split_marks(raw)
+    if not bare:
+        return ()
+    found, middle = {bare}, None
+    odd = " " in raw or ODD.search(bare)
+    for left in restorer.edges(before, -1):
+        for right in restorer.edges(behind, 0):
+            if odd or left or right:
+                middle = middle or restorer.inside(bare)
+                found.update(restorer.best(left + middle + right).split())
     return tuple(sorted(w for w in (f.strip(TRIMS) for f in found) if w))
 
 
@@ -299,8 +401,10 @@ def restored(docs: DataFrame) -> DataFrame:
 
 def best_words(raw: str, restorer: Restorer) -> str:
     """The likeliest reading of a run of signs alone."""
-    plain = plain_words(raw, restorer)
-    return restorer.restore(raw.strip(TRIMS)) if len(plain) > 1 else "".join(plain)
+    before, bare, behind = split_marks(raw)
+    if not bare or not ODD.search(raw):
+        return bare
+    return restorer.best(restorer.edge(before) + restorer.inside(bare) + restorer.edge(behind)).strip(TRIMS)
 
 
 def character_model(docs: DataFrame) -> np.ndarray:
