@@ -102,3 +102,26 @@ def test_nulls_repeats_and_empty_tables(spark):
     assert kept == sorted([(None, line, 23, "x"), (4, "x", 1, "x"), (5, None, None, "x"), (6, "", 0, "x"),
                            (2, f"{line}\nshort line\nshort line", 45, "x")], key=repr)
     assert lines.removed_lines(df.limit(0)).count() == 0 and lines.clean(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("similarity", [0.8, 0.6])
+def test_lines_of_any_number_of_words_take_part(spark, similarity):
+    rng = random.Random(11)
+    rows = [(i, "\n".join(" ".join(rng.sample("a b c d e f g".split(), k=rng.randint(1, 6))) for _ in range(3))) for i in range(60)]
+    rows += [(100, "w x y z"), (101, "w x y z v"), (102, "all rights reserved."), (103, "All rights reserved."), (104, "\n \n"), (None, "w x y z")]
+    seen, want = [], []
+    for doc, number, line in sorted((d, k, x) for d, t in rows if d is not None for k, x in enumerate(t.split("\n"))):
+        words = set(line.lower().split())
+        if words and any(len(words & s) >= similarity * len(words | s) - 1e-9 for s in seen):
+            want.append((doc, number))
+        seen.append(words)
+    assert {(101, 0), (103, 0)} <= set(want)
+    assert got_of(lines.removed_lines(docs_of(spark, rows).repartition(3), similarity, least_words=1)) == want
+
+
+def test_the_query_takes_all_lines(spark, tmp_path):
+    from tunemill.llm.registry import QUERIES
+
+    docs_of(spark, [(1, "home\nall rights reserved."), (2, "all rights reserved.\nhome\nnew")]).write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r.removed for r in QUERIES["op5_line_similarity"](spark, str(tmp_path)).collect()}
+    assert got == {1: [], 2: [0, 1]}

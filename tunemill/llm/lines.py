@@ -7,7 +7,7 @@ in both, and parity signatures leave few pairs, which are verified on the whole
 an earlier one (by document, then by line) is similar to is removed.
 
 Copies and near copies never make all pairs. A line equal to an earlier one of the same step is
-settled there; at a meeting word a later line takes one earlier candidate and leaves. Only for lines
+settled there, and short sets are grouped over all steps; at a meeting word a later line takes one earlier candidate and leaves. Only for lines
 whose candidates all fail, which few do, every candidate is tried in a second round. Meeting words
 of many lines are dealt out so that every pair of shares meets. The bit sets and bucket counts that
 tasks hold have a fixed size whatever the input.
@@ -27,8 +27,10 @@ from tunemill.llm.common import mixed, runs, signed, steps, utf8, whole_groups
 from tunemill.session import written
 
 SIMILARITY = 0.8
-#: Lines of fewer words are left alone.
+#: Lines of fewer words are left alone, unless a caller asks for shorter ones; the registered query and the pipeline take all.
 LEAST_WORDS = 5
+#: Sets of fewer words are told to be equal by a grouping, before the join.
+SHORT = 5
 #: Buckets of words for rarity, and bits of the sets of lines and words, as powers of two.
 BUCKETS = 20
 BIT_SET = 24
@@ -119,12 +121,12 @@ def _within_lines(line: np.ndarray, tokens: np.ndarray) -> np.ndarray:
 
 
 class _Lines:
-    """The lines of a step with words enough: owner, number, and their sets as sorted tokens.
+    """The lines of a step with ``least`` words or more: owner, number, and their sets as sorted tokens.
 
     With ``wanted``, a bit set of lines, only those.
     """
 
-    def __init__(self, batch: pa.RecordBatch, levels: np.ndarray, wanted: np.ndarray | None = None):
+    def __init__(self, batch: pa.RecordBatch, levels: np.ndarray, least: int, wanted: np.ndarray | None = None):
         ids = batch.column("doc_id").to_pylist()
         kept = [i for i, doc in enumerate(ids) if doc is not None]
         texts = utf8(batch.column("text"))
@@ -137,7 +139,7 @@ class _Lines:
         number = np.arange(int(counts.sum())) - np.repeat(np.cumsum(counts) - counts, counts)
         hashes, starts = hashed_words(data)
         line = np.searchsorted(ends, starts)
-        use = np.bincount(line, minlength=len(doc)) >= LEAST_WORDS
+        use = np.bincount(line, minlength=len(doc)) >= least
         if wanted is not None:
             use &= _inside(wanted, line_hash(doc, number))
         hashes, line = hashes[use[line]], (np.cumsum(use) - 1)[line[use[line]]]
@@ -178,14 +180,14 @@ def _lists(tokens: np.ndarray, begin: np.ndarray, size: np.ndarray) -> pa.Array:
                                     pa.array(signed(tokens[at])))
 
 
-def _prefixes(docs: DataFrame, levels: np.ndarray, similarity: float) -> DataFrame:
+def _prefixes(docs: DataFrame, levels: np.ndarray, similarity: float, least: int) -> DataFrame:
     """``(doc_id, line_no, n, low, high, prefix)`` (both halves of a signature) of the lines that go on, ``prefix`` NULL for those
-    that are settled: equal to an earlier line of the same step."""
+    that are settled: equal to an earlier line of the same step. Of a set of fewer than ``SHORT`` words it is the whole set."""
     sent = docs.sparkSession.sparkContext.broadcast(levels)
 
     def per_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in steps(batches, step_bytes=STEP):
-            found = _Lines(batch, sent.value)
+            found = _Lines(batch, sent.value, least)
             if not len(found.size):
                 continue
             sums = found.sums()
@@ -199,7 +201,7 @@ def _prefixes(docs: DataFrame, levels: np.ndarray, similarity: float) -> DataFra
                     found.tokens[found.begin[x]:found.begin[x] + found.size[x]],
                     found.tokens[found.begin[y]:found.begin[y] + found.size[y]])
                 settled[y] = same and (found.doc[x], found.number[x]) < (found.doc[y], found.number[y])
-            size = np.where(settled, 0, prefix_size(found.size, similarity))
+            size = np.where(settled, 0, np.where(found.size < SHORT, found.size, prefix_size(found.size, similarity)))
             lists = _lists(found.tokens, found.begin, size)
             lists = pa.ListArray.from_arrays(lists.offsets, lists.values, mask=pa.array(settled))
             yield pa.RecordBatch.from_arrays(
@@ -211,6 +213,20 @@ def _prefixes(docs: DataFrame, levels: np.ndarray, similarity: float) -> DataFra
         per_task, "doc_id long, line_no int, n int, low long, high long, prefix array<long>")
 
 
+def _short_firsts(short: DataFrame, similarity: float) -> tuple[DataFrame, DataFrame]:
+    """Of lines with short sets: the first of every set that another set can be similar to, and the lines that an equal one precedes."""
+    least = F.min(F.struct("doc_id", "line_no")).alias("first")
+    firsts = written(short.groupBy("prefix").agg(least, *(F.min(c).alias(c) for c in ("n", "low", "high")))
+                     .select("first.doc_id", "first.line_no", "n", "low", "high", "prefix"), "short-lines")
+    later = short.join(firsts, ["doc_id", "line_no", "prefix"], "left_anti").select("doc_id", "line_no")
+    sizes = np.arange(1, SHORT)
+    fewest = np.ceil(similarity * sizes - 1e-9)
+    meet = (fewest < sizes) | (np.floor(sizes / similarity + 1e-9) > sizes)
+    sized = F.element_at(F.array(*(F.lit(int(k)) for k in prefix_size(sizes, similarity))), F.col("n"))
+    meeting = firsts.where(F.col("n").isin([int(k) for k in sizes[meet]])).withColumn("prefix", F.slice("prefix", F.lit(1), sized))
+    return meeting, later
+
+
 def _bit_set(hashes: DataFrame, bits: int) -> np.ndarray:
     """Bit set of a column ``hash``; its size depends on ``bits`` only."""
     words = (hashes.select(F.col("hash").bitwiseAND((1 << bits) - 1).alias("place"))
@@ -337,11 +353,12 @@ def _candidates(postings: DataFrame, similarity: float, targets: np.ndarray | No
             .mapInArrow(per_task, "x_doc long, x_line int, y_doc long, y_line int").distinct())
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, levels: np.ndarray, similarity: float, bits: int) -> DataFrame:
+def _verified(pairs: DataFrame, docs: DataFrame, levels: np.ndarray, similarity: float, bits: int,
+              least: int) -> DataFrame:
     """Of the candidate pairs those that are similar by their whole sets."""
     ends = pairs.select(F.col("x_doc").alias("doc_id"), F.col("x_line").alias("line_no")).union(
         pairs.select("y_doc", "y_line"))
-    sent = docs.sparkSession.sparkContext.broadcast((levels, _bit_set(_places(ends), bits)))
+    sent = docs.sparkSession.sparkContext.broadcast((levels, least, _bit_set(_places(ends), bits)))
 
     def per_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in steps(batches, step_bytes=STEP):
@@ -363,10 +380,10 @@ def _verified(pairs: DataFrame, docs: DataFrame, levels: np.ndarray, similarity:
 
 
 def removed_lines(docs: DataFrame, similarity: float = SIMILARITY, group: int = GROUP,
-                  buckets: int = BUCKETS, bits: int = BIT_SET) -> DataFrame:
+                  buckets: int = BUCKETS, bits: int = BIT_SET, least_words: int = LEAST_WORDS) -> DataFrame:
     """``(doc_id, line_no)`` of the lines (from 0) that an earlier line is similar to.
 
-    Words are told apart with A-Z in lower case. Lines of fewer than five words stay, as do all lines
+    Words are told apart with A-Z in lower case. Lines of fewer than ``least_words`` words stay, as do all lines
     of rows with a NULL doc_id. Rows that repeat a doc_id are one document: their lines of a number
     are decided together and are not copies of each other. NULL texts have no lines; other columns
     are ignored; an empty table gives no rows.
@@ -374,10 +391,12 @@ def removed_lines(docs: DataFrame, similarity: float = SIMILARITY, group: int =
     if not 0.5 <= similarity <= 1:
         raise ValueError("similarity must be between 0.5 and 1")
     levels = rarity_levels(docs, buckets)
-    prefixes = written(_prefixes(docs, levels, similarity), "line-prefixes")
-    going = prefixes.where("prefix IS NOT NULL")
+    prefixes = written(_prefixes(docs, levels, similarity, least_words), "line-prefixes")
+    open_prefixes = prefixes.where("prefix IS NOT NULL")
+    meeting, later = _short_firsts(open_prefixes.where(F.col("n") < SHORT), similarity)
+    going = open_prefixes.where(F.col("n") >= SHORT).unionByName(meeting)
     pairs = written(_candidates(_postings(going, group), similarity), "line-pairs")
-    similar = written(_verified(pairs, docs, levels, similarity, bits), "similar-lines")
+    similar = written(_verified(pairs, docs, levels, similarity, bits, least_words), "similar-lines")
     lines = similar.select(F.col("y_doc").alias("doc_id"), F.col("y_line").alias("line_no")).distinct()
     failed = written(pairs.select(F.col("y_doc").alias("doc_id"), F.col("y_line").alias("line_no")).distinct()
                      .join(lines, ["doc_id", "line_no"], "left_anti"), "unsettled-lines")
@@ -388,15 +407,15 @@ def removed_lines(docs: DataFrame, similarity: float = SIMILARITY, group: int =
         again = _postings(going, group, words.distinct())
         more = written(_candidates(again, similarity, open_lines)
                        .join(pairs, ["x_doc", "x_line", "y_doc", "y_line"], "left_anti"), "more-pairs")
-        found = _verified(more, docs, levels, similarity, bits)
+        found = _verified(more, docs, levels, similarity, bits, least_words)
         lines = lines.union(found.select("y_doc", "y_line")).distinct()
     settled = prefixes.where("prefix IS NULL").select("doc_id", "line_no")
-    return lines.union(settled).distinct()
+    return lines.union(settled).union(later).distinct()
 
 
-def line_report(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+def line_report(docs: DataFrame, similarity: float = SIMILARITY, least_words: int = LEAST_WORDS) -> DataFrame:
     """``(doc_id, n_lines, n_removed, removed)`` for every row: lines, and the numbers of those removed."""
-    found = (removed_lines(docs, similarity).groupBy("doc_id")
+    found = (removed_lines(docs, similarity, least_words=least_words).groupBy("doc_id")
              .agg(F.sort_array(F.collect_list("line_no")).alias("removed")))
     rows = docs.select("doc_id", F.size(F.split(F.coalesce("text", F.lit("")), "\n", -1)).cast("long").alias("n_lines"))
     removed = F.coalesce("removed", F.array().cast("array<int>"))
@@ -404,12 +423,12 @@ def line_report(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
         "doc_id", "n_lines", F.size(removed).cast("long").alias("n_removed"), removed.alias("removed"))
 
 
-def clean(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+def clean(docs: DataFrame, similarity: float = SIMILARITY, least_words: int = LEAST_WORDS) -> DataFrame:
     """``docs`` without the removed lines, all columns as they are; ``n_chars``, if there, is counted anew.
 
     A document of which no word is left, and had some, goes.
     """
-    found = (removed_lines(docs, similarity).groupBy("doc_id").agg(F.collect_list("line_no").alias("removed"))
+    found = (removed_lines(docs, similarity, least_words=least_words).groupBy("doc_id").agg(F.collect_list("line_no").alias("removed"))
              .select(F.col("doc_id").alias("_removed_doc"), F.col("removed").alias("_removed")))
     joined = docs.join(found, docs["doc_id"] == found["_removed_doc"], "left").drop("_removed_doc")
     names = docs.columns

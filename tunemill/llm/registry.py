@@ -91,4 +91,4 @@ def op1_toxicity_channel(spark, sf_dir):
 @query
 def op5_line_similarity(spark, sf_dir):
     """Lines of every document, and which of them repeat an earlier line."""
-    return lines.line_report(read_table(spark, sf_dir, "documents"))
+    return lines.line_report(read_table(spark, sf_dir, "documents"), least_words=1)
