@@ -79,3 +79,19 @@ def test_nulls_repeats_and_empty_tables(spark):
     got = sorted(((r.doc_id, r.spans) for r in secrets.found(df).collect()), key=repr)
     assert got == sorted([(None, "assign:0:14"), (1, ""), (1, ""), (2, "access:300001:300017")], key=repr)
     assert secrets.found(df.limit(0)).count() == 0
+
+
+def test_threshold_counts_all_candidates_and_recall_wins(spark):
+    counts = np.zeros((2, secrets.BINS), np.int64)
+    counts[0, 10] = 1_000_000
+    counts[1, 3000], counts[1, 9000] = 10, 90
+    assert secrets.threshold(counts, 0.98) == 0.3
+    counts[1, 3000] = 1
+    assert secrets.threshold(counts, 0.98) == 0.5
+    counts[0, 8000] = 100_000
+    assert 0.8 < secrets.threshold(counts, 0.98) <= 0.9
+    rng = random.Random(1)
+    rows = [(bool(i % 2), bytes(rng.choices(range(33, 127), k=secrets.WIDTH))) for i in range(600)]
+    df = spark.createDataFrame(rows + [(None, rows[0][1])], "finding boolean, window binary")
+    found = secrets.score_counts(df, secrets.CharNet(), {w for _, w in rows[:100]})
+    assert found.sum(axis=1).tolist() == [250, 750]

@@ -3,8 +3,8 @@
 One pass over the texts finds the spans of the patterns and every candidate, a run of key characters
 with a digit, with the characters around it. What a pattern found is a labelled finding; the other
 candidates are labelled as none. The network (numpy) learns from a bounded sample of both and judges
-all candidates. Its threshold is set on findings kept aside: as few others as can be, but ``RECALL``
-of the findings. The sample is also shown without what stands before it and in capitals, so that a
+all candidates. Its threshold is set on all candidates that it didn't learn from, counted by score: as few
+others as can be, but ``RECALL`` of the findings. Findings and the sample are also shown without what stands before it and in capitals, so that a
 value counts for itself.
 """
 
@@ -38,6 +38,8 @@ WIDTH = BEFORE + OWN + AFTER
 SAMPLE = 4000
 RECALL = 0.98
 OTHERS = 0.001
+#: Bins of the scores that the threshold is set on.
+BINS = 10_000
 SEED = 7
 
 
@@ -185,20 +187,55 @@ def characters(windows: list[bytes]) -> np.ndarray:
     return np.frombuffer(b"".join(windows), np.uint8).reshape(-1, WIDTH).astype(np.int64) & 127
 
 
-def threshold(scores: np.ndarray, labels: np.ndarray, recall: float) -> float:
-    """Threshold from scores kept aside: no more than ``OTHERS`` of the other candidates pass, unless
-    that would find less than ``recall`` of the findings; never under one half."""
-    findings, others = np.sort(scores[labels == 1]), np.sort(scores[labels == 0])
-    most = float(findings[int(len(findings) * (1 - recall))])
-    least = float(others[int(len(others) * (1 - OTHERS))]) + 0.01
-    return max(0.5, min(most, least))
+def threshold(counts: np.ndarray, recall: float) -> float:
+    """Threshold from counts (kind, score bin): no more than ``OTHERS`` of the other candidates pass, and it is no
+    less than one half, unless that would find less than ``recall`` of the findings."""
+    passing = counts[:, ::-1].cumsum(axis=1)[:, ::-1]  # those at or over the lower edge of a bin
+    most = int(np.flatnonzero(passing[1] >= recall * passing[1, 0])[-1])
+    low = np.flatnonzero(passing[0] <= OTHERS * passing[0, 0])
+    least = int(low[0]) if len(low) else BINS - 1
+    return min(most, max(BINS // 2, least)) / BINS
+
+
+def score_counts(candidates: DataFrame, net: CharNet, taught: set[bytes]) -> np.ndarray:
+    """Candidates by kind and score bin, over all that the network wasn't fitted on. Findings count in all three forms."""
+    sent = candidates.sparkSession.sparkContext.broadcast((net, taught))
+
+    def per_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        judge, known = sent.value
+        counts = np.zeros((2, BINS), np.int64)
+        for batch in batches:
+            for kind in (0, 1):
+                windows = [w for w, k in zip(batch.column("window").to_pylist(), batch.column("finding").to_pylist())
+                           if k is not None and int(k) == kind and w not in known]
+                if windows:
+                    chars = characters(windows)
+                    for shown in forms(chars) if kind else [chars]:
+                        at = np.minimum((judge.scores(shown) * BINS).astype(np.int64), BINS - 1)
+                        counts[kind] += np.bincount(at, minlength=BINS)
+        at = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(counts.reshape(-1)[at])], ["at", "n"])
+
+    rows = (candidates.select("finding", "window").mapInArrow(per_task, "at long, n long")
+            .groupBy("at").agg(F.sum("n").alias("n")).toArrow())
+    out = np.zeros(2 * BINS, np.int64)
+    out[rows.column("at").to_numpy()] = rows.column("n").to_numpy()
+    return out.reshape(2, BINS)
+
+
+def forms(chars: np.ndarray) -> list[np.ndarray]:
+    """Windows as they are, without what stands before, and in capitals."""
+    bare = chars.copy()
+    bare[:, :BEFORE] = 0
+    return [chars, bare, np.where((chars >= 97) & (chars <= 122), chars - 32, chars)]
 
 
 def train(candidates: DataFrame, sample: int = SAMPLE, recall: float = RECALL) -> CharNet | None:
     """The network, fitted on at most ``sample`` candidates of each kind (columns finding, window).
 
-    The sample has the candidates of the least hashes, equal windows once. Every fourth is kept aside
-    for the threshold. Without enough of both kinds there is no network.
+    The sample has the candidates of the least hashes, equal windows once. The network isn't fitted on every
+    fourth. The threshold is set on all candidates that it wasn't fitted on. Without enough of both kinds
+    there is no network.
     """
     hashed = F.xxhash64("window")
     kept = {}
@@ -212,13 +249,10 @@ def train(candidates: DataFrame, sample: int = SAMPLE, recall: float = RECALL) -
     chars = characters([w for w, _, _ in rows])
     labels = np.array([k for _, k, _ in rows], np.float64)
     aside = np.array([a for _, _, a in rows])
-    bare = chars.copy()
-    bare[:, :BEFORE] = 0
-    shown = [chars, bare, np.where((chars >= 97) & (chars <= 122), chars - 32, chars)]
+    shown = forms(chars)
     net = CharNet()
     net.fit(np.concatenate([c[~aside] for c in shown]), np.tile(labels[~aside], len(shown)))
-    scores = np.concatenate([net.scores(c[aside]) for c in shown])
-    net.threshold = threshold(scores, np.tile(labels[aside], len(shown)), recall)
+    net.threshold = threshold(score_counts(candidates, net, {w for w, _, a in rows if not a}), recall)
     return net
 
 
