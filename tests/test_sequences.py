@@ -230,3 +230,18 @@ def test_unknown_songs_and_histories_in_parts_keep_their_places(spark):
     vocab = spark.createDataFrame([(0, "a"), (1, "b"), (2, "c")], "label bigint, song string")
     got = {r.userId: (r["items"], r.n) for r in seq.encode_sequences(df, vocab).collect()}
     assert got == {1: ([0, 1, None, 2, 0], 5), 2: ([None], 1)}
+
+
+def test_a_history_over_the_bound_of_a_part_is_one_row(spark, monkeypatch):
+    from tunemill.registry import sequences as registered
+    from tunemill.registry.base import QUERIES
+
+    n = seq.CHUNK + 1
+    df = spark.range(n).selectExpr("1L AS userId", "timestamp_seconds(id) AS ts", "concat('s', id) AS song")
+    rows = seq.whole_sequences(seq.user_sequences(df)).collect()
+    assert [r["items"] for r in rows] == [[f"s{i}" for i in range(n)]]
+    monkeypatch.setattr(registered, "staged", lambda g: df)
+    (row,) = QUERIES["user_sequences"](spark, "none").collect()
+    assert row.part == 0 and row.songs == ",".join(f"s{i}" for i in range(n))
+    (row,) = QUERIES["append_history"](spark, "none").collect()
+    assert row.songs.startswith(",".join(f"s{i}" for i in range(n)) + ",s")

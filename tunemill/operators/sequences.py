@@ -53,6 +53,16 @@ def user_sequences(plays: DataFrame, item: str = "song", chunk: int = CHUNK,
             .select("userId", "part", F.col("_all.item").alias("items")))
 
 
+def whole_sequences(sequences: DataFrame) -> DataFrame:
+    """One row per user whatever the length: the arrays of all parts put together, in order: ``userId, items``.
+
+    Plays are placed and sorted by parts before; only the arrays of a user meet here.
+    """
+    parts = F.array_sort(F.collect_list(F.struct("part", "items")))
+    return (sequences.groupBy("userId").agg(parts.alias("_all"))
+            .select("userId", F.flatten("_all.items").alias("items")))
+
+
 def sequence_lengths(plays: DataFrame) -> DataFrame:
     return plays.groupBy("userId").agg(F.count(F.lit(1)).alias("n"))
 
@@ -120,9 +130,10 @@ def encode_sequences(sequences: DataFrame, vocab: DataFrame) -> DataFrame:
     part = F.col("part") if "part" in sequences.columns else F.lit(0)
     flat = sequences.select("userId", part.alias("_part"), F.posexplode("items").alias("_pos", "song"))
     coded = encode_plays(flat, vocab)
-    ordered = F.array_sort(F.collect_list(F.struct("_part", "_pos", F.col("label").cast("int").alias("l"))))
-    return (coded.groupBy("userId").agg(ordered.alias("_all"))
-            .select("userId", F.col("_all.l").alias("items"), F.size("_all").alias("n")))
+    ordered = F.array_sort(F.collect_list(F.struct("_pos", F.col("label").cast("int").alias("l"))))
+    arrays = (coded.groupBy("userId", F.col("_part").alias("part")).agg(ordered.alias("_all"))
+              .select("userId", "part", F.col("_all.l").alias("items")))
+    return whole_sequences(arrays).withColumn("n", F.size("items"))
 
 
 def decode_label(df: DataFrame, vocab: DataFrame, label: str = "label") -> DataFrame:

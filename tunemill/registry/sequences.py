@@ -71,7 +71,8 @@ def _(g):
 SELECT userId, CAST(0 AS BIGINT) AS part, string_agg(song, ',' ORDER BY ts, song) AS songs
 FROM stg_listen GROUP BY userId""")
 def _(g):
-    return seq.user_sequences(staged(g)).select("userId", "part", text("items").alias("songs"))
+    whole = seq.whole_sequences(seq.user_sequences(staged(g)))
+    return whole.select("userId", F.lit(0).cast("bigint").alias("part"), text("items").alias("songs"))
 
 
 @query("sequence_lengths", "SELECT userId, count(*) AS n FROM stg_listen GROUP BY userId")
@@ -257,7 +258,7 @@ def _(g):
     drawn = recommend.cold_start(events.select("userId").distinct(), vocab)
     new = seq.decode_label(drawn, vocab).select("userId", after.alias("ts"), "song")
     longer = seq.append_history(events, new)
-    return seq.user_sequences(longer).select("userId", text("items").alias("songs"))
+    return seq.whole_sequences(seq.user_sequences(longer)).select("userId", text("items").alias("songs"))
 
 
 @query("recommend_next", """
