@@ -95,3 +95,15 @@ def test_threshold_counts_all_candidates_and_recall_wins(spark):
     df = spark.createDataFrame(rows + [(None, rows[0][1])], "finding boolean, window binary")
     found = secrets.score_counts(df, secrets.CharNet(), {w for _, w in rows[:100]})
     assert found.sum(axis=1).tolist() == [250, 750]
+
+
+def test_letters_only_and_all_of_a_long_run_are_candidates(spark):
+    middle = "/path" * 20 + "Kq7ZxV9w" + "/path" * 20
+    texts = ["see abcdefghijkl now", "a " + middle + " b", "token=" + "deadbeef" * 5]
+    rows = {r.doc_id: r.candidates for r in secrets.scan(docs_of(spark, texts)).collect()}
+    assert [(c.start, c.end, c.finding) for c in rows[0]] == [(4, 16, False)]
+    assert {(c.start, c.end) for c in rows[1]} == {(2, 2 + len(middle))}
+    shown = [bytes(c.window[secrets.BEFORE:secrets.BEFORE + secrets.OWN]) for c in rows[1]]
+    assert any(b"Kq7ZxV9w" in w for w in shown) and shown[-1] == middle[-secrets.OWN:].encode()
+    assert all(c.finding for c in rows[2])
+    assert all(any(middle[i:i + 20].encode() in w for w in shown) for i in range(len(middle) - 20))

@@ -1,7 +1,8 @@
 """Secret scan: patterns, and a character convolutional network over other candidates in context.
 
-One pass over the texts finds the spans of the patterns and every candidate, a run of key characters
-with a digit, with the characters around it. What a pattern found is a labelled finding; the other
+One pass over the texts finds the spans of the patterns and every candidate, a run of key characters,
+with the characters around it; a long run is seen through overlapping windows, and its score is their
+greatest. What a pattern found is a labelled finding; the other
 candidates are labelled as none. The network (numpy) learns from a bounded sample of both and judges
 all candidates. Its threshold is set on all candidates that it didn't learn from, counted by score: as few
 others as can be, but ``RECALL`` of the findings. Findings and the sample are also shown without what stands before it and in capitals, so that a
@@ -31,7 +32,7 @@ RUN = re.compile(r"[A-Za-z0-9+/_.=-]{8,}")
 DIGIT = re.compile(r"[0-9]")
 LEAST_VALUE, LEAST_ACCESS = 8, 16
 
-#: Characters the network sees before, of and after a candidate. Of a long one, both ends.
+#: Characters the network sees before, of and after a candidate or a part of a long one.
 BEFORE, OWN, AFTER = 16, 40, 8
 WIDTH = BEFORE + OWN + AFTER
 #: Labelled candidates of each kind that the network is fitted on, those of the least hashes.
@@ -70,8 +71,18 @@ def window(text: str, start: int, end: int) -> bytes:
     return shown.encode("ascii", "replace")
 
 
+def shares(start: int, end: int) -> list[tuple[int, int]]:
+    """Overlapping parts of a run that windows show whole; together they are the run."""
+    last = max(start, end - OWN)
+    return [(at, min(at + OWN, end)) for at in [*range(start, last, OWN // 2), last]]
+
+
 def scan(docs: DataFrame) -> DataFrame:
-    """One row for every row of ``docs``: spans of the patterns, and candidates with their windows."""
+    """One row for every row of ``docs``: spans of the patterns, and the windows of candidates.
+
+    A long candidate has several windows, one after the other. ``finding`` is NULL for those of a
+    candidate that a pattern touches at another place: they teach nothing and aren't judged.
+    """
     kinds = {k: i for i, k in enumerate(KINDS)}
 
     def per_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -80,15 +91,19 @@ def scan(docs: DataFrame) -> DataFrame:
             for text in batch.column("text").to_pylist():
                 found = base_spans(text) if text else []
                 seen, at = [], 0
-                if text and DIGIT.search(text):
-                    for m in RUN.finditer(text):
-                        if not DIGIT.search(m[0]):
-                            continue
-                        while at < len(found) and found[at][2] <= m.start():
-                            at += 1
-                        inside = any(s < m.end() and m.start() < e for _, s, e in found[at:at + 4])
-                        seen.append({"start": m.start(), "end": m.end(), "finding": inside,
-                                     "window": window(text, *m.span())})
+                for m in RUN.finditer(text or ""):
+                    while at < len(found) and found[at][2] <= m.start():
+                        at += 1
+                    near = []
+                    for k in range(at, len(found)):
+                        if found[k][1] >= m.end():
+                            break
+                        near.append(found[k])
+                    touched = any(m.start() < e for _, _, e in near)
+                    for begin, end in shares(*m.span()):
+                        inside = any(s < end and begin < e for _, s, e in near)
+                        seen.append({"start": m.start(), "end": m.end(), "finding": inside or (None if touched else False),
+                                     "window": window(text, begin, end)})
                 spans.append([{"kind": kinds[k], "start": s, "end": e} for k, s, e in found])
                 candidates.append(seen)
             yield pa.RecordBatch.from_arrays(
@@ -274,14 +289,15 @@ def found(docs: DataFrame, sample: int = SAMPLE, recall: float = RECALL) -> Data
             for begin in range(0, batch.num_rows, 2000):
                 part = batch.slice(begin, 2000)
                 spans = part.column("spans").to_pylist()
-                lists = [[c for c in row if not c["finding"]] for row in part.column("candidates").to_pylist()]
+                lists = [[c for c in row if c["finding"] is False] for row in part.column("candidates").to_pylist()]
                 flat = [c["window"] for row in lists for c in row]
                 scores = iter(judge.scores(characters(flat)) if judge and flat else np.zeros(len(flat)))
                 base, every, added = [], [], []
                 for row, more in zip(spans, lists):
                     own = [(KINDS[s["kind"]], s["start"], s["end"]) for s in row]
-                    extra = [("model", c["start"], c["end"]) for c in more
-                             if next(scores) >= (judge.threshold if judge else 1.0)]
+                    passed = {(c["start"], c["end"]) for c in more
+                              if next(scores) >= (judge.threshold if judge else 1.0)}
+                    extra = [("model", *c) for c in sorted(passed)]
                     base.append(own)
                     added.append(len(extra))
                     every.append(sorted(own + extra, key=lambda s: (s[1], KINDS.index(s[0]))))
