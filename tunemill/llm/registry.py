@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tunemill.llm import contain, lines, pieces, quality, secrets, simhash, tokens, toxicity, urls, warc
+from tunemill.llm import audit, contain, lines, pieces, quality, secrets, simhash, tokens, toxicity, urls, warc
 from tunemill.llm.common import read_table
 
 QUERIES: dict = {}
@@ -92,3 +92,9 @@ def op1_toxicity_channel(spark, sf_dir):
 def op5_line_similarity(spark, sf_dir):
     """Lines of every document, and which of them repeat an earlier line."""
     return lines.line_report(read_table(spark, sf_dir, "documents"), least_words=1)
+
+
+@checked(audit.audited_sql())
+def op13_filter_diagrams(spark, sf_dir):
+    """Steps of all orders of five filters, by language."""
+    return audit.audited(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
