@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tunemill.llm import audit, contain, lines, pieces, quality, secrets, simhash, tokens, toxicity, urls, warc
+from tunemill.llm import audit, contain, lines, pieces, quality, secrets, simhash, spans, tokens, toxicity, urls, warc
 from tunemill.llm.common import read_table
 
 QUERIES: dict = {}
@@ -98,3 +98,9 @@ def op5_line_similarity(spark, sf_dir):
 def op13_filter_diagrams(spark, sf_dir):
     """Steps of all orders of five filters, by language."""
     return audit.audited(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+@checked(spans.deduplicated_sql())
+def op11_debruijn_spans(spark, sf_dir):
+    """Words of every document that are left without long sequences that stand elsewhere too."""
+    return spans.deduplicated(read_table(spark, sf_dir, "documents"))
