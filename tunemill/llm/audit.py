@@ -18,11 +18,10 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tunemill.llm.common import steps, utf8
-from tunemill.session import written
 
 FILTERS = "ABCDE"
 LEAST_WORDS = 100
@@ -164,21 +163,27 @@ def failure_marks(docs: DataFrame) -> DataFrame:
 def mask_counts(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``(part, mask, n, good, toxic)`` over all documents; bit 4 marks a text of a smaller doc_id.
 
-    Of repeated label rows of a document one is enough. What a task holds is a row of counts for each of
-    its parts and masks. Copies are only joined with the least id of their text, and a text that stands
-    once isn't joined with anything.
+    Of repeated label rows of a document one is enough. Copies are summed up before they meet: a text has
+    one row for each part, with what stands at the least id beside it, so no group grows with its copies.
     """
-    marks = written(failure_marks(docs), "failure-marks")
-    firsts = (marks.groupBy("digest").agg(F.min("doc_id").alias("first"), F.count("*").alias("copies"))
-              .where("copies > 1").select("digest", "first"))
     judged = labels.groupBy("doc_id").agg(
         F.max((F.col("quality") == 1).cast("int")).alias("good"),
         F.max((F.col("toxic") == 1).cast("int")).alias("toxic"))
-    later = F.coalesce(F.col("doc_id") > F.col("first"), F.lit(False))
-    return (marks.join(firsts, "digest", "left").join(judged, "doc_id", "left")
-            .groupBy("part", (F.col("mask") + F.when(later, 16).otherwise(0)).alias("mask"))
-            .agg(F.count("*").alias("n"), F.sum(F.coalesce("good", F.lit(0))).alias("good"),
-                 F.sum(F.coalesce("toxic", F.lit(0))).alias("toxic")))
+    sums = [F.sum(c).alias(c) for c in _COUNTS]
+    rows = (failure_marks(docs).join(judged, "doc_id", "left")
+            .select("doc_id", "digest", "part", "mask", F.lit(1).alias("n"), *(F.coalesce(c, F.lit(0)).alias(c) for c in _COUNTS[1:]))
+            .groupBy("doc_id", "digest", "part", "mask").agg(*sums))
+    named = F.col("doc_id").isNotNull()
+    texts = rows.groupBy("digest", "part", "mask").agg(
+        *sums, F.struct(*(F.coalesce(F.sum(F.when(~named, F.col(c))), F.lit(0)).alias(c) for c in _COUNTS)).alias("unnamed"),
+        F.min(F.when(named, F.struct("doc_id", *_COUNTS))).alias("least"))
+    first = F.min("least.doc_id").over(Window.partitionBy("digest"))  # over the parts of a text
+    texts = texts.withColumn("at_first", F.coalesce(F.col("least.doc_id") == first, F.lit(False)))
+    texts = texts.withColumn("stay", F.struct(*(
+        (F.col("unnamed")[c] + F.when(F.col("at_first"), F.col("least")[c]).otherwise(0)).alias(c) for c in _COUNTS)))
+    both = F.array(F.struct(F.col("mask"), *(F.col("stay")[c].alias(c) for c in _COUNTS)),
+                   F.struct((F.col("mask") + 16).alias("mask"), *((F.col(c) - F.col("stay")[c]).alias(c) for c in _COUNTS)))
+    return texts.select("part", F.inline(both)).where("n > 0").groupBy("part", "mask").agg(*sums)
 
 
 def order_report(counts: DataFrame, filters: str = FILTERS) -> DataFrame:
