@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tunemill.llm import audit, contain, lines, pieces, quality, secrets, simhash, spans, tokens, toxicity, urls, warc
+from tunemill.llm import audit, contain, lines, pieces, quality, ranking, secrets, simhash, spans, tokens, toxicity, urls, warc
 from tunemill.llm.common import read_table
 
 QUERIES: dict = {}
@@ -104,3 +104,9 @@ def op13_filter_diagrams(spark, sf_dir):
 def op11_debruijn_spans(spark, sf_dir):
     """Words of every document that are left without long sequences that stand elsewhere too."""
     return spans.deduplicated(read_table(spark, sf_dir, "documents"))
+
+
+@checked(ranking.ranked_sql())
+def op12_blocked_ranking(spark, sf_dir):
+    """The 50 documents of the highest scores for every test item."""
+    return ranking.ranked(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
