@@ -31,14 +31,15 @@ TOP = 50
 BLOCK_TERMS = 30_000
 #: Queries of more terms have no summaries: all blocks of their terms are scored.
 LONG = 300
-#: Documents and postings of a cell at most (one document at least).
+#: Documents (65,536 at most) and postings of a cell at most; a cell has one document at least.
 CELL_DOCS = 256
 CELL_POSTINGS = 32_768
 PROJECTIONS = 30
 
 _TERM = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b > 127 else 32 for b in range(256))
 _VECTOR = "doc_id long, n long, terms array<int>, tfs array<int>"
-_CELL = "docs array<long>, terms array<int>, starts array<int>, rows array<int>, impacts array<long>, summaries array<long>"
+_CELL_NAMES = ["docs", "n", "terms", "starts", "rows", "tfs", "filled", "tops"]
+_CELL = "docs array<long>, " + ", ".join(f"{name} binary" for name in _CELL_NAMES[1:])
 _FOUND = "query int, doc_id long, score long"
 
 
@@ -153,44 +154,58 @@ def in_order(rows: DataFrame, weights: np.ndarray, documents: int, length: int)
     return placed.repartitionByRange("place", "doc_id").sortWithinPartitions("place", "doc_id").drop("place")
 
 
-def cells(rows: DataFrame, weights: np.ndarray, documents: int, length: int, tables) -> DataFrame:
+def _opened(docs, n, terms, starts, rows, tfs, scale: tuple) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Impacts of a cell's postings, as a list and as a table with a last column of zeros; columns by term number."""
+    weights, documents, length = scale
+    rows = rows.astype(np.int64)
+    value = impact(np.repeat(weights[terms], np.diff(starts)), tfs.astype(np.int64), n[rows], documents, length)
+    column = np.full(len(weights), len(terms), np.int64)
+    column[terms] = np.arange(len(terms))
+    table = np.zeros((len(docs), len(terms) + 1), np.int64)
+    table[rows, np.repeat(np.arange(len(terms)), np.diff(starts))] = value
+    return value, table, column
+
+
+def cells(rows: DataFrame, scale, tables) -> DataFrame:
     """The index: a row for each cell with the posting lists of its terms and a summary for every block.
 
-    A term's postings are ``rows`` and ``impacts`` from its place in ``starts`` on; its summary has one
-    number for each term beside it.
+    A term's postings are ``rows`` and ``tfs`` from its place in ``starts`` on. Its summary has a number for
+    each term beside it: ``filled`` has a bit for each that isn't 0, and for those ``tops`` has the row
+    whose impact is the greatest. All but the ids are the bytes of arrays.
     """
-    def cell(docs: list, n: np.ndarray, sizes: np.ndarray, term: np.ndarray, tf: np.ndarray) -> tuple:
+    def cell(docs: list, n: np.ndarray, sizes: np.ndarray, term: np.ndarray, tf: np.ndarray) -> list:
         _, _, beside_start, beside, _, _ = tables.value
         row = np.repeat(np.arange(len(docs)), sizes)
-        value = impact(weights[term], tf, n[row], documents, length)
         order = np.lexsort((row, term))
-        row, term, value = row[order], term[order], value[order]
+        row, term, tf = row[order], term[order], tf[order]
         held, starts = np.unique(term, return_index=True)
-        column = np.full(len(weights), len(held), np.int64)
-        column[held] = np.arange(len(held))
-        table = np.zeros((len(docs), len(held) + 1), np.int64)
-        table[row, column[term]] = value
         starts = np.append(starts, len(term))
-        summaries = [table[row[a:z, None], column[beside[beside_start[t]:beside_start[t + 1]]][None, :]].max(axis=0)
-                     for t, a, z in zip(held.tolist(), starts, starts[1:])]
-        return docs, held, starts, row, value, np.concatenate(summaries)
+        _, table, column = _opened(docs, n, held, starts, row, tf, scale.value)
+        table = np.where(table > 0, table << 16 | np.arange(len(docs))[:, None], 0)  # the impact, and whose it is
+        filled, tops = [], []
+        for t, a, z in zip(held.tolist(), starts, starts[1:]):
+            best = table[row[a:z, None], column[beside[beside_start[t]:beside_start[t + 1]]][None, :]].max(axis=0)
+            filled.append(best > 0)
+            tops.append(best[best > 0] & 0xFFFF)
+        return [docs, *(a.astype(kind).tobytes() for a, kind in (
+            (n, np.int64), (held, np.int32), (starts, np.int32), (row, np.uint16), (tf, np.int32),
+            (np.packbits(np.concatenate(filled)), np.uint8), (np.concatenate(tops), np.uint16)))]
 
     def per_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         docs, n, sizes, terms, tfs, held = [], [], [], [], [], 0
-        kinds = [pa.list_(k) for k in (pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64())]
-        names = ["docs", "terms", "starts", "rows", "impacts", "summaries"]
+        kinds = [pa.list_(pa.int64()), *[pa.binary()] * 7]
 
         def full():
             made = cell(docs, np.array(n, np.int64), np.array(sizes, np.int64), np.concatenate(terms), np.concatenate(tfs))
-            return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(made, kinds)], names)
+            return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(made, kinds)], _CELL_NAMES)
 
         for batch in batches:
             offsets = batch.column("terms").offsets.to_numpy()
             offsets = offsets - offsets[0]
             term = batch.column("terms").flatten().to_numpy()
-            tf = batch.column("tfs").flatten().to_numpy().astype(np.int64)
-            for i, (doc, size, a, z) in enumerate(zip(
-                    batch.column("doc_id").to_pylist(), batch.column("n").to_pylist(), offsets, offsets[1:])):
+            tf = batch.column("tfs").flatten().to_numpy()
+            for doc, size, a, z in zip(batch.column("doc_id").to_pylist(), batch.column("n").to_pylist(),
+                                       offsets.tolist(), offsets[1:].tolist()):
                 if docs and (len(docs) == CELL_DOCS or held + z - a > CELL_POSTINGS):
                     yield full()
                     docs, n, sizes, terms, tfs, held = [], [], [], [], [], 0
@@ -199,15 +214,29 @@ def cells(rows: DataFrame, weights: np.ndarray, documents: int, length: int, tab
                 sizes.append(z - a)
                 terms.append(term[a:z])
                 tfs.append(tf[a:z])
-                held += int(z - a)
+                held += z - a
         if docs:
             yield full()
 
     return rows.mapInArrow(per_task, _CELL)
 
 
+def _read_cell(batch: pa.RecordBatch, i: int, scale: tuple, tables: tuple) -> tuple:
+    """The ids of a cell, and what :func:`cell_scores` takes."""
+    _, _, beside_start, beside, _, _ = tables
+    kinds = (np.int64, np.int32, np.int32, np.uint16, np.int32, np.uint8, np.uint16)
+    n, terms, starts, rows, tfs, filled, tops = (
+        np.frombuffer(batch.column(k)[i].as_py(), kind) for k, kind in enumerate(kinds, 1))
+    value, table, column = _opened(n, n, terms, starts, rows, tfs, scale)
+    width = beside_start[terms + 1] - beside_start[terms]
+    summaries = np.zeros(int(width.sum()), np.int64)
+    filled = np.unpackbits(filled, count=len(summaries)).view(bool)
+    summaries[filled] = table[tops, column[beside[_spread(beside_start[terms], width)[filled]]]]
+    return batch.column(0)[i].values, (n, terms, starts, rows.astype(np.int64), value, summaries)
+
+
 def cell_scores(held: tuple, tables: tuple, least: np.ndarray, best_only: bool) -> tuple[np.ndarray, ...]:
-    """``(query, row, score)`` of a cell's documents that reach ``least`` of the query, from blocks that may hold one.
+    """``(query, row, score)`` of the documents of a cell (``docs`` has one entry each) that reach ``least`` of the query, from blocks that may hold one.
 
     With ``best_only`` just the block of the highest bound is looked into for every query.
     """
@@ -252,7 +281,7 @@ def cell_scores(held: tuple, tables: tuple, least: np.ndarray, best_only: bool)
     return live[found // n], found % n, scores[found]
 
 
-def searched(index: DataFrame, tables, least, top: int, best_only: bool = False) -> DataFrame:
+def searched(index: DataFrame, scale, tables, least, top: int, best_only: bool = False) -> DataFrame:
     """``(query, doc_id, score)``: of each task the ``top`` best documents of every query, ties by doc_id, NULL last."""
     def per_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bounds, arrays = least.value.copy(), tables.value
@@ -275,8 +304,7 @@ def searched(index: DataFrame, tables, least, top: int, best_only: bool = False)
 
         for batch in batches:
             for i in range(batch.num_rows):
-                held = tuple(batch.column(k)[i].values for k in range(6))
-                ids, held = held[0], (held[0], *(h.to_numpy(zero_copy_only=False) for h in held[1:]))
+                ids, held = _read_cell(batch, i, scale.value, arrays)
                 q, row, s = cell_scores(held, arrays, bounds, best_only)
                 if len(q):
                     found = ids.take(pa.array(row))
@@ -306,12 +334,13 @@ def _ranked_block(docs: DataFrame, queries: list[tuple], top: int) -> DataFrame:
     df = document_counts(rows, len(number))
     weights = np.array([math.floor(1000 * math.log((2 * documents + 2) / (2 * d + 1))) for d in df.tolist()], np.int64)
     tables = spark.sparkContext.broadcast(query_tables([[number[t] for t in terms] for _, terms in queries], len(number)))
-    index = written(cells(in_order(rows, weights, documents, length), weights, documents, length, tables), "cells")
+    scale = spark.sparkContext.broadcast((weights, documents, length))
+    index = written(cells(in_order(rows, weights, documents, length), scale, tables), "cells")
     least = np.ones(len(queries), np.int64)
-    first = _best(searched(index, tables, spark.sparkContext.broadcast(least), top, best_only=True), top)
+    first = _best(searched(index, scale, tables, spark.sparkContext.broadcast(least), top, best_only=True), top)
     for row in first.where(F.col("rank") == top).select("query", "score").collect():  # one a query at most
         least[row["query"]] = row["score"]
-    return _best(searched(index, tables, spark.sparkContext.broadcast(least), top), top)
+    return _best(searched(index, scale, tables, spark.sparkContext.broadcast(least), top), top)
 
 
 def ranked(docs: DataFrame, items: DataFrame, top: int = TOP, block_terms: int = BLOCK_TERMS) -> DataFrame:
