@@ -1,5 +1,7 @@
 """Every registered query against its SQL in DuckDB, on the smallest tables."""
 
+import re
+
 import pytest
 
 import check
@@ -17,7 +19,9 @@ def test_every_sql_has_a_query():
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    """All but those of the training-data part, whose own tests ask for SQL or a plain model."""
+    own = {name for name in queries() if name != "pipeline" and not re.match(r"op\d+_", name)}
+    assert own <= set(oracle_sql())
 
 
 def test_entry_has_rows(spark):

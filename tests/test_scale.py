@@ -69,11 +69,13 @@ def test_encoding_splits_a_hot_song(spark, skewed, small_partitions):
 
 
 def test_history_of_a_hot_user(skewed):
-    """The hot user's 120,000 plays reach the per-user step as one row per hour."""
+    """Of the hot user's 120,000 plays a row for each segment and each change of level goes on."""
     from tunemill.operators import scd2
-    starts = scd2.run_starts(skewed).where("userId = 7").count()
-    hours = skewed.where("userId = 7").select(F.date_trunc("hour", "ts")).distinct().count()
-    assert hours <= starts <= hours + 40
+    from tunemill.operators.segments import PART, in_segments
+    placed = in_segments(scd2.distinct_user_states(skewed), scd2.USER, "date")
+    starts = scd2.run_starts(placed.rows).where("userId = 7").count()
+    parts = placed.rows.where("userId = 7").select(PART).distinct().count()
+    assert parts <= starts <= parts + 40
 
 
 def test_hot_user_has_whole_positions(skewed):

@@ -104,9 +104,8 @@ def dim_location(events: DataFrame, state_codes: DataFrame) -> DataFrame:
                   "locationKey", "latitude", "longitude", "city", "stateName")
 
 
-def dim_users(events: DataFrame, special_ids: tuple[int, ...] = (0, 1),
-              bucket: str = "hour") -> DataFrame:
-    return _keyed(users_with_special(events, special_ids, bucket),
+def dim_users(events: DataFrame, special_ids: tuple[int, ...] = (0, 1)) -> DataFrame:
+    return _keyed(users_with_special(events, special_ids),
                   "userKey", "userId", "rowActivationDate", "level")
 
 

@@ -7,7 +7,9 @@ shuffles it otherwise, and AQE splits the hot keys of a shuffled join.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tunemill.functions.text import clean_name
@@ -24,20 +26,45 @@ def with_join_keys(events: DataFrame) -> DataFrame:
     })
 
 
-def join_user_scd2(plays: DataFrame, dim_users: DataFrame) -> DataFrame:
-    """Left interval join: the user's row whose days contain the day of the play.
+def month_number(day: Column) -> Column:
+    return F.year(day) * 12 + F.month(day)
+
 
-    Rows that end on the day they start match no play and are left out first,
-    so a user has at most one row per day to compare with. The equality on
-    ``userId`` is the join key; AQE splits the plays of a hot user.
+def history_by_month(dim_users: DataFrame, plays: DataFrame, carry: Iterable[str] = ("userKey",)) -> DataFrame:
+    """The user rows cut at month edges: ``_userId, _rowMonth``, both days of the row, and ``carry``.
+
+    A row is only cut between the user's own first and last play in ``plays``, so an open end costs as
+    many pieces as that user has months, and a user who never plays none. Rows that end on the day they
+    start contain no day and are left out.
     """
+    spans = (plays.groupBy(F.col("userId").alias("_userId"))
+             .agg(F.min("_day").alias("_first"), F.max("_day").alias("_last")))
+    starts, ends = F.col("rowActivationDate"), F.date_sub("rowExpirationDate", 1)
+    months = F.sequence(month_number(F.greatest(starts, F.col("_first"))),
+                        month_number(F.least(ends, F.col("_last"))))
     rows = (dim_users.where(F.col("rowActivationDate") < F.col("rowExpirationDate"))
-            .select("userKey", F.col("userId").alias("_userId"),
-                    "rowActivationDate", "rowExpirationDate"))
-    on = ((F.col("userId") == F.col("_userId"))
+            .select(F.col("userId").alias("_userId"), "rowActivationDate", "rowExpirationDate", *carry))
+    return (rows.join(spans, "_userId").where((starts <= F.col("_last")) & (ends >= F.col("_first")))
+            .select("_userId", F.explode(months).alias("_rowMonth"),
+                    "rowActivationDate", "rowExpirationDate", *carry))
+
+
+def join_user_scd2(plays: DataFrame, dim_users: DataFrame, seen: DataFrame | None = None,
+                   carry: Iterable[str] = ("userKey",)) -> DataFrame:
+    """Left interval join: ``carry`` of the user's row whose days contain the day of the play.
+
+    User and month are the join key, so a play meets the rows of one month, 31 at most for a plain
+    history, however long it is; the days are the residual condition. AQE splits the plays of a hot
+    user. ``seen`` may give the same plays as narrow rows (``userId, _day``), to spare what ``plays``
+    has been joined with before.
+    """
+    carry = tuple(carry)
+    rows = history_by_month(dim_users, plays if seen is None else seen, carry)
+    on = ((F.col("userId") == F.col("_userId")) & (F.col("_month") == F.col("_rowMonth"))
           & (F.col("_day") >= F.col("rowActivationDate"))
           & (F.col("_day") < F.col("rowExpirationDate")))
-    return plays.join(rows, on, "left").drop("_userId", "rowActivationDate", "rowExpirationDate")
+    return (plays.withColumn("_month", month_number(F.col("_day"))).join(rows, on, "left")
+            .drop("_userId", "_month", "_rowMonth", "rowActivationDate", "rowExpirationDate"))
 
 
 def join_artist(plays: DataFrame, dim_artists: DataFrame) -> DataFrame:
@@ -80,7 +107,8 @@ def fact_streams(events: DataFrame, dim_users: DataFrame, dim_artists: DataFrame
                                          "lat", "lon"))
     plays = join_datetime(plays, dim_datetime).drop("_hour")
     plays = join_location(plays, dim_location).drop("city", "state", "lat", "lon")
-    plays = join_user_scd2(plays, dim_users).drop("userId", "_day")
+    seen = events.select("userId", F.col("ts").cast("date").alias("_day"))
+    plays = join_user_scd2(plays, dim_users, seen).drop("userId", "_day")
     plays = join_artist(plays, dim_artists)
     return join_song(plays, dim_songs).select(*KEYS, "ts")
 

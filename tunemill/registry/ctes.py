@@ -26,6 +26,12 @@ _USER_TAIL = f"""{_text('city')}, {_text('state')}, {_text('userAgent')},
   COALESCE(registration, 9999999999999) AS registration"""
 
 _USER = "userId, firstName, lastName, gender"
+_PLACE = f"row_number() OVER (PARTITION BY {_USER} ORDER BY date, level, registration) AS place"
+
+
+def _same_user(a: str, b: str) -> str:
+    return " AND ".join(f"{a}.{c} = {b}.{c}" for c in _USER.split(", "))
+
 
 CTES: dict[str, str] = {
     "songs": given.SONGS_SQL.format(**_FILL),
@@ -55,23 +61,31 @@ SELECT *, strftime(time_bucket(INTERVAL '5 minutes', ts), '%Y-%m-%d %H-%M') AS s
   strftime(ts, '%Y-%m-%d %H') AS ts_hour FROM stg_listen""",
     "user_states": f"""
 SELECT DISTINCT {_USER}, registration, level, ts AS date FROM stg_listen WHERE userId <> 0""",
+    # the history told by places and joins, without a lag, a running sum or a lead
     "flagged": f"""
-SELECT *, CASE WHEN LAG(level, 1, 'NA') OVER (PARTITION BY {_USER}
-    ORDER BY date, level, registration) <> level THEN 1 ELSE 0 END AS lagged
-FROM user_states""",
+SELECT s.* EXCLUDE (place), CAST(s.level IS DISTINCT FROM COALESCE(p.level, 'NA') AS INT) AS changed
+FROM (SELECT *, {_PLACE} FROM user_states) s
+LEFT JOIN (SELECT *, {_PLACE} FROM user_states) p
+  ON {_same_user("s", "p")} AND p.place = s.place - 1""",
     "numbered": f"""
-SELECT *, CAST(SUM(lagged) OVER (PARTITION BY {_USER} ORDER BY date) AS BIGINT) AS grouped
-FROM flagged""",
+SELECT s.*, COALESCE(c.run, 0) AS run FROM flagged s ASOF LEFT JOIN (
+  SELECT {_USER}, date, max(place) AS run
+  FROM (SELECT *, {_PLACE} FROM flagged WHERE changed = 1) GROUP BY ALL) c
+ON {_same_user("s", "c")} AND s.date >= c.date""",
     "runs": f"""
-SELECT {_USER}, registration, level, grouped, CAST(MIN(date) AS DATE) AS minDate
+SELECT {_USER}, registration, level, run, CAST(MIN(date) AS DATE) AS firstDay
 FROM numbered GROUP BY ALL""",
+    "placed_runs": f"""
+SELECT *, row_number() OVER (PARTITION BY {_USER}
+  ORDER BY run, firstDay, registration, level) AS place FROM runs""",
+    "dated": f"""
+SELECT r.* EXCLUDE (place), COALESCE(n.firstDay, DATE '9999-12-31') AS rowExpirationDate,
+  CASE WHEN r.run = t.run THEN 1 ELSE 0 END AS currentRow
+FROM placed_runs r LEFT JOIN placed_runs n ON {_same_user("r", "n")} AND n.place = r.place + 1
+JOIN (SELECT {_USER}, max(run) AS run FROM runs GROUP BY ALL) t ON {_same_user("r", "t")}""",
     "history": f"""
-SELECT {_USER}, level, registration, minDate AS rowActivationDate,
-  LEAD(minDate, 1, DATE '9999-12-31') OVER (PARTITION BY {_USER}
-    ORDER BY grouped, minDate, registration, level) AS rowExpirationDate,
-  CASE WHEN RANK() OVER (PARTITION BY {_USER} ORDER BY grouped DESC) = 1
-    THEN 1 ELSE 0 END AS currentRow
-FROM runs""",
+SELECT {_USER}, level, registration, firstDay AS rowActivationDate, rowExpirationDate, currentRow
+FROM dated""",
     "special_rows": f"""
 SELECT {_USER}, level, registration, CAST(MIN(ts) AS DATE) AS rowActivationDate,
   DATE '9999-12-31' AS rowExpirationDate, 1 AS currentRow

@@ -83,17 +83,15 @@ def _(g):
 
 
 @query("row_expiration", """
-SELECT userId, firstName, lastName, gender, registration, level, grouped, minDate,
-  LEAD(minDate, 1, DATE '9999-12-31') OVER (PARTITION BY userId, firstName, lastName, gender
-    ORDER BY grouped, minDate, registration, level) AS rowExpirationDate FROM runs""")
+SELECT userId, firstName, lastName, gender, registration, level, run, firstDay,
+  rowExpirationDate FROM dated""")
 def _(g):
     return scd2.row_expiration(_runs(g))
 
 
 @query("current_row_flag", """
-SELECT userId, firstName, lastName, gender, registration, level, grouped, minDate,
-  CASE WHEN RANK() OVER (PARTITION BY userId, firstName, lastName, gender
-    ORDER BY grouped DESC) = 1 THEN 1 ELSE 0 END AS currentRow FROM runs""")
+SELECT userId, firstName, lastName, gender, registration, level, run, firstDay,
+  currentRow FROM dated""")
 def _(g):
     return scd2.current_row_flag(_runs(g))
 
@@ -207,12 +205,10 @@ JOIN dim_users u ON e.userId = u.userId AND CAST(e.ts AS DATE) >= u.rowActivatio
   AND CAST(e.ts AS DATE) < u.rowExpirationDate GROUP BY ALL""")
 def plays_per_level_and_day(g):
     """Plays per user, level on that day, and day: staging, history and interval join at once."""
-    users = dims.dim_users(staged(g))
-    joined = facts.join_user_scd2(plays_with_keys(g), users).where("userKey IS NOT NULL")
-    levels = users.select("userKey", "level").distinct()
-    return (joined.select("userId", F.col("_day").alias("day"), "userKey")
-            .join(levels, "userKey")
-            .groupBy("userId", "level", "day").agg(F.count(F.lit(1)).alias("plays")))
+    plays = staged(g).select("userId", F.col("ts").cast("date").alias("_day"))
+    joined = facts.join_user_scd2(plays, dims.dim_users(staged(g)), carry=("userKey", "level"))
+    return (joined.where("userKey IS NOT NULL").groupBy("userId", "level", F.col("_day").alias("day"))
+            .agg(F.count(F.lit(1)).alias("plays")))
 
 
 @query("join_artist", """
