@@ -46,9 +46,8 @@ def df(spark, plays):
     return spark.createDataFrame(plays, PLAYS).repartition(8)
 
 
-@pytest.mark.parametrize("bucket", ["minute", "hour", "day"])
-def test_positions(df, plays, bucket):
-    got = {(r.userId, r.pos): r.song for r in seq.play_positions(df, bucket=bucket).collect()}
+def test_positions(df, plays):
+    got = {(r.userId, r.pos): r.song for r in seq.play_positions(df).collect()}
     want = {(u, i): s for u, songs in by_user(plays).items() for i, s in enumerate(songs)}
     assert got == want
 
@@ -59,15 +58,28 @@ def test_positions_keep_plays_without_a_time(spark):
     assert [r.song for r in got] == ["a", "c", "b"]
 
 
-def test_chunks_are_whole(df, plays):
-    rows = seq.user_sequences(df, chunk=100).orderBy("userId", "part").collect()
-    assert max(len(r["items"]) for r in rows) <= 100
-    joined = defaultdict(list)
-    for r in rows:
-        assert r.part == len(joined[r.userId]) // 100
-        joined[r.userId] += r["items"]
-    assert joined == by_user(plays)
-    assert sum(1 for r in rows if r.userId == 0) > 5
+def test_histories_are_long_rows_of_any_length(spark):
+    """One user with 40 percent of all plays, all of them in one hour, is dealt over several tasks."""
+    n = 30_000
+    rows = spark.range(n).selectExpr("CASE WHEN id % 5 < 2 THEN 1L ELSE 2 + id % 500 END AS userId",
+                                     "timestamp_millis(id * 100) AS ts", "concat('s', id) AS song")
+    conf = {"spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        long = seq.user_sequences(rows)
+        placed = ranking.with_global_index(rows, "userId", "ts", "song").select(
+            "userId", F.spark_partition_id().alias("p"))
+        assert placed.where("userId = 1").select("p").distinct().count() > 1
+        got = long.where("userId = 1").orderBy("pos").collect()
+        text = plan_of(long)
+    finally:
+        for k in conf:
+            spark.conf.unset(k)
+    assert [r.pos for r in got] == list(range(n // 5 * 2))
+    assert [r["item"] for r in got] == [f"s{i}" for i in range(n) if i % 5 < 2]
+    assert "collect_list" not in text and "Window [row_number" not in text
+    assert long.count() == n
 
 
 @pytest.mark.parametrize("shortest,longest", [(4, 20), (1, 1), (18, 19)])
@@ -107,10 +119,21 @@ def test_vocabulary_and_encoding(df, plays):
     vocab = seq.song_vocabulary(df)
     want = {s: i for i, s in enumerate(sorted({p[2] for p in plays}))}
     assert {r.song: r.label for r in vocab.collect()} == want
-    coded = seq.encode_sequences(seq.bounded_sequences(df), vocab)
     songs = by_user(plays)
-    for r in coded.collect():
-        assert r["items"] == [want[s] for s in songs[r.userId]] and r.n == len(r["items"])
+    long = {(r.userId, r.pos): r.label for r in seq.encode_sequences(seq.user_sequences(df), vocab).collect()}
+    assert long == {(u, i): want[s] for u, names in songs.items() for i, s in enumerate(names)}
+    coded = seq.coded_sequences(df, vocab).collect()
+    assert {r.userId: (r["items"], r.n) for r in coded} == {
+        u: ([want[s] for s in names], len(names)) for u, names in songs.items() if 4 <= len(names) <= 20}
+
+
+def test_labels_beyond_32_bits(spark):
+    vocab = spark.createDataFrame([(2**40 + i, f"s{i}") for i in range(6)], "label long, song string")
+    plays = spark.createDataFrame([(1, datetime(2024, 1, 1 + i), f"s{i}") for i in range(6)], PLAYS)
+    coded = seq.coded_sequences(plays, vocab)
+    assert coded.first()["items"] == [2**40 + i for i in range(6)]
+    model = recommend.next_track_model(seq.training_pairs(coded))
+    assert recommend.recommend_next(plays, vocab, model).first().song in {f"s{i}" for i in range(6)}
 
 
 def md5_of(user, seed):
@@ -176,11 +199,35 @@ def test_model_and_prediction(spark):
     model = recommend.next_track_model(df)
     assert {(r.k, tuple(r.context)): r.predicted for r in model.collect()} == want
     asked = [[rng.randrange(6) for _ in range(rng.randrange(0, 6))] for _ in range(200)]
-    rows = spark.createDataFrame([(a, 0) for a in asked], "prefix array<int>, target int")
-    for r in recommend.predict(rows, model, "prefix").collect():
-        known = (want[(k, tuple(r.prefix[len(r.prefix) - k:]))] for k in (3, 2, 1, 0)
-                 if len(r.prefix) >= k and (k, tuple(r.prefix[len(r.prefix) - k:])) in want)
-        assert r.predicted == next(known)
+    rows = spark.createDataFrame(list(enumerate(asked)), "id int, prefix array<int>")
+    found = recommend.predict(rows, model, "prefix")
+    assert found.columns == ["id", "predicted"]
+    best = {}
+    for r in found.collect():
+        prefix = asked[r.id]
+        known = (want[(k, tuple(prefix[len(prefix) - k:]))] for k in (3, 2, 1, 0)
+                 if len(prefix) >= k and (k, tuple(prefix[len(prefix) - k:])) in want)
+        best[r.id] = next(known)
+        assert r.predicted == best[r.id]
+    assert len(best) == 200
+    joins = [line for line in plan_of(recommend.predict(rows, model, "prefix")).splitlines() if "Join" in line]
+    assert len(joins) == 1
+
+
+def test_candidates_are_scored_by_one_lookup(spark):
+    rng = random.Random(12)
+    pairs = [(i, [rng.randrange(4) for _ in range(rng.randrange(0, 6))], rng.randrange(4)) for i in range(600)]
+    df = spark.createDataFrame(pairs, "id int, prefix array<int>, target int")
+    train, test = df.where("id % 3 > 0"), df.where("id % 3 = 0")
+    chosen = {"one": (1,), "two_one": (2, 1), "three": (3, 2, 1)}
+    scores = recommend.candidate_scores(train.drop("id"), test, chosen)
+    got = {r.candidate: (r.accuracy, r.pairs) for r in scores.collect()}
+    want = brute_model([p[1:] for p in pairs if p[0] % 3])
+    for name, ks in chosen.items():
+        hits = [next(want[(k, tuple(x[len(x) - k:]))] for k in (*ks, 0)
+                     if len(x) >= k and (k, tuple(x[len(x) - k:])) in want) == t
+                for i, x, t in pairs if i % 3 == 0]
+        assert got[name] == (pytest.approx(sum(hits) / len(hits)), len(hits))
 
 
 def test_best_candidate_takes_the_first_on_a_tie(spark):
@@ -204,10 +251,22 @@ def test_job_for_every_user(df, plays):
     assert {r.part: r.pairs for r in job.sizes.collect()}["train"] == job.train.count()
 
 
-def test_append_history(df, spark):
-    new = spark.createDataFrame([(0, datetime(2030, 1, 1), "new")], PLAYS)
-    longer = seq.play_positions(seq.append_history(df, new)).where("userId = 0")
-    assert longer.orderBy(F.desc("pos")).first().song == "new"
+def test_append_history(df, plays, spark):
+    new = [(0, datetime(2030, 1, 2), "late"), (0, datetime(2030, 1, 1), "new"), (999, datetime(2030, 1, 1), "first")]
+    longer = seq.append_history(seq.user_sequences(df), spark.createDataFrame(new, PLAYS))
+    got = {(r.userId, r.pos): r["item"] for r in longer.collect()}
+    songs = by_user(plays)
+    songs[0] = songs[0] + ["new", "late"]
+    songs[999] = ["first"]
+    assert got == {(u, i): s for u, names in songs.items() for i, s in enumerate(names)}
+
+
+def test_arrays_are_not_sorted_for_split_and_sample(df):
+    coded = seq.bounded_sequences(df)
+    for frame in (seq.split_by_length(coded), seq.sample_fraction(coded)):
+        ranges = [line for line in plan_of(frame).splitlines() if "rangepartitioning" in line]
+        assert all("items" not in line for line in ranges)
+    assert "items" not in seq._drawn(coded, 1, "n").columns
 
 
 def test_sort_within_user_spreads_a_busy_user(spark):
@@ -224,24 +283,11 @@ def test_sort_within_user_spreads_a_busy_user(spark):
         [r.ts for r in placed.orderBy("ts").limit(5).collect()]
 
 
-def test_unknown_songs_and_histories_in_parts_keep_their_places(spark):
-    rows = [(1, 0, ["a", "b", "x"]), (1, 1, ["c", "a"]), (2, 0, ["x"])]
-    df = spark.createDataFrame(rows, "userId bigint, part bigint, items array<string>")
+def test_unknown_songs_keep_their_places(spark):
+    rows = [(1, i, x) for i, x in enumerate(["a", "b", "x", "c", "a"])] + [(2, 0, "x")]
+    df = spark.createDataFrame(rows, "userId bigint, pos bigint, item string")
     vocab = spark.createDataFrame([(0, "a"), (1, "b"), (2, "c")], "label bigint, song string")
-    got = {r.userId: (r["items"], r.n) for r in seq.encode_sequences(df, vocab).collect()}
-    assert got == {1: ([0, 1, None, 2, 0], 5), 2: ([None], 1)}
-
-
-def test_a_history_over_the_bound_of_a_part_is_one_row(spark, monkeypatch):
-    from tunemill.registry import sequences as registered
-    from tunemill.registry.base import QUERIES
-
-    n = seq.CHUNK + 1
-    df = spark.range(n).selectExpr("1L AS userId", "timestamp_seconds(id) AS ts", "concat('s', id) AS song")
-    rows = seq.whole_sequences(seq.user_sequences(df)).collect()
-    assert [r["items"] for r in rows] == [[f"s{i}" for i in range(n)]]
-    monkeypatch.setattr(registered, "staged", lambda g: df)
-    (row,) = QUERIES["user_sequences"](spark, "none").collect()
-    assert row.part == 0 and row.songs == ",".join(f"s{i}" for i in range(n))
-    (row,) = QUERIES["append_history"](spark, "none").collect()
-    assert row.songs.startswith(",".join(f"s{i}" for i in range(n)) + ",s")
+    got = {(r.userId, r.pos): r.label for r in seq.encode_sequences(df, vocab).collect()}
+    assert got == {(1, 0): 0, (1, 1): 1, (1, 2): None, (1, 3): 2, (1, 4): 0, (2, 0): None}
+    arrays = {r.userId: (r["items"], r.n) for r in seq.as_arrays(seq.encode_sequences(df, vocab), "label").collect()}
+    assert arrays == {1: ([0, 1, None, 2, 0], 5), 2: ([None], 1)}

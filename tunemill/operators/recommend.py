@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from tunemill.functions.arrays import last_n
 from tunemill.functions.keys import spread_number
-from tunemill.operators.sequences import FIRST_TARGET, MAX_LENGTH, decode_label, last_plays
+from tunemill.operators.sequences import (
+    FIRST_TARGET, MAX_LENGTH, as_arrays, decode_label, encode_sequences, last_plays)
 from tunemill.session import written
 
 ORDERS = (3, 2, 1)
@@ -46,22 +47,40 @@ def next_track_model(pairs: DataFrame, orders: Iterable[int] = ORDERS) -> DataFr
     return top1_next(transition_counts(pairs, orders), ("k", "context"), "target", "n")
 
 
+def looked_up(rows: DataFrame, model: DataFrame, history: str, orders: Iterable[int] = ORDERS) -> DataFrame:
+    """The known contexts at the end of each history: the columns of ``rows`` but ``history``, and ``k, predicted``.
+
+    All orders are looked up by one join of narrow rows. A row of which no context is known, or which has
+    none, is there once or more with a NULL ``predicted``.
+    """
+    contexts = F.array_compact(F.array(*[
+        F.when(F.size(history) >= k, F.struct(F.lit(k).alias("k"), last_n(F.col(history), k).alias("context")))
+        for k in orders]))
+    others = [c for c in rows.columns if c != history]
+    asked = rows.select(*others, F.explode_outer(contexts).alias("_c")).select(*others, "_c.k", "_c.context")
+    known = model.where(F.col("k").isin(*orders)).select("k", "context", "predicted")
+    return asked.join(known, ["k", "context"], "left").select(*others, "k", "predicted")
+
+
+def _longest(orders: Iterable[int]) -> Column:
+    """What the longest known context of a row predicts, of these orders."""
+    usable = F.col("predicted").isNotNull() & F.col("k").isin(*orders)
+    return F.max_by("predicted", F.when(usable, F.col("k")))
+
+
+def _most_frequent(model: DataFrame) -> Column:
+    return model.where(F.col("k") == ANY_CONTEXT).select("predicted").scalar()
+
+
 def predict(rows: DataFrame, model: DataFrame, history: str,
             orders: Iterable[int] = ORDERS) -> DataFrame:
-    """Add ``predicted``: by the longest known context, else the most frequent item."""
-    out = rows
-    found: list[Column] = []
-    for k in orders:
-        known = model.where(F.col("k") == k).select(
-            F.col("context").alias(f"_context{k}"), F.col("predicted").alias(f"_found{k}"))
-        at_end = F.when(F.size(history) >= k, last_n(F.col(history), k))
-        out = (out.withColumn("_at_end", at_end)
-               .join(known, F.col("_at_end") == F.col(f"_context{k}"), "left")
-               .drop("_at_end", f"_context{k}"))
-        found.append(F.col(f"_found{k}"))
-    fallback = model.where(F.col("k") == ANY_CONTEXT).select("predicted").scalar()
-    return (out.withColumn("predicted", F.coalesce(*found, fallback))
-            .drop(*[f"_found{k}" for k in orders]))
+    """``predicted`` in place of ``history``: by the longest known context, else the most frequent item.
+
+    The other columns must tell the rows apart.
+    """
+    others = [c for c in rows.columns if c != history]
+    return (looked_up(rows, model, history, orders).groupBy(*others)
+            .agg(F.coalesce(_longest(orders), _most_frequent(model)).alias("predicted")))
 
 
 def accuracy(predictions: DataFrame) -> DataFrame:
@@ -80,17 +99,20 @@ def candidate_scores(train: DataFrame, test: DataFrame,
                      candidates: dict[str, Iterable[int]]) -> DataFrame:
     """Accuracy of each candidate set of orders: ``candidate, accuracy, pairs``.
 
-    One model holds the contexts of all orders; a candidate just looks up fewer.
-    It is looked up many times, so it is written once.
+    One model holds the contexts of all orders, and one lookup finds those of every test pair; a
+    candidate chooses among what was found.
     """
     orders = sorted({k for ks in candidates.values() for k in ks}, reverse=True)
     model = written(next_track_model(train, orders), "model")
-    parts = [evaluate_model(model, test, ks).select(F.lit(name).alias("candidate"), "*")
-             for name, ks in candidates.items()]
-    scores = parts[0]
-    for part in parts[1:]:
-        scores = scores.unionByName(part)
-    return scores
+    found = looked_up(test, model, "prefix", orders)
+    others = [c for c in test.columns if c != "prefix"]
+    chosen = found.groupBy(*others).agg(*[
+        F.coalesce(_longest(tuple(ks)), _most_frequent(model)).alias(f"_by_{name}") for name, ks in candidates.items()])
+    each = F.array(*[F.struct(F.lit(name).alias("candidate"), F.col(f"_by_{name}").alias("predicted"))
+                     for name in candidates])
+    hit = F.coalesce(F.col("predicted") == F.col("target"), F.lit(False))
+    return (chosen.select("target", F.inline(each)).groupBy("candidate")
+            .agg(F.avg(hit.cast("double")).alias("accuracy"), F.count(F.lit(1)).alias("pairs")))
 
 
 def best_candidate(scores: DataFrame) -> DataFrame:
@@ -108,21 +130,15 @@ def recommend_next(plays: DataFrame, vocab: DataFrame, model: DataFrame, seed: i
                    orders: Iterable[int] = ORDERS) -> DataFrame:
     """Next song for every user at once: ``userId, n_recent, cold, song``.
 
-    Users with fewer than three plays get a drawn song, the others the model's
-    choice for their last plays. Only those last plays are encoded and moved.
+    Users with fewer than three plays get a drawn song, the others the model's choice for their last
+    plays. Only those last plays are encoded and moved, and cold users are split off before the lookup.
     """
-    recent = last_plays(plays, MAX_LENGTH - 1)
-    names = vocab.select(F.col("label").cast("int").alias("_label"), F.col("song").alias("_song"))
-    flat = recent.select("userId", F.size("items").alias("n_recent"),
-                         F.posexplode("items").alias("_pos", "_item"))
-    coded = flat.join(names, F.col("_item") == F.col("_song"), "left")
-    ordered = F.array_sort(F.collect_list(F.struct("_pos", F.col("_label").alias("l"))))
-    history = (coded.groupBy("userId", "n_recent").agg(ordered.alias("_all"))
-               .select("userId", "n_recent", F.col("_all.l").alias("history")))
-    drawn = cold_start(history, vocab, seed)
-    scored = predict(drawn, model, "history", orders)
-    is_cold = F.col("n_recent") < FIRST_TARGET
-    chosen = scored.select("userId", "n_recent", is_cold.alias("cold"),
-                           F.when(is_cold, F.col("label"))
-                            .otherwise(F.col("predicted").cast("bigint")).alias("label"))
-    return decode_label(chosen, vocab).drop("label")
+    recent = last_plays(plays, MAX_LENGTH - 1).select(
+        "userId", F.posexplode("items").alias("pos", "item"))
+    history = written(as_arrays(encode_sequences(recent, vocab), "label"), "recent")
+    is_cold = F.col("n") < FIRST_TARGET
+    drawn = cold_start(history.where(is_cold).select("userId", "n"), vocab, seed)
+    scored = predict(history.where(~is_cold), model, "items", orders)
+    chosen = scored.select("userId", "n", F.col("predicted").alias("label")).unionByName(drawn)
+    return decode_label(chosen, vocab).select(
+        "userId", F.col("n").alias("n_recent"), is_cold.alias("cold"), "song")

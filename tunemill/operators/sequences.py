@@ -7,60 +7,41 @@ from pyspark.sql import functions as F
 
 from tunemill.functions.arrays import pad_sequence, prefix
 from tunemill.functions.keys import spread
-from tunemill.functions.time import time_bucket
 from tunemill.operators.ranking import with_global_index
 
 # Shortest and longest sequence that is trained on, and the first
 # position that is predicted.
 MIN_LENGTH, MAX_LENGTH = 4, 20
 FIRST_TARGET = 3
-# Plays of one user per array. A longer history takes several rows.
-CHUNK = 10_000
 
 
-def play_positions(plays: DataFrame, item: str = "song", bucket: str = "hour") -> DataFrame:
+def play_positions(plays: DataFrame, item: str = "song") -> DataFrame:
     """One row per play: ``userId``, 0-based ``pos`` in the user's time order, the item.
 
-    A play's place is the number of the user's plays in earlier time buckets,
-    counted before the shuffle, plus its place in its own bucket. So a user
-    with a third of all plays is spread over as many tasks as there are buckets.
+    All plays are numbered in one order by range partitions; a play's place is its number less that of
+    the user's first play. So a user with a third of all plays is spread over as many tasks as they
+    take, also where all of them fall into one hour.
     """
-    rows = plays.select("userId", "ts", item, time_bucket(F.col("ts"), bucket).alias("_bucket"))
-    counts = rows.groupBy("userId", "_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    earlier = (Window.partitionBy("userId").orderBy("_bucket")
-               .rowsBetween(Window.unboundedPreceding, -1))
-    before = counts.select(
-        F.col("userId").alias("_u"), F.col("_bucket").alias("_b"),
-        F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
-    on = (F.col("userId") == F.col("_u")) & (F.col("_bucket") == F.col("_b"))
-    here = Window.partitionBy("userId", "_bucket").orderBy("ts", item)
-    return rows.join(before, on, "left").select(
-        "userId", (F.col("_before") + F.row_number().over(here) - 1).cast("bigint").alias("pos"),
-        item)
-
-
-def user_sequences(plays: DataFrame, item: str = "song", chunk: int = CHUNK,
-                   bucket: str = "hour") -> DataFrame:
-    """Ordered items per user as arrays of at most ``chunk``; ``part`` numbers them.
-
-    Users with up to ``chunk`` plays get one row. The histories are whole; the
-    chunks only keep a single cell from growing without bound.
-    """
-    placed = play_positions(plays, item, bucket)
-    pair = F.struct("pos", F.col(item).alias("item"))
-    return (placed.withColumn("part", F.floor(F.col("pos") / chunk))
-            .groupBy("userId", "part").agg(F.array_sort(F.collect_list(pair)).alias("_all"))
-            .select("userId", "part", F.col("_all.item").alias("items")))
+    placed = with_global_index(plays.select("userId", "ts", item), "userId", "ts", item, name="_at")
+    first = placed.groupBy(F.col("userId").alias("_u")).agg(F.min("_at").alias("_first"))
+    return placed.join(first, F.col("userId").eqNullSafe(F.col("_u"))).select(
+        "userId", (F.col("_at") - F.col("_first")).cast("bigint").alias("pos"), item)
 
 
-def whole_sequences(sequences: DataFrame) -> DataFrame:
-    """One row per user whatever the length: the arrays of all parts put together, in order: ``userId, items``.
+def user_sequences(plays: DataFrame, item: str = "song") -> DataFrame:
+    """Histories of all users in long form, whatever their length: ``userId, pos, item``.
 
-    Plays are placed and sorted by parts before; only the arrays of a user meet here.
+    A row per play is the form that encoding, appending and decoding work on. Arrays are for histories
+    with a bound, see :func:`bounded_sequences` and :func:`last_plays`.
     """
-    parts = F.array_sort(F.collect_list(F.struct("part", "items")))
-    return (sequences.groupBy("userId").agg(parts.alias("_all"))
-            .select("userId", F.flatten("_all.items").alias("items")))
+    return play_positions(plays, item).withColumnRenamed(item, "item")
+
+
+def as_arrays(rows: DataFrame, column: str = "item") -> DataFrame:
+    """Long rows as one array a user: ``userId, items, n``. Only for rows that have a bound on ``pos``."""
+    pairs = F.array_sort(F.collect_list(F.struct("pos", F.col(column).alias("item"))))
+    return (rows.groupBy("userId").agg(pairs.alias("_all"))
+            .select("userId", F.col("_all.item").alias("items"), F.size("_all").alias("n")))
 
 
 def sequence_lengths(plays: DataFrame) -> DataFrame:
@@ -78,33 +59,34 @@ def sequence_length_filter(lengths: DataFrame, shortest: int = MIN_LENGTH,
     return lengths.where(F.col("n").between(shortest, longest))
 
 
-def bounded_sequences(plays: DataFrame, item: str = "song", shortest: int = MIN_LENGTH,
-                      longest: int = MAX_LENGTH) -> DataFrame:
-    """Sequences of the users with ``shortest`` to ``longest`` plays: ``userId, items, n``.
+def bounded_plays(plays: DataFrame, item: str = "song", shortest: int = MIN_LENGTH,
+                  longest: int = MAX_LENGTH) -> DataFrame:
+    """Histories of the users with ``shortest`` to ``longest`` plays in long form: ``userId, pos, item``.
 
-    A user with more than ``longest`` plays is known from the first
-    ``longest + 1``. Spark applies that rank limit before the shuffle as well,
-    so neither a task nor an array ever holds a long history.
+    A user with more than ``longest`` plays is known from the first ``longest + 1``. Spark applies that
+    rank limit before the shuffle as well, so no task ever holds a long history.
     """
-    order = Window.partitionBy("userId").orderBy("ts", item)
-    first = (plays.select("userId", "ts", item)
-             .withColumn("_rank", F.row_number().over(order))
+    by_user = Window.partitionBy("userId")
+    first = (plays.select("userId", "ts", F.col(item).alias("item"))
+             .withColumn("_rank", F.row_number().over(by_user.orderBy("ts", "item")))
              .where(F.col("_rank") <= longest + 1))
-    ordered = F.array_sort(F.collect_list(F.struct("_rank", F.col(item).alias("item"))))
-    return (first.groupBy("userId").agg(ordered.alias("_all"))
-            .select("userId", F.col("_all.item").alias("items"), F.size("_all").alias("n"))
-            .where(F.col("n").between(shortest, longest)))
+    return (first.withColumn("_n", F.count(F.lit(1)).over(by_user))
+            .where(F.col("_n").between(shortest, longest))
+            .select("userId", (F.col("_rank") - 1).cast("bigint").alias("pos"), "item"))
+
+
+def bounded_sequences(plays: DataFrame, item: str = "song", shortest: int = MIN_LENGTH,
+                      longest: int = MAX_LENGTH) -> DataFrame:
+    """:func:`bounded_plays` as arrays of ``longest`` items at most: ``userId, items, n``."""
+    return as_arrays(bounded_plays(plays, item, shortest, longest))
 
 
 def last_plays(plays: DataFrame, n: int, item: str = "song") -> DataFrame:
     """The user's last ``n`` plays in time order: ``userId, items``."""
-    latest = Window.partitionBy("userId").orderBy(F.desc("ts"), F.desc(item))
-    kept = (plays.select("userId", "ts", item)
+    latest = Window.partitionBy("userId").orderBy(F.desc("ts"), F.desc("item"))
+    kept = (plays.select("userId", "ts", F.col(item).alias("item"))
             .withColumn("_rank", F.row_number().over(latest)).where(F.col("_rank") <= n))
-    ordered = F.array_sort(F.collect_list(F.struct((-F.col("_rank")).alias("_at"),
-                                                   F.col(item).alias("item"))))
-    return (kept.groupBy("userId").agg(ordered.alias("_all"))
-            .select("userId", F.col("_all.item").alias("items")))
+    return as_arrays(kept.withColumn("pos", -F.col("_rank"))).select("userId", "items")
 
 
 def song_vocabulary(plays: DataFrame) -> DataFrame:
@@ -114,26 +96,28 @@ def song_vocabulary(plays: DataFrame) -> DataFrame:
         F.col("label").cast("bigint"), "song")
 
 
-def encode_plays(plays: DataFrame, vocab: DataFrame) -> DataFrame:
+def encode_plays(plays: DataFrame, vocab: DataFrame, song: str = "song") -> DataFrame:
     """Add the ``label`` of each play's song, NULL for a song that isn't in the vocabulary.
 
     No play is lost, so counts and places stay. AQE splits the plays of a hot song.
     """
-    return plays.join(vocab.select("label", "song"), "song", "left")
+    names = vocab.select("label", F.col("song").alias("_song"))
+    return plays.join(names, F.col(song) == F.col("_song"), "left").drop("_song")
 
 
 def encode_sequences(sequences: DataFrame, vocab: DataFrame) -> DataFrame:
-    """Sequences of songs to sequences of labels, in the same order; an unknown song has a NULL label.
+    """Long histories of songs (``userId, pos, item``) with a ``label`` in place of the item.
 
-    A history in several rows is put together in the order of its ``part``.
+    Each row keeps its place, so nothing is gathered by user; an unknown song has a NULL label.
     """
-    part = F.col("part") if "part" in sequences.columns else F.lit(0)
-    flat = sequences.select("userId", part.alias("_part"), F.posexplode("items").alias("_pos", "song"))
-    coded = encode_plays(flat, vocab)
-    ordered = F.array_sort(F.collect_list(F.struct("_pos", F.col("label").cast("int").alias("l"))))
-    arrays = (coded.groupBy("userId", F.col("_part").alias("part")).agg(ordered.alias("_all"))
-              .select("userId", "part", F.col("_all.l").alias("items")))
-    return whole_sequences(arrays).withColumn("n", F.size("items"))
+    return encode_plays(sequences, vocab, "item").select("userId", "pos", "label")
+
+
+def coded_sequences(plays: DataFrame, vocab: DataFrame, shortest: int = MIN_LENGTH,
+                    longest: int = MAX_LENGTH) -> DataFrame:
+    """Bounded histories as arrays of labels: ``userId, items, n``."""
+    rows = encode_sequences(bounded_plays(plays, shortest=shortest, longest=longest), vocab)
+    return as_arrays(rows, "label")
 
 
 def decode_label(df: DataFrame, vocab: DataFrame, label: str = "label") -> DataFrame:
@@ -164,31 +148,37 @@ def padded(pairs: DataFrame, length: int = MAX_LENGTH - 1, label_offset: int = 0
     return pairs.withColumn("prefix", pad_sequence(F.col("prefix"), length, label_offset))
 
 
+def _drawn(sequences: DataFrame, seed: int, *order: str) -> DataFrame:
+    """``userId`` and ``n`` alone, numbered by ``order`` and a hash of the user.
+
+    Only these narrow rows are sorted. The arrays are joined when the choice is made, so ``sequences`` is
+    read twice: store it before.
+    """
+    narrow = sequences.select("userId", "n", spread("userId", seed).alias("_spread"))
+    return with_global_index(narrow, *order, "_spread", "userId")
+
+
 def split_by_length(sequences: DataFrame, test: float = 0.2, seed: int = 42) -> DataFrame:
-    """Add ``is_test``: true for the share ``test`` of the users of each length.
+    """Add ``is_test``: true for the share ``test`` of the users of each length. One row a user.
 
-    Users of one length are ordered by a hash of their id, and the first
-    ``round(test * size)`` are taken, so the split is exact and repeatable. A
-    length may be shared by most users, so the order comes from range
-    partitions and not from one window per length.
+    Users of one length are ordered by a hash of their id, and the first ``round(test * size)`` are
+    taken, so the split is exact and repeatable. A length may be shared by most users, so the order
+    comes from range partitions and not from one window per length.
     """
-    placed = with_global_index(
-        sequences.withColumn("_spread", spread("userId", seed)), "n", "_spread", "userId")
+    placed = _drawn(sequences, seed, "n")
     # One row per length, and the lengths are bounded by the sequence filter.
     strata = placed.groupBy(F.col("n").alias("_n")).agg(
         F.min("idx").alias("_start"), F.count(F.lit(1)).alias("_size"))
     chosen: Column = F.col("idx") - F.col("_start") < F.round(F.col("_size") * test)
-    return (placed.join(strata, F.col("n") == F.col("_n"))
-            .withColumn("is_test", chosen)
-            .drop("_spread", "idx", "_n", "_start", "_size"))
+    flags = placed.join(strata, F.col("n") == F.col("_n")).select("userId", chosen.alias("is_test"))
+    return sequences.join(flags, "userId")
 
 
 def sample_fraction(sequences: DataFrame, fraction: float = 0.95, seed: int = 42) -> DataFrame:
-    """``floor(fraction * count)`` of the users, chosen by a repeatable hash."""
-    placed = with_global_index(
-        sequences.withColumn("_spread", spread("userId", seed)), "_spread", "userId")
+    """``floor(fraction * count)`` of the users, chosen by a repeatable hash. One row a user."""
+    placed = _drawn(sequences, seed)
     taken = placed.agg(F.floor(F.count(F.lit(1)) * fraction)).scalar()
-    return placed.where(F.col("idx") < taken).drop("_spread", "idx")
+    return sequences.join(placed.where(F.col("idx") < taken).select("userId"), "userId", "left_semi")
 
 
 def dataset_sizes(train: DataFrame, test: DataFrame) -> DataFrame:
@@ -198,6 +188,13 @@ def dataset_sizes(train: DataFrame, test: DataFrame) -> DataFrame:
                          .select(F.lit("test").alias("part"), "pairs")))
 
 
-def append_history(plays: DataFrame, new: DataFrame) -> DataFrame:
-    """Plays with the new ones added; sequences follow from the result."""
-    return plays.select("userId", "ts", "song").unionByName(new.select("userId", "ts", "song"))
+def append_history(history: DataFrame, new: DataFrame) -> DataFrame:
+    """A long history (``userId, pos, item``) with plays (``userId, ts, song``) after those it has.
+
+    What is there keeps its place and isn't sorted again; new plays go on from the user's length. A user
+    without a history starts at 0.
+    """
+    lengths = history.groupBy(F.col("userId").alias("_u")).agg((F.max("pos") + 1).alias("_length"))
+    added = user_sequences(new).join(lengths, F.col("userId") == F.col("_u"), "left").select(
+        "userId", (F.col("pos") + F.coalesce("_length", F.lit(0))).alias("pos"), "item")
+    return history.select("userId", "pos", "item").unionByName(added)

@@ -30,14 +30,13 @@ def recommendation_job(events: DataFrame, seed: int = 42, test: float = 0.2,
                        orders: Iterable[int] = recommend.ORDERS) -> Recommendation:
     """Deduplicate, number the songs, build and split the sequences, count, predict.
 
-    The plays and the model are used several times, so each is written once;
-    the vocabulary and the split rest on written files already. Only the part
-    that is not held out is sampled.
+    Plays, vocabulary, sequences, split and model are used several times, so each is
+    written once. Only the part that is not held out is sampled.
     """
     plays = written(drop_duplicate_events(events).select("userId", "ts", "song"), "plays")
-    vocab = sequences.song_vocabulary(plays)
-    coded = sequences.encode_sequences(sequences.bounded_sequences(plays), vocab)
-    split = sequences.split_by_length(coded, test, seed)
+    vocab = written(sequences.song_vocabulary(plays), "vocabulary")
+    coded = written(sequences.coded_sequences(plays, vocab), "coded")
+    split = written(sequences.split_by_length(coded, test, seed), "split")
     kept = sequences.sample_fraction(split.where(~F.col("is_test")).drop("is_test"),
                                      fraction, seed)
     train = sequences.training_pairs(kept)

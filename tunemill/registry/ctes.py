@@ -146,9 +146,12 @@ JOIN dim_datetime d ON f.dateKey = d.dateKey JOIN dim_artists a ON f.artistKey =
     "vocab": """
 SELECT CAST(row_number() OVER (ORDER BY song) - 1 AS BIGINT) AS label, song
 FROM (SELECT DISTINCT song FROM stg_listen WHERE song IS NOT NULL)""",
+    "ordered": """
+SELECT userId, song, row_number() OVER (PARTITION BY userId ORDER BY ts, song) AS place
+FROM stg_listen""",
     "coded_all": """
 SELECT userId, list(song ORDER BY ts, song) AS names,
-  list(CAST(label AS INT) ORDER BY ts, song) AS items, CAST(count(*) AS INT) AS n
+  list(label ORDER BY ts, song) AS items, CAST(count(*) AS INT) AS n
 FROM stg_listen JOIN vocab USING (song) GROUP BY userId""",
     "coded": "SELECT * FROM coded_all WHERE n BETWEEN 4 AND 20",
     "split": """
@@ -186,7 +189,7 @@ LEFT JOIN model m3 ON m3.k = 3 AND m3.context = list_slice(prefix, len(prefix) -
 LEFT JOIN model m2 ON m2.k = 2 AND m2.context = list_slice(prefix, len(prefix) - 1, len(prefix))
 LEFT JOIN model m1 ON m1.k = 1 AND m1.context = list_slice(prefix, len(prefix), len(prefix))""",
     "histories": """
-SELECT userId, CAST(count(*) AS INT) AS n_recent, list(CAST(label AS INT) ORDER BY rn DESC) AS h
+SELECT userId, CAST(count(*) AS INT) AS n_recent, list(label ORDER BY rn DESC) AS h
 FROM (SELECT userId, song, row_number() OVER (PARTITION BY userId ORDER BY ts DESC, song DESC) AS rn
       FROM stg_listen) JOIN vocab USING (song) WHERE rn <= 19 GROUP BY userId""",
     "drawn": """

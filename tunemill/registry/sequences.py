@@ -17,22 +17,31 @@ def text(name: str):
     return F.array_join(F.col(name).cast("array<string>"), ",")
 
 
+def numbered(g) -> tuple[DataFrame, DataFrame]:
+    """Plays and vocabulary, stored."""
+    events = written(staged(g).select("userId", "ts", "song"), "plays")
+    return events, written(seq.song_vocabulary(events), "vocabulary")
+
+
 def coded(g) -> DataFrame:
-    events = staged(g)
-    return seq.encode_sequences(seq.bounded_sequences(events), seq.song_vocabulary(events))
+    return written(seq.coded_sequences(*numbered(g)), "coded")
 
 
 def split(g) -> DataFrame:
     return seq.split_by_length(coded(g))
 
 
-def parts(g) -> tuple[DataFrame, DataFrame]:
-    """Training and test pairs."""
-    rows = split(g)
+def parts_of(sequences: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Training and test pairs of stored sequences."""
+    rows = written(seq.split_by_length(sequences), "split")
     kept = seq.sample_fraction(rows.where(~F.col("is_test")).drop("is_test"))
     return seq.training_pairs(kept), seq.training_pairs(rows.where("is_test"))
 
 
+def parts(g) -> tuple[DataFrame, DataFrame]:
+    return parts_of(coded(g))
+
+
 @query("sort_events", "SELECT * FROM stg_listen ORDER BY userId, ts")
 def _(g):
     return ranking.sort_events(staged(g))
@@ -68,11 +77,10 @@ def _(g):
 
 
 @query("user_sequences", """
-SELECT userId, CAST(0 AS BIGINT) AS part, string_agg(song, ',' ORDER BY ts, song) AS songs
-FROM stg_listen GROUP BY userId""")
+SELECT a.userId, count(b.song) AS pos, a.song AS item FROM ordered a
+LEFT JOIN ordered b ON a.userId = b.userId AND b.place < a.place GROUP BY a.userId, a.place, a.song""")
 def _(g):
-    whole = seq.whole_sequences(seq.user_sequences(staged(g)))
-    return whole.select("userId", F.lit(0).cast("bigint").alias("part"), text("items").alias("songs"))
+    return seq.user_sequences(staged(g))
 
 
 @query("sequence_lengths", "SELECT userId, count(*) AS n FROM stg_listen GROUP BY userId")
@@ -104,7 +112,15 @@ def _(g):
     return seq.song_vocabulary(staged(g))
 
 
-@query("encode_sequences", "SELECT userId, n, array_to_string(items, ',') AS labels FROM coded")
+@query("encode_sequences", """
+SELECT userId, place - 1 AS pos, label FROM ordered LEFT JOIN vocab USING (song)""")
+def _(g):
+    """All histories in long form, not only the bounded ones."""
+    events, vocab = numbered(g)
+    return seq.encode_sequences(seq.user_sequences(events), vocab)
+
+
+@query("coded_sequences", "SELECT userId, n, array_to_string(items, ',') AS labels FROM coded")
 def _(g):
     return coded(g).select("userId", "n", text("items").alias("labels"))
 
@@ -143,7 +159,7 @@ def _(g):
 
 @query("pad_sequence", """
 SELECT userId, pos, array_to_string(list_concat(list_slice(items, 1, pos),
-  list_resize([]::INT[], 19 - pos, 0)), ',') AS prefix, items[pos + 1] AS target
+  list_resize([]::BIGINT[], 19 - pos, 0)), ',') AS prefix, items[pos + 1] AS target
 FROM (SELECT userId, items, CAST(unnest(range(3, n)) AS INT) AS pos FROM coded)""")
 def _(g):
     return seq.padded(seq.training_pairs(coded(g))).withColumn("prefix", text("prefix"))
@@ -201,7 +217,7 @@ def _(g):
 def _(g):
     train, test = parts(g)
     model = written(recommend.next_track_model(train), "model")
-    return recommend.predict(test, model, "prefix").select("userId", "pos", "target", "predicted")
+    return recommend.predict(test, model, "prefix")
 
 
 @query("evaluate_model", """
@@ -246,28 +262,25 @@ def _(g):
 
 
 @query("append_history", """
-SELECT userId, string_agg(song, ',' ORDER BY ts, song) AS songs FROM (
-  SELECT userId, ts, song FROM stg_listen
-  UNION ALL SELECT userId, (SELECT max(ts) FROM stg_listen) + INTERVAL 1 HOUR, song
-  FROM drawn JOIN vocab USING (label)) GROUP BY userId""")
+SELECT userId, place - 1 AS pos, song AS item FROM ordered
+UNION ALL SELECT userId, (SELECT count(*) FROM stg_listen l WHERE l.userId = drawn.userId), song
+FROM drawn JOIN vocab USING (label)""")
 def _(g):
     """Every user plays a drawn song an hour after the last event."""
-    events = staged(g)
-    vocab = seq.song_vocabulary(events)
+    events, vocab = numbered(g)
     after = events.agg(F.max("ts") + F.expr("INTERVAL 1 HOUR")).scalar()
     drawn = recommend.cold_start(events.select("userId").distinct(), vocab)
     new = seq.decode_label(drawn, vocab).select("userId", after.alias("ts"), "song")
-    longer = seq.append_history(events, new)
-    return seq.whole_sequences(seq.user_sequences(longer)).select("userId", text("items").alias("songs"))
+    return seq.append_history(written(seq.user_sequences(events), "histories"), new)
 
 
 @query("recommend_next", """
 SELECT userId, n_recent, cold, song FROM chosen JOIN vocab USING (label)""")
 def _(g):
-    events = written(staged(g).select("userId", "ts", "song"), "plays")
-    train, _test = parts(g)
+    events, vocab = numbered(g)
+    train, _test = parts_of(written(seq.coded_sequences(events, vocab), "coded"))
     model = written(recommend.next_track_model(train), "model")
-    return recommend.recommend_next(events, seq.song_vocabulary(events), model)
+    return recommend.recommend_next(events, vocab, model)
 
 
 @query("recommendation_job", """
