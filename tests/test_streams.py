@@ -12,7 +12,7 @@ from tunemill.operators import aggregates as agg
 from tunemill.session import scratch_path
 from tunemill.sources import files
 from tunemill.streaming import ingest as ing
-from tunemill.streaming import jobs, sinks
+from tunemill.streaming import jobs, keyed, sinks
 
 START = datetime(2024, 1, 1)
 
@@ -129,20 +129,112 @@ def test_a_repeated_batch_is_stored_once(spark):
 
 
 def test_three_topics_at_once(spark, given):
+    """All messages of the given events land, each once, also when the job runs a second time."""
     base = scratch_path(spark, "topics")
     sources = {}
     for topic in schemas.TOPICS:
-        given.envelope(topic).limit(60).select(F.col("value").cast("string")) \
-            .write.text(f"{base}/in/{topic}")
+        given.envelope(topic).select(F.col("value").cast("string")).write.text(f"{base}/in/{topic}")
         sources[topic] = source(spark, f"{base}/in/{topic}")
-    writers = jobs.ingest_all_topics(sources, f"{base}/lake", "available")
-    running = jobs.run_ingest(spark, writers)
-    jobs.finish(running)
-    assert len({q.id for q in running}) == 3
+    for _ in range(2):
+        running = jobs.run_ingest(spark, jobs.ingest_all_topics(sources, f"{base}/lake", "available"))
+        jobs.finish(running)
+        assert len({q.id for q in running}) == 3
     for topic in schemas.TOPICS:
         landed = files.lake_scan(spark, f"{base}/lake/{topic}", topic)
         batch = ing.ingest(spark.read.text(f"{base}/in/{topic}"), topic)
-        assert landed.exceptAll(batch).count() == 0 and landed.count() == batch.count() == 60
+        assert landed.exceptAll(batch).count() == 0 and landed.count() == batch.count() > 150
+        assert sinks.read_quarantine(spark, f"{base}/lake/quarantine/{topic}").count() == 0
+
+
+def landed_of(spark, path):
+    rows = files.lake_scan(spark, f"{path}/lake", schemas.LISTEN)
+    bad = sinks.read_quarantine(spark, f"{path}/bad")
+    return sorted(r.userId for r in rows.collect()), sorted(r.value for r in bad.collect())
+
+
+def test_unreadable_messages_go_to_the_quarantine(spark):
+    path = scratch_path(spark, "sides")
+    bad = ["{torn", "", '{"song": "no time"}', '{"ts": "not a number", "userId": 3}', "[1, 2]"]
+    put(spark, f"{path}/in", [listen(1, user=1), *bad, listen(2, user=2)])
+    df = ing.ingest_checked(source(spark, f"{path}/in"), schemas.LISTEN)
+
+    def go(checkpoint):
+        jobs.finish([sinks.checked_lake_sink(df, f"{path}/lake", f"{path}/bad", f"{path}/{checkpoint}", "available").start()])
+
+    go("a")
+    assert landed_of(spark, path) == ([1, 2], sorted(bad))
+    put(spark, f"{path}/in", [listen(3, user=3), "{more"])
+    go("a")
+    assert landed_of(spark, path) == ([1, 2, 3], sorted([*bad, "{more"]))
+    slot = files.lake_slice(spark, f"{path}/lake", schemas.LISTEN, datetime(2024, 1, 1, 0, 0))
+    assert "landed" not in slot.columns and slot.count() == 3
+    go("b")  # a new checkpoint reads all again and keeps what was landed before
+    assert landed_of(spark, path)[0] == [1, 1, 2, 2, 3, 3]
+
+
+def test_a_batch_that_runs_again_lands_once(spark):
+    """The first run was lost before it could note that the batch had ended."""
+    path = scratch_path(spark, "lost")
+    put(spark, f"{path}/in", [listen(1, user=1), "{torn"])
+    df = ing.ingest_checked(source(spark, f"{path}/in"), schemas.LISTEN)
+
+    def sink():
+        return sinks.checked_lake_sink(df, f"{path}/lake", f"{path}/bad", f"{path}/c", "available")
+
+    jobs.finish([sink().start()])
+    assert landed_of(spark, path) == ([1], ["{torn"])
+    offsets = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/c/commits")
+    offsets.getFileSystem(spark._jsc.hadoopConfiguration()).delete(offsets, True)  # as if it never ended
+    jobs.finish([sink().start()])
+    assert landed_of(spark, path) == ([1], ["{torn"])
+
+
+def state_of(spark, path, df):
+    return {r.userId: r.avg_session_duration for r in keyed.read_state(spark, path, df).collect()}
+
+
+def test_keyed_table_over_batches_replays_and_checkpoints(spark):
+    path = scratch_path(spark, "keyed")
+    put(spark, f"{path}/in", [listen(1, user=u, duration=float(u)) for u in range(40)])
+    users = agg.user_engagement(ing.ingest(source(spark, f"{path}/in"), schemas.LISTEN))
+
+    def go(checkpoint):
+        jobs.finish([keyed.keyed_table_sink(users, f"{path}/t", f"{path}/{checkpoint}", ("userId",), "available").start()])
+
+    assert state_of(spark, f"{path}/t", users) == {}
+    go("a")
+    assert state_of(spark, f"{path}/t", users) == {u: float(u) for u in range(40)}
+    before = keyed.manifest(spark, f"{path}/t")
+    put(spark, f"{path}/in", [listen(2, user=3, duration=5.0)])
+    go("a")
+    after = keyed.manifest(spark, f"{path}/t")
+    want = {u: float(u) for u in range(40)} | {3: 4.0}
+    assert state_of(spark, f"{path}/t", users) == want
+    assert sum(after["buckets"][b] != f for b, f in before["buckets"].items()) == 1  # one bucket was touched
+    go("b")  # a new checkpoint starts at batch 0 again
+    assert state_of(spark, f"{path}/t", users) == want
+    assert len(keyed.manifest(spark, f"{path}/t")["applied"]) == 2
+    assert keyed.compact(spark, f"{path}/t", keep=1) >= 1
+    assert state_of(spark, f"{path}/t", users) == want
+    assert keyed.compact(spark, f"{path}/t", keep=1) == 0
+
+
+def test_an_applied_batch_and_a_torn_manifest_change_nothing(spark):
+    path = scratch_path(spark, "torn")
+    first = spark.createDataFrame([(1, "a"), (None, "n"), (2, "b")], "k long, v string")
+    second = spark.createDataFrame([(1, "x"), (None, "m")], "k long, v string")
+    assert keyed.upsert(first, path, ("k",), "q", 0)
+    assert keyed.upsert(second, path, ("k",), "q", 1)
+    assert not keyed.upsert(first, path, ("k",), "q", 1) and not keyed.upsert(first, path, ("k",), "q", 0)
+    want = {(1, "x"), (None, "m"), (2, "b")}
+    assert {tuple(r) for r in keyed.read_state(spark, path, first).collect()} == want
+    at = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_manifests/{3:012d}.json")
+    out = at.getFileSystem(spark._jsc.hadoopConfiguration()).create(at, False)
+    out.write(bytearray(b'{"buckets": {"1"'))  # its writer was lost
+    out.close()
+    assert {tuple(r) for r in keyed.read_state(spark, path, first).collect()} == want
+    assert keyed.upsert(spark.createDataFrame([(2, "c")], "k long, v string"), path, ("k",), "q", 2)
+    assert {tuple(r) for r in keyed.read_state(spark, path, first).collect()} == {(1, "x"), (None, "m"), (2, "c")}
 
 
 def test_memory_and_console_sinks(spark, capsys):

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -10,7 +12,8 @@ from tunemill.operators import aggregates as agg
 from tunemill.operators import staging
 from tunemill.registry.base import query
 from tunemill.session import scratch_path
-from tunemill.streaming import jobs, sinks
+from tunemill.sources import files
+from tunemill.streaming import jobs, keyed, sinks
 from tunemill.streaming.ingest import ingest
 
 _BUCKET = "time_bucket(INTERVAL '5 minutes', ts)"
@@ -124,6 +127,54 @@ def _(g):
     return logs[0].unionByName(logs[1]).unionByName(logs[2])
 
 
+@query("table_sink_replace", """
+SELECT userId, round(avg(duration), 6) AS avg_session_duration FROM listen_raw GROUP BY userId""")
+def _(g):
+    """User averages in the keyed table, fed one file of events at a time and replayed by a second checkpoint."""
+    path = scratch_path(g.spark, "keyed")
+    events = g.table("events")
+    for share in range(3):  # three batches; ids, not rows, decide where an event goes
+        events.where(F.col("event_id") % 3 == share).write.parquet(f"{path}/in/{share}")
+    stream = g.spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 8).parquet(f"{path}/in/*")
+    df = agg.user_engagement(ingest(g.envelope(schemas.LISTEN, stream), schemas.LISTEN))
+    for run in ("first", "second"):
+        jobs.finish([keyed.keyed_table_sink(df, f"{path}/table", f"{path}/{run}", ("userId",), "available").start()])
+    keyed.compact(g.spark, f"{path}/table")
+    return keyed.read_state(g.spark, f"{path}/table", df).withColumn(
+        "avg_session_duration", F.round("avg_session_duration", 6))
+
+
+_TORN = "event_id % 500 = 7"
+
+
+def _sides(topic: str, types: str) -> str:
+    rows = f"FROM raw_events WHERE event_type IN ({types})"
+    return (f"SELECT '{topic}' AS topic, 'lake' AS side, count(*) AS n, CAST(sum(epoch_ms(date_trunc('millisecond', ts))) AS DECIMAL(38, 0)) AS times "
+            f"{rows} AND NOT {_TORN} UNION ALL SELECT '{topic}', 'quarantine', count(*), NULL {rows} AND {_TORN}")
+
+
+@query("ingest_all_topics", " UNION ALL ".join((
+    _sides("listen_events", "'view'"), _sides("page_view_events", "'click', 'purchase'"),
+    _sides("auth_events", "'signup', 'error'"))))
+def _(g):
+    """All messages of the three topics, some torn off in the middle, landed at once; rows on both sides."""
+    base = scratch_path(g.spark, "landing")
+    torn = F.expr(_TORN.replace("event_id", "_id"))
+    sources = {}
+    for topic in schemas.TOPICS:
+        messages = g.envelope(topic, g.event_stream(), keep="event_id AS _id")
+        sources[topic] = messages.withColumn("value", F.when(torn, F.expr("substring(value, 1, 9)")).otherwise(F.col("value")))
+    jobs.finish(jobs.run_ingest(g.spark, jobs.ingest_all_topics(sources, base, "available"), wait=False))
+    sides = []
+    for topic in schemas.TOPICS:
+        lake = files.lake_scan(g.spark, f"{base}/{topic}", topic)
+        sides += [(topic, "lake", lake, F.sum(F.unix_millis("ts"))),
+                  (topic, "quarantine", sinks.read_quarantine(g.spark, f"{base}/quarantine/{topic}"), F.lit(None))]
+    counts = [df.agg(F.count(F.lit(1)).alias("n"), times.cast("decimal(38, 0)").alias("times")).select(
+        F.lit(topic).alias("topic"), F.lit(side).alias("side"), "n", "times") for topic, side, df, times in sides]
+    return reduce(DataFrame.unionByName, counts)
+
+
 @query("realtime_aggregates", f"""
 SELECT 'real_listen' AS name, count(*) AS n FROM (
   {_CLOSED.format(_TRENDS.format("listen_raw"), "listen_raw")})
@@ -138,8 +189,7 @@ def _(g):
     jobs.finish(jobs.run_ingest(g.spark, writers, wait=False))
     tables = {
         "real_listen": sinks.read_log(g.spark, f"{base}/real_listen", agg.song_trends(listen)),
-        "real_user": sinks.latest_rows(
-            sinks.read_log(g.spark, f"{base}/real_user", agg.user_engagement(listen)), "userId"),
+        "real_user": keyed.read_state(g.spark, f"{base}/real_user", agg.user_engagement(listen)),
         "real_auth": sinks.read_log(g.spark, f"{base}/real_auth", agg.auth_success_rate(auth)),
     }
     counts = [df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("name"), "n")

@@ -76,12 +76,13 @@ def lake_slice(spark: SparkSession, base: str, topic: str, slot: datetime) -> Da
             raise
         spark.read.schema(schema).parquet(base)  # raises unless the topic's folder exists
         rows = spark.createDataFrame([], schema)
-    return rows.drop(*schemas.LAKE_PARTS)
+    return rows.select(*[c for c in schema.names if c not in schemas.LAKE_PARTS])
 
 
 def lake_scan(spark: SparkSession, base: str, topic: str) -> DataFrame:
     """The whole lake of a topic; filters on the partition columns prune directories."""
-    return spark.read.schema(schemas.lake_schema(topic)).parquet(base)
+    schema = schemas.lake_schema(topic)
+    return spark.read.schema(schema).parquet(base).select(*schema.names)
 
 
 def _utc(moment: datetime) -> datetime:

@@ -143,10 +143,12 @@ class GivenTables:
         return (self.spark.readStream.schema(self.table("events").schema)
                 .option("pathGlobFilter", "events.parquet").parquet(self.sf_dir))
 
-    def envelope(self, topic: str, events: DataFrame | None = None) -> DataFrame:
-        """Messages of ``topic`` as a broker would hand them out: ``topic`` and binary ``value``."""
+    def envelope(self, topic: str, events: DataFrame | None = None, keep: str | None = None) -> DataFrame:
+        """Messages of ``topic`` as a broker would hand them out: ``topic`` and binary ``value``.
+
+        ``keep`` may name one more column of the raw events, as SQL.
+        """
         raw = self.raw_events(events).where(F.col("event_type").isin(*TOPIC_EVENTS[topic]))
-        message = raw.select(*[_wire_value(f.name).alias(f.name)
-                               for f in schemas.WIRE[topic].fields])
-        return message.select(F.lit(topic).alias("topic"),
-                             F.to_json(F.struct(*message.columns)).cast("binary").alias("value"))
+        fields = [_wire_value(f.name).alias(f.name) for f in schemas.WIRE[topic].fields]
+        return raw.select(F.lit(topic).alias("topic"), F.to_json(F.struct(*fields)).cast("binary").alias("value"),
+                          *([F.expr(keep)] if keep else []))

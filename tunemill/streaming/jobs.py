@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from tunemill.operators.aggregates import auth_success_rate, song_trends, user_engagement
-from tunemill.streaming.ingest import ingest
-from tunemill.streaming.sinks import TRIGGER, lake_sink, table_sink
+from tunemill.streaming.ingest import ingest_checked
+from tunemill.streaming.keyed import keyed_table_sink
+from tunemill.streaming.sinks import TRIGGER, checked_lake_sink, table_sink
 
 
 def run_ingest(spark: SparkSession, writers: list[DataStreamWriter],
@@ -28,9 +29,12 @@ def finish(running: list[StreamingQuery]) -> None:
 
 def ingest_all_topics(sources: dict[str, DataFrame], base: str,
                       trigger: str = TRIGGER) -> list[DataStreamWriter]:
-    """One lake writer per topic in ``sources``, each with its own checkpoint."""
-    return [lake_sink(ingest(source, topic), f"{base}/{topic}", f"{base}/checkpoint/{topic}",
-                      trigger)
+    """One writer per topic in ``sources``, each with its own checkpoint.
+
+    Rows land in ``base/<topic>``, messages that can't in ``base/quarantine/<topic>``.
+    """
+    return [checked_lake_sink(ingest_checked(source, topic), f"{base}/{topic}", f"{base}/quarantine/{topic}",
+                              f"{base}/checkpoint/{topic}", trigger)
             for topic, source in sources.items()]
 
 
@@ -39,12 +43,11 @@ def realtime_aggregates(listen: DataFrame, auth: DataFrame, base: str,
     """Writers of the three live aggregates over ingested streams.
 
     Windows are written once, when the watermark has passed their end; the user
-    averages are written whenever they change.
+    averages are kept in a table of their latest values.
     """
-    jobs = [
-        ("real_listen", song_trends(listen), "append"),
-        ("real_user", user_engagement(listen), "update"),
-        ("real_auth", auth_success_rate(auth), "append"),
-    ]
-    return [table_sink(df, f"{base}/{name}", f"{base}/checkpoint/{name}", mode, trigger)
-            for name, df, mode in jobs]
+    def at(name: str) -> tuple[str, str]:
+        return f"{base}/{name}", f"{base}/checkpoint/{name}"
+
+    return [table_sink(song_trends(listen), *at("real_listen"), "append", trigger),
+            keyed_table_sink(user_engagement(listen), *at("real_user"), ("userId",), trigger),
+            table_sink(auth_success_rate(auth), *at("real_auth"), "append", trigger)]

@@ -8,9 +8,11 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
 from tunemill import schemas
+from tunemill.streaming.ingest import CORRUPT
 
 TRIGGER = "60 seconds"
 BATCH = "batch_id"
+LANDED = "landed"
 
 
 def triggered(writer: DataStreamWriter, trigger: str) -> DataStreamWriter:
@@ -28,6 +30,38 @@ def lake_sink(df: DataFrame, path: str, checkpoint: str, trigger: str = TRIGGER,
     return triggered(writer, trigger)
 
 
+def checked_lake_sink(df: DataFrame, path: str, quarantine: str, checkpoint: str,
+                      trigger: str = TRIGGER) -> DataStreamWriter:
+    """Rows of ``ingest_checked`` to two places: good ones to the lake, the text of the others to ``quarantine``.
+
+    Each batch is read once, stored beside the checkpoint, and written from there to both. In both places
+    the last partition column, ``landed``, names the query and its batch, and a batch overwrites what it
+    has landed itself; so one that runs again after a failure is there once, and a new checkpoint leaves
+    what others landed.
+    """
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        landed = f"{spark.sparkContext.getLocalProperty('sql.streaming.queryId')}-{batch_id}"
+        held = f"{checkpoint}/held/{landed}"
+        batch.write.mode("overwrite").parquet(held)
+        rows = spark.read.schema(batch.schema).parquet(held).withColumn(LANDED, F.lit(landed))
+        good = rows.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
+        bad = rows.where(F.col(CORRUPT).isNotNull()).select(F.col(CORRUPT).alias("value"), LANDED)
+        for part, to, by in ((good, path, (*schemas.LAKE_PARTS, LANDED)), (bad, quarantine, (LANDED,))):
+            (part.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy(*by).parquet(to))
+        at = spark._jvm.org.apache.hadoop.fs.Path(held)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+    writer = df.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).outputMode("append")
+    return triggered(writer, trigger)
+
+
+def read_quarantine(spark: SparkSession, path: str) -> DataFrame:
+    """The messages that couldn't land, and the batch that met them: ``value, landed``."""
+    return spark.read.schema(f"value string, {LANDED} string").parquet(path)
+
+
 def table_sink(df: DataFrame, path: str, checkpoint: str, mode: str = "append",
                trigger: str = TRIGGER, fmt: str = "parquet") -> DataStreamWriter:
     """Aggregates to a table whose partitions are the micro-batches.
