@@ -172,20 +172,26 @@ def test_unreadable_messages_go_to_the_quarantine(spark):
     assert landed_of(spark, path)[0] == [1, 1, 2, 2, 3, 3]
 
 
-def test_a_batch_that_runs_again_lands_once(spark):
-    """The first run was lost before it could note that the batch had ended."""
+@pytest.mark.parametrize("lost", ["commits", "landed"])
+def test_a_batch_that_runs_again_lands_once(spark, lost):
+    """A run that was lost before the batch's end was noted, and one lost before it was marked as landed."""
     path = scratch_path(spark, "lost")
     put(spark, f"{path}/in", [listen(1, user=1), "{torn"])
     df = ing.ingest_checked(source(spark, f"{path}/in"), schemas.LISTEN)
 
-    def sink():
-        return sinks.checked_lake_sink(df, f"{path}/lake", f"{path}/bad", f"{path}/c", "available")
+    def go():
+        jobs.finish([sinks.checked_lake_sink(df, f"{path}/lake", f"{path}/bad", f"{path}/c", "available").start()])
 
-    jobs.finish([sink().start()])
+    go()
     assert landed_of(spark, path) == ([1], ["{torn"])
-    offsets = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/c/commits")
-    offsets.getFileSystem(spark._jsc.hadoopConfiguration()).delete(offsets, True)  # as if it never ended
-    jobs.finish([sink().start()])
+    at = spark._jvm.org.apache.hadoop.fs.Path
+    fs = at(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.delete(at(f"{path}/c/commits"), True)
+    if lost == "landed":
+        (mark,) = fs.listStatus(at(f"{path}/c/landed"))
+        fs.rename(at(f"{path}/c/landed"), at(f"{path}/c/held"))  # what it held is there, the mark isn't
+        assert mark.getPath().getName().endswith("-0")
+    go()
     assert landed_of(spark, path) == ([1], ["{torn"])
 
 

@@ -35,23 +35,27 @@ def checked_lake_sink(df: DataFrame, path: str, quarantine: str, checkpoint: str
     """Rows of ``ingest_checked`` to two places: good ones to the lake, the text of the others to ``quarantine``.
 
     Each batch is read once, stored beside the checkpoint, and written from there to both. In both places
-    the last partition column, ``landed``, names the query and its batch, and a batch overwrites what it
-    has landed itself; so one that runs again after a failure is there once, and a new checkpoint leaves
-    what others landed.
+    the last partition column, ``landed``, names the query and its batch. A batch that has landed is marked
+    and never lands again; one that was lost on the way overwrites what it had landed. So a replayed batch
+    is there once, and a new checkpoint leaves what others landed.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         landed = f"{spark.sparkContext.getLocalProperty('sql.streaming.queryId')}-{batch_id}"
-        held = f"{checkpoint}/held/{landed}"
-        batch.write.mode("overwrite").parquet(held)
-        rows = spark.read.schema(batch.schema).parquet(held).withColumn(LANDED, F.lit(landed))
+        held, mark = (spark._jvm.org.apache.hadoop.fs.Path(f"{checkpoint}/{d}/{landed}") for d in ("held", "landed"))
+        fs = held.getFileSystem(spark._jsc.hadoopConfiguration())
+        if fs.exists(mark):
+            return
+        tried = fs.exists(held)
+        batch.write.mode("overwrite").parquet(held.toString())
+        rows = spark.read.schema(batch.schema).parquet(held.toString()).withColumn(LANDED, F.lit(landed))
         good = rows.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
         bad = rows.where(F.col(CORRUPT).isNotNull()).select(F.col(CORRUPT).alias("value"), LANDED)
         for part, to, by in ((good, path, (*schemas.LAKE_PARTS, LANDED)), (bad, quarantine, (LANDED,))):
-            (part.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            (part.write.mode("overwrite" if tried else "append").option("partitionOverwriteMode", "dynamic")
              .partitionBy(*by).parquet(to))
-        at = spark._jvm.org.apache.hadoop.fs.Path(held)
-        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+        fs.create(mark, True).close()
+        fs.delete(held, True)
 
     writer = df.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).outputMode("append")
     return triggered(writer, trigger)
