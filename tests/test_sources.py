@@ -1,5 +1,6 @@
 """Readers, writers, slots: options, pruning, reruns, missing input."""
 
+import json
 from datetime import datetime
 
 import pytest
@@ -244,3 +245,44 @@ def test_kafka_options_for_loss_and_rate():
 def test_slice_of_a_lake_that_is_not_there(spark):
     with pytest.raises(AnalysisException):
         files.lake_slice(spark, scratch_path(spark, "none"), schemas.AUTH, datetime(2020, 1, 1)).count()
+
+
+def test_load_ledger_of_missing_empty_repeated_and_emptied_slots(spark):
+    from tunemill.plans import slots
+    from tunemill.session import scratch_path
+    from tunemill.streaming.ingest import ingest
+
+    base = scratch_path(spark, "ledger")
+    at = lambda hour, minute: 1704067200000 + 3_600_000 * hour + 60_000 * minute
+
+    def land(times, mode):
+        for topic in schemas.TOPICS:
+            rows = spark.createDataFrame([(json.dumps({"ts": t, "userId": 5}),) for t in times], "value string")
+            (ingest(rows, topic).write.mode(mode).partitionBy(*schemas.LAKE_PARTS).parquet(f"{base}/lake/{topic}"))
+
+    def load(*names):
+        wanted = spark.createDataFrame([(n,) for n in names], "slot string")
+        slots.load_slots(spark, f"{base}/lake", f"{base}/staging", f"{base}/ledger", wanted)
+
+    def ledger(topic=schemas.AUTH):
+        rows = slots.read_ledger(spark, f"{base}/ledger").where(F.col("topic") == topic).collect()
+        return {r.slot[11:]: (r.state, r.n, r.loads) for r in rows}
+
+    def staged(topic=schemas.AUTH):
+        return sorted(str(r.ts)[11:16] for r in files.staging_scan(spark, f"{base}/staging/{topic}", topic).collect())
+
+    day = "2024-01-01 "
+    assert slots.read_ledger(spark, f"{base}/ledger").count() == 0
+    land([at(0, 1), at(0, 2), at(1, 7)], "overwrite")
+    load(day + "00-00", day + "00-05")
+    assert ledger() == {"00-00": ("loaded", 2, 1), "00-05": ("empty", 0, 1)} and staged() == ["00:01", "00:02"]
+    wanted = spark.createDataFrame([(day + "00-00",), (day + "01-05",), (day + "01-05",)], "slot string")
+    pending = slots.pending_slots(wanted, slots.read_ledger(spark, f"{base}/ledger"))
+    assert sorted(map(tuple, pending.collect())) == sorted((t, day + "01-05") for t in schemas.TOPICS)
+    load(day + "01-05", day + "00-00")
+    assert ledger() == {"00-00": ("loaded", 2, 2), "00-05": ("empty", 0, 1), "01-05": ("loaded", 1, 1)}
+    assert staged() == ["00:01", "00:02", "01:07"] == staged(schemas.LISTEN)
+    land([at(0, 6), at(1, 7)], "overwrite")  # one slot is gone from the lake, one came late
+    load(day + "00-00", day + "00-05")
+    assert ledger() == {"00-00": ("empty", 0, 3), "00-05": ("loaded", 1, 2), "01-05": ("loaded", 1, 1)}
+    assert staged() == ["00:06", "01:07"]

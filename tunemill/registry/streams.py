@@ -163,7 +163,8 @@ def _(g):
     sources = {}
     for topic in schemas.TOPICS:
         messages = g.envelope(topic, g.event_stream(), keep="event_id AS _id")
-        sources[topic] = messages.withColumn("value", F.when(torn, F.expr("substring(value, 1, 9)")).otherwise(F.col("value")))
+        sources[topic] = messages.withColumn(
+            "value", F.when(torn, F.expr("substring(value, 1, 9)")).otherwise(F.col("value")))
     jobs.finish(jobs.run_ingest(g.spark, jobs.ingest_all_topics(sources, base, "available"), wait=False))
     sides = []
     for topic in schemas.TOPICS:

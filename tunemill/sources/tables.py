@@ -34,6 +34,20 @@ def append_staging(df: DataFrame, path: str, topic: str, mode: str = "append") -
     writer.partitionBy(*schemas.STAGING_PARTS).parquet(path)
 
 
+def clear_slots(spark: SparkSession, path: str, slots: DataFrame) -> int:
+    """Delete the folders of ``slots`` (column ``slot``) from a staging table; how many there were.
+
+    The names come to the driver one partition at a time. A slot belongs to one hour, the one it starts in.
+    """
+    root = spark._jvm.org.apache.hadoop.fs.Path
+    fs = root(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    hour, slot = schemas.STAGING_PARTS
+    gone = 0
+    for row in slots.select("slot").toLocalIterator():
+        gone += fs.delete(root(f"{path}/{hour}={row.slot[:13]}/{slot}={row.slot}"), True)
+    return gone
+
+
 def drop_slice(spark: SparkSession, name: str) -> bool:
     """Forget a temporary view; its files stay."""
     return spark.catalog.dropTempView(name)

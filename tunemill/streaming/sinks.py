@@ -13,6 +13,8 @@ from tunemill.streaming.ingest import CORRUPT
 TRIGGER = "60 seconds"
 BATCH = "batch_id"
 LANDED = "landed"
+# Rows of one slot that a task lands.
+TASK_ROWS = 1_000_000
 
 
 def triggered(writer: DataStreamWriter, trigger: str) -> DataStreamWriter:
@@ -49,7 +51,11 @@ def checked_lake_sink(df: DataFrame, path: str, quarantine: str, checkpoint: str
         tried = fs.exists(held)
         batch.write.mode("overwrite").parquet(held.toString())
         rows = spark.read.schema(batch.schema).parquet(held.toString()).withColumn(LANDED, F.lit(landed))
+        shares = 1 + rows.count() // TASK_ROWS  # from the file footers
         good = rows.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
+        # Many small slots go to many tasks, and a slot with most rows of the batch to several.
+        good = good.repartition(max(shares, spark.sparkContext.defaultParallelism), *schemas.LAKE_PARTS,
+                                F.pmod(F.xxhash64(*good.columns), F.lit(shares)))
         bad = rows.where(F.col(CORRUPT).isNotNull()).select(F.col(CORRUPT).alias("value"), LANDED)
         for part, to, by in ((good, path, (*schemas.LAKE_PARTS, LANDED)), (bad, quarantine, (LANDED,))):
             (part.write.mode("overwrite" if tried else "append").option("partitionOverwriteMode", "dynamic")
