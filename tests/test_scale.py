@@ -112,3 +112,17 @@ def test_staging_reads_only_its_columns(given):
     plan = plan_of(stg_listen_events(given.listen_raw()).select("userId", "ts"))
     assert "ReadSchema: struct<ts:timestamp_ntz,user_id:bigint,event_type:string" in plan
     assert "EqualTo(event_type,view)" in plan
+
+
+def test_calendar_is_made_by_many_tasks_and_ignores_broken_clocks(spark):
+    events = spark.range(1).selectExpr("explode(array(timestamp'2024-01-01 10:30:00', timestamp'2024-01-03 00:00:00', "
+                                       "timestamp_seconds(1515000000000), timestamp_seconds(-99999999999), NULL)) AS ts")
+    hours = dims.dim_datetime_of(events)
+    assert hours.agg(F.count("*"), F.min("date").cast("string"), F.max("date").cast("string")).first()[:] == (
+        39, "2024-01-01 10:00:00", "2024-01-03 00:00:00")
+    keyed = facts.join_datetime(events.withColumn("_hour", F.date_trunc("hour", "ts")), hours)
+    assert sorted(r.dateKey is None for r in keyed.select("dateKey").collect()) == [False, False, True, True, True]
+    century = dims.dim_datetime(spark, "1950-01-01 00:00:00", "2049-12-31 23:00:00")
+    assert century.rdd.getNumPartitions() > 1 and century.count() == 36525 * 24
+    assert "Generate" not in plan_of(century)
+    assert dims.dim_datetime_of(events.where("false")).count() == 0

@@ -18,6 +18,8 @@ UNKNOWN_PLACE = ("NA", "NA", "NA", 0.0, 0.0)
 # Days counted as weekend, 1 = Sunday; these two are Friday and Saturday.
 WEEKEND_DAYS = (6, 7)
 # Default range of the calendar, both ends included.
+# Events outside of these don't stretch a calendar that follows the data.
+LIMITS = ("1900-01-01 00:00:00", "2199-12-31 23:59:59.999999")
 CALENDAR = ("2018-10-01", "2023-01-01")
 
 
@@ -119,22 +121,26 @@ def calendar(hours: DataFrame, weekend_days: tuple[int, ...] = WEEKEND_DAYS) ->
         F.dayofweek(d).isin(*weekend_days).alias("weekendFlag"))
 
 
-def _hours(bounds: DataFrame) -> DataFrame:
-    """One row per hour from ``first`` to ``last`` of the only row in ``bounds``."""
-    step = F.expr("INTERVAL 1 HOUR")
-    return bounds.select(F.explode(F.sequence("first", "last", step)).alias("date"))
+def _hours(spark: SparkSession, first: int | None, last: int | None) -> DataFrame:
+    """One row per hour from epoch second ``first`` to ``last``, made by many tasks."""
+    numbers = spark.range(0) if first is None else spark.range(first // 3600, last // 3600 + 1)
+    return numbers.select(F.timestamp_seconds(F.col("id") * 3600).alias("date"))
 
 
 def dim_datetime(spark: SparkSession, start: str = CALENDAR[0], end: str = CALENDAR[1],
                  weekend_days: tuple[int, ...] = WEEKEND_DAYS) -> DataFrame:
     """One row per hour of a fixed range, both ends included."""
-    bounds = spark.range(1).select(F.lit(start).cast("timestamp").alias("first"),
-                                   F.lit(end).cast("timestamp").alias("last"))
-    return calendar(_hours(bounds), weekend_days)
+    first, last = spark.range(1).select(*[F.unix_seconds(F.lit(t).cast("timestamp")) for t in (start, end)]).first()
+    return calendar(_hours(spark, first, last), weekend_days)
 
 
-def dim_datetime_of(events: DataFrame, weekend_days: tuple[int, ...] = WEEKEND_DAYS) -> DataFrame:
-    """The calendar of the hours between the first and the last event."""
-    bounds = events.agg(F.date_trunc("hour", F.min("ts")).alias("first"),
-                        F.date_trunc("hour", F.max("ts")).alias("last"))
-    return calendar(_hours(bounds.where(F.col("first").isNotNull())), weekend_days)
+def dim_datetime_of(events: DataFrame, weekend_days: tuple[int, ...] = WEEKEND_DAYS,
+                    limits: tuple[str, str] = LIMITS) -> DataFrame:
+    """The calendar of the hours between the first and the last event within ``limits``.
+
+    An event outside of them (a broken clock) is left without a key and makes the calendar no longer.
+    """
+    ts = F.col("ts").cast("timestamp")
+    within = events.where(ts.between(*[F.lit(t).cast("timestamp") for t in limits]))
+    first, last = within.agg(F.min(F.unix_seconds(ts)), F.max(F.unix_seconds(ts))).first()
+    return calendar(_hours(events.sparkSession, first, last), weekend_days)

@@ -328,3 +328,16 @@ def _(g):
     return (orders.join(hours, orders["ts"] == hours["date"])
             .groupBy("dateKey", "weekOfYear", "weekendFlag")
             .agg(F.count(F.lit(1)).alias("orders")))
+
+
+@query("dim_datetime_fixed", """
+SELECT d.year, d.month, count(*) AS hours, count(o.o_orderkey) AS orders FROM (
+  SELECT d, CAST(year(d) AS INT) AS year, CAST(month(d) AS INT) AS month FROM (SELECT unnest(generate_series(
+    TIMESTAMP '1994-03-01 00:00:00', TIMESTAMP '1997-02-28 23:00:00', INTERVAL 1 HOUR)) AS d)) d
+LEFT JOIN orders o ON CAST(o.o_orderdate AS TIMESTAMP) = d.d GROUP BY ALL""")
+def _(g):
+    """Orders by month of a calendar with a fixed range, months without any included."""
+    hours = dims.dim_datetime(g.spark, "1994-03-01 00:00:00", "1997-02-28 23:00:00")
+    orders = g.table("orders").select("o_orderkey", F.col("o_orderdate").cast("timestamp").alias("_at"))
+    return (hours.join(orders, hours["date"] == orders["_at"], "left").groupBy("year", "month")
+            .agg(F.count(F.lit(1)).alias("hours"), F.count("o_orderkey").alias("orders")))
