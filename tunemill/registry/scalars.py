@@ -8,7 +8,7 @@ from tunemill.functions import time as ft
 from tunemill.functions.arrays import last_n, pad_sequence, prefix
 from tunemill.functions.keys import surrogate_key
 from tunemill.functions.text import clean_name, decode_text, escape_text
-from tunemill.operators.sequences import bounded_sequences, encode_sequences, song_vocabulary
+from tunemill.operators.sequences import bounded_sequences, coded_sequences, song_vocabulary
 from tunemill.registry.base import query
 from tunemill.registry.star import staged
 
@@ -182,11 +182,11 @@ def _(g):
 @query("fn_arrays", """
 SELECT userId, n, array_to_string(list_slice(names, 1, 3), ',') AS head, names[n] AS last,
   array_to_string(list_slice(names, greatest(n - 2, 1), n), ',') AS tail,
-  array_to_string(list_concat(items, list_resize([]::INT[], 20 - n, 0)), ',') AS padded FROM coded""")
+  array_to_string(list_concat(items, list_resize([]::BIGINT[], 20 - n, 0)), ',') AS padded FROM coded""")
 def _(g):
     events = staged(g)
     named = bounded_sequences(events)
-    coded = encode_sequences(named, song_vocabulary(events)).select(
+    coded = coded_sequences(events, song_vocabulary(events)).select(
         "userId", F.col("items").alias("codes"))
     return named.join(coded, "userId").select(
         "userId", F.size("items").alias("n"), F.array_join(prefix(F.col("items"), 3), ",").alias("head"),
