@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import plan_of
-from tunemill.operators import dims, facts, scd2
+from tunemill.operators import dims, facts, scd2, segments
 from tunemill.operators.segments import PART, in_segments, spanning
 from tunemill.operators.staging import stg_listen_events
 from tunemill.registry.ctes import CTES
@@ -51,15 +51,9 @@ def spark_rows(df):
 
 
 @pytest.fixture
-def many_segments(spark):
-    """Partitions of a few hundred rows, so that users go over their edges."""
-    conf = {"spark.sql.shuffle.partitions": "13", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
-    before = {k: spark.conf.get(k, None) for k in conf}
-    for k, v in conf.items():
-        spark.conf.set(k, v)
-    yield
-    for k, v in before.items():
-        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+def many_segments(monkeypatch):
+    """Partitions of about a hundred rows, so that users go over their edges."""
+    monkeypatch.setattr(segments, "SEGMENT_ROWS", 120)
 
 
 def check_history(df, events):
@@ -149,12 +143,12 @@ def test_invariants(given):
             assert a.level != b.level
 
 
-def test_one_exchange_of_rows_after_they_are_placed(given):
+def test_one_exchange_of_rows_after_they_are_placed(given, many_segments):
     events = stg_listen_events(given.listen_raw())
     plan = plan_of(scd2.scd2_level_history(events))
-    exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
-    assert sum("_part" in e and "run" not in e for e in exchanges) <= 2  # the rows once, the runs once
-    assert not any("hashpartitioning(userId" in e and "run" not in e and "_part" not in e for e in exchanges)
+    windows = [line for line in plan.splitlines() if "Window [" in line]
+    assert windows and all("_part" in line for line in windows)  # by segment, or over summaries in their order
+    assert "rangepartitioning" not in plan  # the rows were placed before, and the runs keep their segments
 
 
 def test_special_ids(spark):

@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 from tunemill import schemas
 from tunemill.operators.segments import PART, Segments, in_segments, local, with_carry
 from tunemill.operators.staging import known_users, special_users
-from tunemill.session import written
 
 USER = ("userId", "firstName", "lastName", "gender")
 # Equal times are ordered by these, so that every engine agrees.
@@ -139,7 +138,7 @@ def scd2_level_history(events: DataFrame) -> DataFrame:
     The narrow event rows are placed once, in segments; one exchange brings each segment together, finds
     its run starts, changes and runs. The runs keep their segments for the steps that look ahead.
     """
-    rows = written(known_users(events).select(*USER, "registration", "level", F.col("ts").alias("date")), "levels")
+    rows = known_users(events).select(*USER, "registration", "level", F.col("ts").alias("date"))
     placed = in_segments(rows, USER, "date")
     flagged = _with_changes(run_starts(placed.rows), placed)
     numbered = _with_runs(flagged, placed, lambda rows: _with_changes(rows, placed))

@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 from tunemill.session import written
 
 PART = "_part"
+# Rows of a segment at most, but for what range bounds from a sample miss: the work of one task.
+SEGMENT_ROWS = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -32,13 +34,18 @@ class Segments:
 
 
 def in_segments(df: DataFrame, keys: Iterable[str], at: str) -> Segments:
-    """``df`` placed by ``keys`` and ``at``.
+    """``df`` placed by ``keys`` and ``at``, :data:`SEGMENT_ROWS` rows a partition or about so.
 
     Rows equal in ``keys`` and ``at`` are in one segment, and later segments of a key have later values.
-    Range bounds come from a sample, so the placed rows are written once and everything reads those files.
+    The rows are stored, which also counts them; what fits into one partition isn't moved. Range bounds
+    come from a sample, so placed rows are stored once more and everything reads those files.
     """
-    placed = written(df.repartitionByRange(*keys, at).withColumn(PART, F.spark_partition_id()), "segments")
-    return Segments(placed, 1 + (placed.agg(F.max(PART)).first()[0] or 0))
+    stored = written(df, "rows")
+    parts = 1 + stored.count() // SEGMENT_ROWS
+    if parts == 1:
+        return Segments(stored.withColumn(PART, F.lit(0)), 1)
+    placed = stored.repartitionByRange(parts, *keys, at).withColumn(PART, F.spark_partition_id())
+    return Segments(written(placed, "segments"), parts)
 
 
 def local(keys: Iterable[str]) -> WindowSpec:
