@@ -44,6 +44,9 @@ BETWEEN = " .-_*~'`,/\\"
 COST_LOOK, COST_ANY, COST_BETWEEN, COST_REPEAT, COST_LOST = 1.0, 2.0, 0.7, 2.5, 9.0
 #: Signs between two kept columns of costs of the search, from which its way back is found again.
 PART = 1024
+#: Marks before and after a word whose part of the search is kept for all words with the same marks; with
+#: more marks a word is searched on its own. Ends kept at most.
+MARKS_BEFORE, MARKS_AFTER, KEPT_ENDS = 8, 64, 256
 
 HELD_OUT, FOLDS = 1, 3
 THRESHOLD = 0.7
@@ -59,6 +62,8 @@ TRIMS = ".,;:!?\"'()[]{}<>*#%&|-_+=~`/\\…«»“”‘’¡¿"
 #: States of the search: all pairs of last letters, none is ever left out.
 BEAM = (len(LETTERS) + 2) ** 2
 ODD = re.compile(f"[{re.escape(''.join(LOOKS) + ANY + BETWEEN)}]|([a-z])\\1")
+DOUBLED = re.compile(r"([a-z])\1+")
+LETTERS_ONLY = re.compile("[a-z]+")
 APART = re.compile(r"(?<!\S)(?:\S[ \t.\-_*]){2,}\S(?!\S)")
 
 
@@ -76,6 +81,8 @@ class Restorer:
         self.logs = self.table.tolist()
         self.number = {c: i for i, c in enumerate(LETTERS, 1)}
         self.known: dict[str, list] = {}
+        self.begun: dict[tuple, dict] = {}
+        self.ends: dict[tuple, tuple[list, list]] = {}
 
     def options(self, sign: str) -> list[tuple[int | None, float]]:
         """Letters that a sign may stand for, with costs; None: for nothing. A blank may end a word."""
@@ -105,14 +112,15 @@ class Restorer:
             found.append((sign, letters if must == "1" else [*letters, (None, COST_BETWEEN)]))
         return found
 
-    def edges(self, marks: str, innermost: int) -> list[list[tuple[str, list]]]:
-        """Lattices of the marks at an end: none, all letters that they may be, and at least the innermost of these."""
+    @staticmethod
+    def forced(marks: str, innermost: int) -> list[str]:
+        """Which marks at an end are taken as letters: none (nothing), all that may be, and at least the innermost of these."""
         may = [i for i, c in enumerate(marks) if c in LOOKS or c in ANY]
         if not may:
-            return [[]]
+            return [""]
         every = "".join("1" if c in LOOKS or c in ANY else "0" for c in marks)
         one = "".join("1" if i == may[innermost] else "0" for i in range(len(marks)))
-        return [[], *(self.edge(marks, forced) for forced in dict.fromkeys((every, one)))]
+        return ["", *dict.fromkeys((every, one))]
 
     def restore(self, word: str) -> str:
         """The likeliest plain words behind ``word`` (lower case); other letters stay as they are."""
@@ -126,10 +134,11 @@ class Restorer:
 
     def _by_states(self, lattice: list[tuple[str, list]]) -> str:
         """For lattices of few options: states in a dictionary."""
+        return self._ended(self._states({(0, 0): (0.0, None)}, lattice))
+
+    def _states(self, states: dict, lattice: list[tuple[str, list]], before: str = "") -> dict:
+        """States after more signs. By the last two letters: cost so far, and the letters as a chain from the last."""
         logs, other = self.logs, self.size - 1
-        # by the last two letters: cost so far, and the letters as a chain from the last
-        states = {(0, 0): (0.0, None)}
-        before = ""
         for sign, options in lattice:
             after: dict[tuple[int, int], tuple[float, tuple | None]] = {}
             for (a, b), (cost, chain) in states.items():
@@ -146,13 +155,116 @@ class Restorer:
                             cost + COST_REPEAT + price < after.get((a, b), (math.inf,))[0]):
                         after[(a, b)] = (cost + COST_REPEAT + price, chain)
             states, before = after, sign
-        ended = min(states.items(), key=lambda s: s[1][0] - logs[s[0][0]][s[0][1]][0])
-        letters, chain = [], ended[1][1]
+        return states
+
+    def _ended(self, states: dict, end: tuple[list, list] | None = None) -> str:
+        """The reading of least cost, with the best way through ``end`` (see :meth:`_end`)."""
+        if end is None:
+            (a, b), (_, chain) = min(states.items(), key=lambda s: s[1][0] - self.logs[s[0][0]][s[0][1]][0])
+            return self._spelled(chain)
+        ahead, choices = end
+        size = self.size
+        (a, b), (_, chain) = min(states.items(), key=lambda s: s[1][0] + ahead[s[0][0] * size + s[0][1]])
+        for choice in choices:
+            letter = choice[a * size + b]
+            if letter != size:
+                a, b, chain = b, letter, (letter, chain)
+        return self._spelled(chain)
+
+    @staticmethod
+    def _spelled(chain: tuple | None) -> str:
+        letters = []
         while chain is not None:
             letters.append(chain[0] if isinstance(chain[0], str) else " " if chain[0] == 0 else LETTERS[chain[0] - 1])
             chain = chain[1]
         return "".join(reversed(letters))
 
+    def _end(self, marks: str, forced: str) -> tuple[list, list]:
+        """The search from its end through the marks after a word, for all states before them.
+
+        By state: the least cost of what follows, and for each mark the letter that it stands for (``size``: none).
+        It depends on nothing before the two last letters, so all words with these marks share it.
+        """
+        key = (marks, forced)
+        if key not in self.ends:
+            if len(self.ends) >= KEPT_ENDS:
+                self.ends.clear()
+            size, choices = self.size, []
+            ahead = -self.table[:, :, 0]
+            for _, options in reversed(self.edge(marks, forced)):
+                best, choice = np.full((size, size), np.inf), np.full((size, size), size, np.uint8)
+                for letter, price in options:
+                    if letter is None:
+                        total, taken = price + ahead, size
+                    else:
+                        total, taken = price - self.table[:, :, letter] + ahead[:, letter][None, :], letter
+                    better = total < best
+                    best[better], choice[better] = total[better], taken
+                    if letter is not None:
+                        again = COST_REPEAT + price + ahead[:, letter]
+                        better = again < best[:, letter]
+                        best[better, letter], choice[better, letter] = again[better], size
+                ahead = best
+                choices.append(choice.tobytes())
+            self.ends[key] = (ahead.reshape(-1).tolist(), choices[::-1])
+        return self.ends[key]
+
+    def readings(self, before: str, bare: str, behind: str) -> Iterator[str]:
+        """Readings of a word with marks around it, these as nothing and as letters; a word that isn't odd and its marks
+        as nothing is no reading."""
+        odd = " " in bare or ODD.search(bare)
+        lefts, rights = self.forced(before, -1), self.forced(behind, 0)
+        if odd and len(lefts) == len(rights) == 1:
+            yield self.doubled(bare) if LETTERS_ONLY.fullmatch(bare) else self.best(self.inside(bare))
+            return
+        if len(lefts) == len(rights) == 1:
+            return
+        middle = self.inside(bare)
+        wide = [len(options) > 4 for _, options in middle]
+        alone = (len(before) > MARKS_BEFORE or len(behind) > MARKS_AFTER or len(bare) > PART
+                 or any(x and y for x, y in zip(wide, wide[1:])))
+        for left in lefts:
+            states = None
+            for right in rights:
+                if not (odd or left or right):
+                    continue
+                if alone:
+                    yield self.best((self.edge(before, left) if left else []) + middle
+                                    + (self.edge(behind, right) if right else []))
+                    continue
+                if states is None:
+                    states = self._states(self._begun(before, left), middle, before[-1:] if left else "")
+                yield self._ended(states, self._end(behind, right) if right else None)
+
+    def _begun(self, marks: str, forced: str) -> dict:
+        """States after the marks before a word."""
+        key = (marks, forced) if forced else ("", "")
+        if key not in self.begun:
+            if len(self.begun) >= KEPT_ENDS:
+                self.begun.clear()
+            self.begun[key] = self._states({(0, 0): (0.0, None)}, self.edge(*key))
+        return self.begun[key]
+
+    def doubled(self, word: str) -> str:
+        """The reading of least cost of a word of letters only, where nothing but repeated letters can go.
+
+        How many of a run of one letter stay changes no log-probability but that of the letters in the run and of the one
+        after it, so each run is settled by itself.
+        """
+        logs, number = self.logs, self.number
+
+        def settled(m: re.Match) -> str:
+            begin, end = m.span()
+            own = number[m[1]]
+            last = number[word[begin - 1]] if begin else 0
+            then = number[word[end]] if end < len(word) else 0
+            price = logs[last][own][own] + logs[own][own][then]
+            ways = [price + (n - 2) * logs[own][own][own] - COST_REPEAT * (end - begin - n) for n in range(end - begin, 1, -1)]
+            ways.append(logs[last][own][then] - COST_REPEAT * (end - begin - 1))
+            return m[1] * (end - begin - ways.index(max(ways)))
+
+        return DOUBLED.sub(settled, word)
+
     def _column(self, costs: np.ndarray, options: list, repeats_other: bool) -> tuple[np.ndarray, np.ndarray]:
         """Costs of all states after a sign, and the state before each: below 0 (-1 - state) if no letter came."""
         size = self.size
@@ -236,13 +348,9 @@ def plain_words(raw: str, restorer: Restorer) -> tuple[str, ...]:
     before, bare, behind = split_marks(raw)
     if not bare:
         return ()
-    found, middle = {bare}, None
-    odd = " " in raw or ODD.search(bare)
-    for left in restorer.edges(before, -1):
-        for right in restorer.edges(behind, 0):
-            if odd or left or right:
-                middle = middle or restorer.inside(bare)
-                found.update(restorer.best(left + middle + right).split())
+    found = {bare}
+    for reading in restorer.readings(before, bare, behind):
+        found.update(reading.split())
     return tuple(sorted(w for w in (f.strip(TRIMS) for f in found) if w))
 
 
@@ -267,15 +375,18 @@ class Kept(dict):
         return value
 
 
+def worst_weight(words, weights: list[float]) -> float:
+    """Weight of the worst of some words."""
+    worst = 0.0
+    for word in words:
+        own, *begun = [weights[i] for i in features(word)]
+        worst = max(worst, own + 0.5 * max(begun, default=0.0))
+    return worst
+
+
 def weigher(restorer: Restorer, weights: list[float]) -> Kept:
     """Weight of a run of signs: that of the worst word it may be."""
-    def weigh(raw: str) -> float:
-        worst = 0.0
-        for word in plain_words(raw, restorer):
-            own, *begun = [weights[i] for i in features(word)]
-            worst = max(worst, own + 0.5 * max(begun, default=0.0))
-        return worst
-    return Kept(weigh)
+    return Kept(lambda raw: worst_weight(plain_words(raw, restorer), weights))
 
 
 @dataclass
@@ -298,12 +409,17 @@ BAR = 1.0
 def rated(text: str, weight_of: Kept) -> list[float]:
     """What a text's words come to: the three worst, the sum of those above a bar, and their share."""
     counts = raw_words(text)
-    bad = [(weight, n) for raw, n in counts.items() if (weight := weight_of[raw]) > BAR]
+    return ratings_of(((weight_of[raw], n) for raw, n in counts.items()), counts.total())
+
+
+def ratings_of(weighed, total_words: int) -> list[float]:
+    """Ratings of a text by ``(weight, count)`` of its runs."""
+    bad = [(weight, n) for weight, n in weighed if weight > BAR]
     if not bad:
         return [0.0] * RATINGS
     worst = sorted((w for w, _ in bad), reverse=True)[:3]
     total = sum(w * min(n, 3) for w, n in bad)
-    return [*worst, *[0.0] * (3 - len(worst)), total, total / (counts.total() + 20.0)]
+    return [*worst, *[0.0] * (3 - len(worst)), total, total / (total_words + 20.0)]
 
 
 def design(ratings: np.ndarray) -> np.ndarray:
@@ -326,24 +442,41 @@ def _labelled(docs: DataFrame, labels: DataFrame, sample: int) -> DataFrame:
         "doc_id", "text", "toxic", F.pmod(F.xxhash64("doc_id"), F.lit(2)).cast("int").alias("half")))
 
 
-def _feature_counts(rows: DataFrame, logs: np.ndarray) -> np.ndarray:
-    """Documents that hold each feature slot, by half and label: an array (2, 2, slots + 1)."""
+def _read(rows: DataFrame, logs: np.ndarray) -> DataFrame:
+    """``(half, toxic, words, counts)``: for each run of signs of a text the words that it may be (runs by line, their
+    words set apart by blanks), and how often it stands there. So the sample is searched once."""
     sent = rows.sparkSession.sparkContext.broadcast(logs)
 
     def per_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         restorer = Restorer(sent.value)
-        slots_of = Kept(lambda raw: tuple(i for w in plain_words(raw, restorer) for i in features(w)))
-        sums = np.zeros((2, 2, SLOTS + 1), np.int64)
+        words_of = Kept(lambda raw: " ".join(plain_words(raw, restorer)))
         for batch in steps(batches):
-            for text, half, toxic in zip(*(batch.column(c).to_pylist() for c in ("text", "half", "toxic"))):
-                slots = set().union(*map(slots_of.__getitem__, raw_words(text or "")))
+            runs = [raw_words(text or "") for text in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("half"), batch.column("toxic"),
+                 pa.array(["\n".join(map(words_of.__getitem__, r)) for r in runs], pa.string()),
+                 pa.array([list(r.values()) for r in runs], pa.list_(pa.int32()))],
+                ["half", "toxic", "words", "counts"])
+
+    return rows.select("text", "half", "toxic").mapInArrow(
+        per_task, "half int, toxic int, words string, counts array<int>")
+
+
+def _feature_counts(read: DataFrame) -> np.ndarray:
+    """Documents that hold each feature slot, by half and label: an array (2, 2, slots + 1)."""
+    def per_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        slots_of = Kept(lambda words: tuple(i for w in words.split(" ") if w for i in features(w)))
+        sums = np.zeros((2, 2, SLOTS + 1), np.int64)
+        for batch in steps(batches, "words"):
+            for words, half, toxic in zip(*(batch.column(c).to_pylist() for c in ("words", "half", "toxic"))):
+                slots = set().union(*map(slots_of.__getitem__, words.split("\n")))
                 sums[half, toxic, list(slots)] += 1
                 sums[half, toxic, SLOTS] += 1
         flat = sums.reshape(-1)
         at = np.flatnonzero(flat)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(flat[at])], ["at", "n"])
 
-    counts = (rows.select("text", "half", "toxic")
+    counts = (read.select("words", "half", "toxic")
               .mapInArrow(per_task, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).toArrow())
     out = np.zeros(2 * 2 * (SLOTS + 1))
     out[counts.column("at").to_numpy()] = counts.column("n").to_numpy()
@@ -357,22 +490,22 @@ def feature_weights(counts: np.ndarray) -> np.ndarray:
     return (ratio * toxic[:-1] / (toxic[:-1] + LEAST_SUPPORT) * (toxic[:-1] >= 2)).astype(np.float32)
 
 
-def _ratings(rows: DataFrame, logs: np.ndarray, by_half: list[np.ndarray], keep: list[str]) -> DataFrame:
-    """``keep`` columns and the ratings of each text, by the weights at its ``half``."""
-    sent = rows.sparkSession.sparkContext.broadcast((logs, by_half))
+def _ratings(read: DataFrame, by_half: list[np.ndarray]) -> DataFrame:
+    """``(toxic, ratings)`` of each text, by the weights at its ``half``."""
+    sent = read.sparkSession.sparkContext.broadcast(by_half)
 
     def per_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own_logs, weights = sent.value
-        restorer = Restorer(own_logs)
-        weight_of = [weigher(restorer, w.tolist()) for w in weights]
-        for batch in steps(batches):
-            found = [rated(text or "", weight_of[half])
-                     for text, half in zip(batch.column("text").to_pylist(), batch.column("half").to_pylist())]
+        weight_of = []
+        for weights in sent.value:
+            own = weights.tolist()
+            weight_of.append(Kept(lambda words, own=own: worst_weight(filter(None, words.split(" ")), own)))
+        for batch in steps(batches, "words"):
+            found = [ratings_of(zip(map(weight_of[half].__getitem__, words.split("\n")), counts), sum(counts))
+                     for words, counts, half in zip(*(batch.column(c).to_pylist() for c in ("words", "counts", "half")))]
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(k) for k in keep), pa.array(found, pa.list_(pa.float64()))], [*keep, "ratings"])
+                [batch.column("toxic"), pa.array(found, pa.list_(pa.float64()))], ["toxic", "ratings"])
 
-    fields = ", ".join(f"{k} {rows.schema[k].dataType.simpleString()}" for k in keep)
-    return rows.select(*keep, "text", "half").mapInArrow(per_task, f"{fields}, ratings array<double>")
+    return read.mapInArrow(per_task, "toxic int, ratings array<double>")
 
 
 def restored(docs: DataFrame) -> DataFrame:
@@ -429,11 +562,10 @@ def _logistic(ratings: np.ndarray, labels: np.ndarray) -> np.ndarray:
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     """Character model of all documents; feature weights and logistic function of labelled ones."""
     logs = character_model(docs)
-    rows = written(_labelled(docs, labels, sample), "labelled")
-    counts = _feature_counts(rows, logs)
+    read = written(_read(_labelled(docs, labels, sample), logs), "labelled")
+    counts = _feature_counts(read)
     weights = feature_weights(counts.sum(axis=0))
-    ratings = _ratings(rows, logs, [feature_weights(counts[1]), feature_weights(counts[0])], ["toxic"])
-    found = ratings.select("toxic", "ratings").toArrow()
+    found = _ratings(read, [feature_weights(counts[1]), feature_weights(counts[0])]).toArrow()
     rows_of = np.array(found.column("ratings").to_pylist(), np.float64).reshape(-1, RATINGS)
     toxic = found.column("toxic").to_numpy()
     kept = [rows_of[toxic == kind] for kind in (0, 1)]
@@ -455,7 +587,8 @@ def scored(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, sam
     ``carry`` the columns are those of ``docs`` and, in place of any of that name, ``predicted``.
     """
     model = fit(docs, labels, sample)
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    # arrays only: a class in a broadcast would need the package on the executors
+    sent = docs.sparkSession.sparkContext.broadcast((model.logs, model.weights, model.logistic))
     if carry:
         rows = docs.drop("predicted")
         fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema]
@@ -464,7 +597,7 @@ def scored(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, sam
         fields = ["doc_id long", "held_out boolean", "score double"]
 
     def per_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = sent.value
+        own = Model(*sent.value)
         weight_of = weigher(Restorer(own.logs), own.weights.tolist())
         for batch in steps(batches):
             ratings = np.array([rated(t or "", weight_of) for t in batch.column("text").to_pylist()], np.float64)
