@@ -44,10 +44,10 @@ def test_network_learns_and_its_gradients_are_right():
     chars, labels = rng.integers(0, 128, (6, secrets.WIDTH)), np.array([0, 1, 0, 1, 1, 0.0])
 
     def loss():
-        p = net.scores(chars)
+        p = 1 / (1 + np.exp(-net._forward(chars)[-1]))
         return -np.mean(labels * np.log(p) + (1 - labels) * np.log(1 - p))
     for w, g in zip(net.weights, net._gradients(chars, labels)):
-        at = tuple(rng.integers(0, s) for s in w.shape) if w.shape != (128, 12) else (chars[0, 20], 3)
+        at = tuple(rng.integers(0, s) for s in w.shape) if w.shape != (128, net.CHANNELS) else (chars[0, 20], 3)
         kept = w[at]
         w[at] = kept + 1e-5
         up = loss()
@@ -61,12 +61,17 @@ def test_network_finds_other_keys_and_leaves_numbers(spark):
     key = lambda: "".join(rng.choices("0123456789abcdef", k=40))
     number = lambda: f"call 555-{rng.randint(1000, 9999)}-{rng.randint(1000, 9999)} or 10.{rng.randint(0, 255)}.{rng.randint(10, 255)}.100"
     texts = [f"some words token = \"{key()}\" and more words" for _ in range(150)] + [number() for _ in range(150)]
-    seen = secrets.scan(docs_of(spark, texts)).selectExpr("inline(candidates)")
-    net = secrets.train(seen)
+    docs = docs_of(spark, texts)
+    net, taught = secrets.train(secrets.windows(docs))
+    threshold = secrets.threshold(secrets.score_counts(secrets.scored(docs, net, taught)), secrets.RECALL)
 
     def share(shown):
-        windows = [secrets.window(t, *m.span()) for t in shown for m in secrets.RUN.finditer(t) if secrets.DIGIT.search(m[0])]
-        return float((net.scores(secrets.characters(windows)) >= net.threshold).mean())
+        seen = secrets.Candidates(shown)
+        digits = [any(48 <= c < 58 for c in seen.data[s:e]) for s, e in zip(seen.start, seen.end)]
+        scores = np.zeros(len(seen.start))
+        for of, chars in seen.windows():
+            np.maximum.at(scores, of, net.scores(chars))
+        return float((scores[np.array(digits)] >= threshold).mean())
     assert share([f"words before {key()} and after" for _ in range(60)]) > 0.9
     assert share([f"another KEY{key().upper()} here" for _ in range(60)]) > 0.7
     assert share([number() for _ in range(60)]) < 0.03
@@ -90,20 +95,91 @@ def test_threshold_counts_all_candidates_and_recall_wins(spark):
     assert secrets.threshold(counts, 0.98) == 0.5
     counts[0, 8000] = 100_000
     assert 0.8 < secrets.threshold(counts, 0.98) <= 0.9
-    rng = random.Random(1)
-    rows = [(bool(i % 2), bytes(rng.choices(range(33, 127), k=secrets.WIDTH))) for i in range(600)]
-    df = spark.createDataFrame(rows + [(None, rows[0][1])], "finding boolean, window binary")
-    found = secrets.score_counts(df, secrets.CharNet(), {w for _, w in rows[:100]})
-    assert found.sum(axis=1).tolist() == [250, 750]
+    texts = ["token = 'abcdefgh%d' and otherwords%d" % (i, i) for i in range(50)]
+    docs = docs_of(spark, texts)
+    hashes = [r.hash for r in secrets.windows(docs).collect()]
+    known = np.sort(np.array(hashes[:10], np.int64).view(np.uint64))
+    rows = secrets.scored(docs, secrets.CharNet(), known)
+    assert len(hashes) == 100 and secrets.score_counts(rows).sum(axis=1).tolist() == [45, 135]
+
+
+def plain_candidates(text):
+    """Candidates of a text one by one: start, end, whether a finding, and their windows."""
+    marks = {}
+    for kind, start, end, _ in secrets.base_spans(text):
+        marks.update((i, 3) for i in range(start, end) if marks.get(i) != 2)
+    for kind, start, end, value in secrets.base_spans(text):
+        marks.update((i, 2) for i in range(value, end))
+    signs = [marks.get(i, 1) if regex.match("[A-Za-z0-9+/_.=-]", c) else 0 for i, c in enumerate(text)]
+    found, at = [], 0
+    while at < len(text):
+        end = at
+        while end < len(text) and signs[end] == signs[at]:
+            end += 1
+        if signs[at] in (1, 2) and end - at >= 8:
+            last = max(at, end - secrets.OWN)
+            shown = []
+            for begin in [*range(at, last, secrets.OWN // 2), last]:
+                stop = min(begin + secrets.OWN, end)
+                shown.append((text[max(0, begin - 16):begin].rjust(16, "\0") + text[begin:stop].ljust(40, "\0")
+                              + text[stop:stop + 8].ljust(8, "\0")).encode("ascii", "replace"))
+            found.append((at, end, signs[at] == 2, shown))
+        at = end
+    return found
+
+
+def test_candidates_and_added_spans_equal_brute_force(spark):
+    rng = random.Random(9)
+    key = lambda k: "".join(rng.choices("0123456789abcdefXYZ", k=k))
+    parts = ["token=", "secret: ", "word ", "é", "longerword ", " ", "a/b-c.", "deadbeef" * 4, ".", "AKIA" + "Q7" * 9]
+    texts = ODD + ["".join(rng.choices(parts, k=8)) + key(rng.choice([6, 8, 30, 90])) for _ in range(150)]
+    texts += ["deadbeef" * 4 + ".Zx9Qw8Er" * 12]
+    docs = docs_of(spark, texts)
+    seen = secrets.windows(docs)
+    want = sorted((i, s, e, f, w) for i, t in enumerate(texts) for s, e, f, ws in plain_candidates(t or "") for w in ws)
+    assert sorted((r.doc_id, r.start, r.end, r.finding, bytes(r.window)) for r in seen.collect()) == want
+    net, taught = secrets.train(seen)
+    same, again = secrets.train(secrets.windows(docs, secrets.SAMPLE))
+    assert all((a == b).all() for a, b in zip(net.weights, same.weights)) and (taught == again).all()
+    # scores of every candidate by the network's plain form, and the threshold from them
+    hashes = {w: int(secrets.window_hashes(np.frombuffer(w, np.uint8)[None])[0]) for *_, w in want}
+    learnt = set(taught.tolist())
+
+    def score(ws, k):
+        logits = net._forward(secrets.forms(secrets.characters(ws))[k])[-1]
+        return float((1 / (1 + np.exp(-np.clip(logits, -30, 30)))).max())
+    counts, others = np.zeros((2, secrets.BINS), np.int64), []
+    for i, text in enumerate(texts):
+        for s, e, f, ws in plain_candidates(text or ""):
+            told = any(hashes[w] in learnt for w in ws)
+            for k in range(3 if f else 1):
+                value = score(ws, k)
+                if not told:
+                    counts[int(f), min(int(value * secrets.BINS), secrets.BINS - 1)] += 1
+                if not f:
+                    others.append((i, s, e, value))
+    least = secrets.threshold(counts, secrets.RECALL)
+    rows = {r.doc_id: r for r in secrets.found(docs).collect()}
+    got = {(i, int(s), int(e)) for i, r in rows.items() for k, s, e in (x.split(":") for x in r.spans.split(",") if x) if k == "model"}
+    near = {(i, s, e) for i, s, e, v in others if abs(v - least) < 3 / secrets.BINS}
+    assert got - near == {(i, s, e) for i, s, e, v in others if v >= least} - near
+    assert sum(r.n_model for r in rows.values()) == len(got)
+
+
+def test_pieces_of_a_touched_run_are_judged():
+    seen = secrets.Candidates(["deadbeef" * 4 + ".Zx9Qw8Er" * 12, "token=abcdefgh"])
+    assert [(int(e - s), bool(f)) for s, e, f in zip(seen.start, seen.end, seen.finding)] == [(32, True), (108, False), (8, True)]
 
 
 def test_letters_only_and_all_of_a_long_run_are_candidates(spark):
     middle = "/path" * 20 + "Kq7ZxV9w" + "/path" * 20
     texts = ["see abcdefghijkl now", "a " + middle + " b", "token=" + "deadbeef" * 5]
-    rows = {r.doc_id: r.candidates for r in secrets.scan(docs_of(spark, texts)).collect()}
+    rows = {}
+    for r in secrets.windows(docs_of(spark, texts)).collect():
+        rows.setdefault(r.doc_id, []).append(r)
     assert [(c.start, c.end, c.finding) for c in rows[0]] == [(4, 16, False)]
     assert {(c.start, c.end) for c in rows[1]} == {(2, 2 + len(middle))}
     shown = [bytes(c.window[secrets.BEFORE:secrets.BEFORE + secrets.OWN]) for c in rows[1]]
-    assert any(b"Kq7ZxV9w" in w for w in shown) and shown[-1] == middle[-secrets.OWN:].encode()
+    assert any(b"Kq7ZxV9w" in w for w in shown) and any(w == middle[-secrets.OWN:].encode() for w in shown)
     assert all(c.finding for c in rows[2])
     assert all(any(middle[i:i + 20].encode() in w for w in shown) for i in range(len(middle) - 20))

@@ -1,12 +1,13 @@
 """Secret scan: patterns, and a character convolutional network over other candidates in context.
 
-One pass over the texts finds the spans of the patterns and every candidate, a run of key characters,
-with the characters around it; a long run is seen through overlapping windows, and its score is their
-greatest. What a pattern found is a labelled finding; the other
-candidates are labelled as none. The network (numpy) learns from a bounded sample of both and judges
-all candidates. Its threshold is set on all candidates that it didn't learn from, counted by score: as few
-others as can be, but ``RECALL`` of the findings. Findings and the sample are also shown without what stands before it and in capitals, so that a
-value counts for itself.
+The patterns' values are labelled findings. A candidate is a run of key characters; a run that patterns
+touch is cut at their spans, and what is left of it is candidates of their own, so nothing goes unjudged
+that is eight characters long. A long candidate is seen through overlapping windows with the characters
+around them, and its score is their greatest. The network (numpy) learns from a bounded sample of
+findings and other candidates, and gives every candidate one score, which is stored; its threshold is set
+on the stored scores of all candidates that it didn't learn from: as few others as can be, but ``RECALL``
+of the findings. Findings and the sample are also shown without what stands before them and in capitals,
+so that a value counts for itself.
 """
 
 from __future__ import annotations
@@ -17,10 +18,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tunemill.llm.common import steps
+from tunemill.llm.common import mixed, signed, steps
 from tunemill.session import written
 
 KINDS = ("assign", "access", "hex", "model")
@@ -28,7 +30,9 @@ ASSIGN = re.compile(r"""(?ai:password|passwd|secret|token|api_?key)["']?\x20*[:=
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{32,}")
 KEYWORDS = ("password", "passwd", "secret", "token", "api_key", "apikey")
-RUN = re.compile(r"[A-Za-z0-9+/_.=-]{8,}")
+#: Characters of a candidate, by code; and the least length of one.
+KEY = np.isin(np.arange(256), np.frombuffer(b"+/_.=-0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz", np.uint8))
+LEAST_RUN = 8
 DIGIT = re.compile(r"[0-9]")
 LEAST_VALUE, LEAST_ACCESS = 8, 16
 
@@ -41,19 +45,21 @@ RECALL = 0.98
 OTHERS = 0.001
 #: Bins of the scores that the threshold is set on.
 BINS = 10_000
+#: Windows that are gathered and scored at once.
+AT_ONCE = 2048
 SEED = 7
 
 
-def base_spans(text: str) -> list[tuple[str, int, int]]:
-    """Spans of the patterns, by start and then by kind."""
+def base_spans(text: str) -> list[tuple[str, int, int, int]]:
+    """Spans of the patterns, by start and then by kind, each with the start of its value."""
     spans = []
     lower = text.lower()
     if any(k in lower for k in KEYWORDS):
-        spans += [("assign", *m.span()) for m in ASSIGN.finditer(text) if len(m[1]) >= LEAST_VALUE]
+        spans += [("assign", *m.span(), m.start(1)) for m in ASSIGN.finditer(text) if len(m[1]) >= LEAST_VALUE]
     if "AKIA" in text:
-        spans += [("access", *m.span()) for m in ACCESS.finditer(text) if len(m[0]) >= LEAST_ACCESS]
+        spans += [("access", *m.span(), m.start()) for m in ACCESS.finditer(text) if len(m[0]) >= LEAST_ACCESS]
     if DIGIT.search(text) or HEX.search(text):
-        spans += [("hex", *m.span()) for m in HEX.finditer(text)]
+        spans += [("hex", *m.span(), m.start()) for m in HEX.finditer(text)]
     return sorted(spans, key=lambda s: (s[1], KINDS.index(s[0])))
 
 
@@ -61,69 +67,115 @@ def spans_text(spans) -> str:
     return ",".join(f"{kind}:{start}:{end}" for kind, start, end in spans)
 
 
-def window(text: str, start: int, end: int) -> bytes:
-    """The characters that the network sees, one byte each (63 for what isn't ASCII)."""
-    own = text[start:end]
-    if len(own) > OWN:
-        own = own[:OWN // 2] + own[-(OWN - OWN // 2):]
-    shown = text[max(0, start - BEFORE):start].rjust(BEFORE, "\0") + own.ljust(OWN, "\0") \
-        + text[end:end + AFTER].ljust(AFTER, "\0")
-    return shown.encode("ascii", "replace")
+class Candidates:
+    """All candidates of some texts, as arrays.
 
-
-def shares(start: int, end: int) -> list[tuple[int, int]]:
-    """Overlapping parts of a run that windows show whole; together they are the run."""
-    last = max(start, end - OWN)
-    return [(at, min(at + OWN, end)) for at in [*range(start, last, OWN // 2), last]]
-
-
-def scan(docs: DataFrame) -> DataFrame:
-    """One row for every row of ``docs``: spans of the patterns, and the windows of candidates.
-
-    A long candidate has several windows, one after the other. ``finding`` is NULL for those of a
-    candidate that a pattern touches at another place: they teach nothing and aren't judged.
+    ``data`` holds the texts one after the other, a byte for each character (63 for what isn't ASCII), with zeros between
+    them. Candidate ``i`` is ``data[start[i]:end[i]]`` of text ``owner[i]``, whose first character is at
+    ``offset[owner[i]]``; ``finding[i]`` says whether a pattern's value covers it. What is covered by a pattern's span but
+    isn't its value is no candidate.
     """
-    kinds = {k: i for i, k in enumerate(KINDS)}
 
+    def __init__(self, texts: list[str | None]):
+        self.base = [base_spans(t) if t else [] for t in texts]
+        gap = b"\0" * WIDTH
+        coded = [(t or "").encode("ascii", "replace") for t in texts]
+        sizes = np.fromiter(map(len, coded), np.int64, len(coded))
+        self.offset = np.cumsum(sizes + WIDTH) - sizes
+        self.data = np.frombuffer(gap + gap.join(coded) + gap, np.uint8)
+        kind = KEY[self.data].astype(np.uint8)  # 0 no key character, 1 one, 2 in a value, 3 else in a span
+        for found, at in zip(self.base, self.offset.tolist()):
+            for _, start, end, _ in found:
+                inside = kind[at + start:at + end]
+                inside[inside == 1] = 3
+            for _, _, end, value in found:
+                inside = kind[at + value:at + end]
+                inside[inside != 0] = 2
+        edges = np.flatnonzero(kind[1:] != kind[:-1]) + 1
+        edges = np.concatenate(([0], edges, [len(kind)]))
+        start, end = edges[:-1], edges[1:]
+        keep = ((kind[start] == 1) | (kind[start] == 2)) & (end - start >= LEAST_RUN)
+        self.start, self.end = start[keep], end[keep]
+        self.finding = kind[self.start] == 2
+        self.owner = np.searchsorted(self.offset, self.start, "right") - 1
+
+    def windows(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Windows of all candidates in order, some at a time: candidate of each, and rows of character numbers.
+
+        The windows of a candidate of over ``OWN`` characters overlap and show all of it.
+        """
+        size = self.end - self.start
+        number = np.where(size <= OWN, 1, -(-(size - OWN) // (OWN // 2)) + 1)
+        ends = np.cumsum(number)
+        total = int(ends[-1]) if len(ends) else 0
+        for first in range(0, total, AT_ONCE):
+            at = np.arange(first, min(first + AT_ONCE, total))
+            of = np.searchsorted(ends, at, "right")
+            step = at - (ends[of] - number[of])
+            begin = np.minimum(self.start[of] + step * (OWN // 2), np.maximum(self.start[of], self.end[of] - OWN))
+            end = np.minimum(begin + OWN, self.end[of])
+            places = begin[:, None] + np.arange(OWN)
+            own = np.where(places < end[:, None], self.data[np.minimum(places, len(self.data) - 1)], 0)
+            yield of, np.concatenate([self.data[begin[:, None] + np.arange(-BEFORE, 0)], own,
+                                      self.data[end[:, None] + np.arange(AFTER)]], axis=1) & 127
+
+
+def window_hashes(chars: np.ndarray) -> np.ndarray:
+    """64-bit hashes of windows."""
+    words = np.ascontiguousarray(chars, np.uint8).view(np.uint64)
+    out = np.zeros(len(words), np.uint64)
+    for k in range(words.shape[1]):
+        out = mixed(out ^ words[:, k])
+    return out
+
+
+def windows(docs: DataFrame, least: int | None = None) -> DataFrame:
+    """``(doc_id, start, end, finding, window, hash)``, a row for each window of every candidate.
+
+    With ``least``, of each task only the windows of the least hashes, that many of findings and of others at most, and equal
+    ones once: what the whole table's least are among.
+    """
     def per_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept = None
         for batch in steps(batches):
-            spans, candidates = [], []
-            for text in batch.column("text").to_pylist():
-                found = base_spans(text) if text else []
-                seen, at = [], 0
-                for m in RUN.finditer(text or ""):
-                    while at < len(found) and found[at][2] <= m.start():
-                        at += 1
-                    near = []
-                    for k in range(at, len(found)):
-                        if found[k][1] >= m.end():
-                            break
-                        near.append(found[k])
-                    touched = any(m.start() < e for _, _, e in near)
-                    for begin, end in shares(*m.span()):
-                        inside = any(s < end and begin < e for _, s, e in near)
-                        seen.append({"start": m.start(), "end": m.end(), "finding": inside or (None if touched else False),
-                                     "window": window(text, begin, end)})
-                spans.append([{"kind": kinds[k], "start": s, "end": e} for k, s, e in found])
-                candidates.append(seen)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(spans, _SPANS), pa.array(candidates, _CANDIDATES)],
-                ["doc_id", "spans", "candidates"])
-
-    return docs.select("doc_id", "text").mapInArrow(per_task, (
-        "doc_id long, spans array<struct<kind: int, start: int, end: int>>, "
-        "candidates array<struct<start: int, end: int, finding: boolean, window: binary>>"))
-
-
-_SPANS = pa.list_(pa.struct([("kind", pa.int32()), ("start", pa.int32()), ("end", pa.int32())]))
-_CANDIDATES = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("finding", pa.bool_()),
-                                  ("window", pa.binary())]))
+            seen = Candidates(batch.column("text").to_pylist())
+            ids = batch.column("doc_id")
+            for of, chars in seen.windows():
+                hashes, finding = window_hashes(chars), seen.finding[of]
+                if kept is not None:
+                    hashes, finding = np.concatenate([kept[2], hashes]), np.concatenate([kept[1], finding])
+                    chars = np.concatenate([kept[0], chars])
+                if least is not None:
+                    order = np.lexsort((hashes, finding))
+                    first = np.concatenate(([True], (np.diff(hashes[order]) != 0) | np.diff(finding[order])))
+                    order = order[first]
+                    others = int((~finding[order]).sum())
+                    order = np.concatenate([order[:others][:least], order[others:][:least]])
+                    kept = (chars[order], finding[order], hashes[order])
+                    continue
+                offset = seen.offset[seen.owner[of]]
+                yield _window_rows(ids.take(pa.array(seen.owner[of])), seen.start[of] - offset, seen.end[of] - offset,
+                                   finding, chars, hashes)
+        if kept is not None:
+            none = pa.nulls(len(kept[0]), pa.int64())
+            yield _window_rows(none, none, none, kept[1], kept[0], kept[2])
+
+    return docs.select("doc_id", "text").mapInArrow(
+        per_task, "doc_id long, start long, end long, finding boolean, window binary, hash long")
+
+
+def _window_rows(ids, start, end, finding, chars, hashes) -> pa.RecordBatch:
+    joined = np.ascontiguousarray(chars, np.uint8).tobytes()
+    return pa.RecordBatch.from_arrays(
+        [ids, pa.array(start), pa.array(end), pa.array(finding),
+         pa.array([joined[i:i + WIDTH] for i in range(0, len(joined), WIDTH)], pa.binary()), pa.array(signed(hashes))],
+        ["doc_id", "start", "end", "finding", "window", "hash"])
 
 
 class CharNet:
     """Characters to vectors, two convolutions with rectifiers, greatest value by filter, logistic."""
 
-    CHANNELS, FILTERS, SPAN = 12, (24, 24), 5
+    CHANNELS, FILTERS, SPAN = 8, (16, 16), 5
 
     def __init__(self, seed: int = SEED):
         rng = np.random.default_rng(seed)
@@ -132,7 +184,6 @@ class CharNet:
         self.weights = [rng.normal(0, 0.5, (128, self.CHANNELS)), draw(self.SPAN * self.CHANNELS, first),
                         np.zeros(first), draw(self.SPAN * first, second), np.zeros(second),
                         draw(2 * second, 1), np.zeros(1)]
-        self.threshold = 0.5
 
     @staticmethod
     def _unrolled(x: np.ndarray, span: int) -> np.ndarray:
@@ -151,10 +202,32 @@ class CharNet:
         return u1, h1, u2, h2, top, pooled, (pooled @ w3 + b3)[:, 0]
 
     def scores(self, chars: np.ndarray) -> np.ndarray:
-        """Probability of a secret for rows of character numbers."""
-        out = [1 / (1 + np.exp(-np.clip(self._forward(chars[i:i + 512])[-1], -30, 30)))
-               for i in range(0, len(chars), 512)]
-        return np.concatenate(out) if out else np.zeros(0)
+        """Probability of a secret for rows of character numbers.
+
+        The first convolution is a sum of look-ups, by place in the filter and character; single precision.
+        """
+        table, w1, b1, w2, b2, w3, b3 = (w.astype(np.float32) for w in self.weights)
+        first, second = self.FILTERS
+        looked = [table @ w1.reshape(self.SPAN, self.CHANNELS, first)[k] for k in range(self.SPAN)]
+        looked[0] = looked[0] + b1
+        wide = w2.reshape(self.SPAN, first, second).transpose(1, 0, 2).reshape(first, -1)
+        out = [np.zeros(0)]
+        for i in range(0, len(chars), 256):
+            part = chars[i:i + 256]
+            width = part.shape[1] - self.SPAN + 1
+            h1 = looked[0][part[:, :width]]
+            for k in range(1, self.SPAN):
+                h1 += looked[k][part[:, k:k + width]]
+            np.maximum(h1, 0, out=h1)
+            apart = (h1.reshape(-1, first) @ wide).reshape(len(part), width, self.SPAN, second)
+            width -= self.SPAN - 1
+            h2 = apart[:, :width, 0] + b2
+            for k in range(1, self.SPAN):
+                h2 += apart[:, k:k + width, k]
+            np.maximum(h2, 0, out=h2)
+            logit = np.concatenate([h2.max(axis=1), h2.mean(axis=1)], 1) @ w3 + b3
+            out.append(1 / (1 + np.exp(-np.clip(logit[:, 0].astype(np.float64), -30, 30))))
+        return np.concatenate(out)
 
     def _gradients(self, chars: np.ndarray, labels: np.ndarray) -> list[np.ndarray]:
         table, w1, b1, w2, b2, w3, b3 = self.weights
@@ -212,32 +285,6 @@ def threshold(counts: np.ndarray, recall: float) -> float:
     return min(most, max(BINS // 2, least)) / BINS
 
 
-def score_counts(candidates: DataFrame, net: CharNet, taught: set[bytes]) -> np.ndarray:
-    """Candidates by kind and score bin, over all that the network wasn't fitted on. Findings count in all three forms."""
-    sent = candidates.sparkSession.sparkContext.broadcast((net, taught))
-
-    def per_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        judge, known = sent.value
-        counts = np.zeros((2, BINS), np.int64)
-        for batch in batches:
-            for kind in (0, 1):
-                windows = [w for w, k in zip(batch.column("window").to_pylist(), batch.column("finding").to_pylist())
-                           if k is not None and int(k) == kind and w not in known]
-                if windows:
-                    chars = characters(windows)
-                    for shown in forms(chars) if kind else [chars]:
-                        at = np.minimum((judge.scores(shown) * BINS).astype(np.int64), BINS - 1)
-                        counts[kind] += np.bincount(at, minlength=BINS)
-        at = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(counts.reshape(-1)[at])], ["at", "n"])
-
-    rows = (candidates.select("finding", "window").mapInArrow(per_task, "at long, n long")
-            .groupBy("at").agg(F.sum("n").alias("n")).toArrow())
-    out = np.zeros(2 * BINS, np.int64)
-    out[rows.column("at").to_numpy()] = rows.column("n").to_numpy()
-    return out.reshape(2, BINS)
-
-
 def forms(chars: np.ndarray) -> list[np.ndarray]:
     """Windows as they are, without what stands before, and in capitals."""
     bare = chars.copy()
@@ -245,68 +292,131 @@ def forms(chars: np.ndarray) -> list[np.ndarray]:
     return [chars, bare, np.where((chars >= 97) & (chars <= 122), chars - 32, chars)]
 
 
-def train(candidates: DataFrame, sample: int = SAMPLE, recall: float = RECALL) -> CharNet | None:
-    """The network, fitted on at most ``sample`` candidates of each kind (columns finding, window).
+def train(found: DataFrame, sample: int = SAMPLE) -> tuple[CharNet, np.ndarray] | None:
+    """The network, fitted on at most ``sample`` windows of each kind, and the hashes of what it was fitted on.
 
-    The sample has the candidates of the least hashes, equal windows once. The network isn't fitted on every
-    fourth. The threshold is set on all candidates that it wasn't fitted on. Without enough of both kinds
-    there is no network.
+    ``found`` has the columns finding, window and hash. The sample has the windows of the least hashes, equal ones once; every
+    fourth is left aside. Without eight of both kinds there is no network.
     """
-    hashed = F.xxhash64("window")
-    kept = {}
+    kept = []
     for finding in (False, True):
-        rows = (candidates.where(F.col("finding") == finding).select("window", hashed.alias("_hash"))
-                .distinct().orderBy("_hash", "window").limit(sample).toArrow())
-        kept[finding] = rows.column("window").to_pylist()
-    if min(map(len, kept.values())) < 8:
-        return None
-    rows = [(w, int(k), i % 4 == 3) for k, ws in kept.items() for i, w in enumerate(ws)]
-    chars = characters([w for w, _, _ in rows])
-    labels = np.array([k for _, k, _ in rows], np.float64)
-    aside = np.array([a for _, _, a in rows])
+        rows = (found.where(F.col("finding") == finding)
+                .withColumn("at", F.expr("hash ^ (-9223372036854775807L - 1)"))
+                .select("at", "hash", "window").distinct().orderBy("at", "window").limit(sample).toArrow())
+        kept += [(w, int(finding), i % 4 == 3, h) for i, (w, h) in enumerate(
+            zip(rows.column("window").to_pylist(), rows.column("hash").to_pylist()))]
+        if rows.num_rows < 8:
+            return None
+    chars = characters([w for w, _, _, _ in kept])
+    labels = np.array([k for _, k, _, _ in kept], np.float64)
+    aside = np.array([a for _, _, a, _ in kept])
     shown = forms(chars)
     net = CharNet()
     net.fit(np.concatenate([c[~aside] for c in shown]), np.tile(labels[~aside], len(shown)))
-    net.threshold = threshold(score_counts(candidates, net, {w for w, _, a in rows if not a}), recall)
-    return net
+    return net, np.sort(np.array([h for _, _, a, h in kept if not a], np.int64).view(np.uint64))
+
+
+def scored(docs: DataFrame, net: CharNet | None, taught: np.ndarray) -> DataFrame:
+    """``(doc_id, n_assign, n_access, n_hex, base, starts, sizes, bins, found_bins)`` for every row of ``docs``.
+
+    ``base`` is the spans of the patterns as text. ``bins`` has the score bin of each candidate that is no finding, -1 less
+    the bin where the network learnt from one of its windows, ``found_bins`` those of the findings it didn't learn from, in
+    all three forms. Without a network there are no candidates.
+    """
+    # arrays only: a class in a broadcast would need the package on the executors
+    sent = docs.sparkSession.sparkContext.broadcast((net.weights if net else None, taught))
+
+    def per_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        weights, known = sent.value
+        judge = CharNet()
+        judge.weights = weights
+        for batch in steps(batches):
+            seen = Candidates(batch.column("text").to_pylist())
+            best = np.zeros((3, len(seen.start)))
+            learnt = np.zeros(len(seen.start), bool)
+            for of, chars in seen.windows() if weights is not None else ():
+                np.maximum.at(best[0], of, judge.scores(chars))
+                learnt[of[np.isin(window_hashes(chars), known)]] = True
+                named = seen.finding[of]
+                if named.any():
+                    for k, shown in enumerate(forms(chars[named])[1:], 1):
+                        np.maximum.at(best[k], of[named], judge.scores(shown))
+            bins = np.minimum((best * BINS).astype(np.int32), BINS - 1)
+            others = ~seen.finding if weights is not None else np.zeros(len(seen.start), bool)
+            named = seen.finding & ~learnt & (weights is not None)
+            offset = seen.offset[seen.owner]
+            lists = lambda mask, values, times=1: pa.ListArray.from_arrays(
+                pa.array(np.concatenate(([0], np.cumsum(times * np.bincount(seen.owner[mask], minlength=batch.num_rows))))
+                         .astype(np.int32)), pa.array(values.astype(np.int32)))
+            base = [[s[:3] for s in row] for row in seen.base]
+            count = lambda kind: pa.array([sum(s[0] == kind for s in row) for row in base], pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), count("assign"), count("access"), count("hex"),
+                 pa.array(list(map(spans_text, base)), pa.string()),
+                 lists(others, (seen.start - offset)[others]), lists(others, (seen.end - seen.start)[others]),
+                 lists(others, np.where(learnt, -1 - bins[0], bins[0])[others]),
+                 lists(named, bins[:, named].T.reshape(-1), 3)],
+                ["doc_id", "n_assign", "n_access", "n_hex", "base", "starts", "sizes", "bins", "found_bins"])
+
+    return docs.select("doc_id", "text").mapInArrow(per_task, (
+        "doc_id long, n_assign long, n_access long, n_hex long, base string, starts array<int>, sizes array<int>, "
+        "bins array<int>, found_bins array<int>"))
+
+
+def score_counts(rows: DataFrame) -> np.ndarray:
+    """Candidates by kind (others, findings) and score bin, from :func:`scored`, but for those the network learnt from."""
+    def per_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(2 * BINS, np.int64)
+        for batch in batches:
+            for kind, column in enumerate(("bins", "found_bins")):
+                bins = batch.column(column).flatten().to_numpy(zero_copy_only=False)
+                counts += np.bincount(kind * BINS + bins[bins >= 0], minlength=2 * BINS)
+        at = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(counts[at])], ["at", "n"])
+
+    found = (rows.select("bins", "found_bins").mapInArrow(per_task, "at long, n long")
+             .groupBy("at").agg(F.sum("n").alias("n")).toArrow())
+    out = np.zeros(2 * BINS, np.int64)
+    out[found.column("at").to_numpy()] = found.column("n").to_numpy()
+    return out.reshape(2, BINS)
 
 
 def found(docs: DataFrame, sample: int = SAMPLE, recall: float = RECALL) -> DataFrame:
     """``(doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_model)`` for every row of ``docs``.
 
     Spans count code points with the end excluded. Those of the patterns all stay; the network adds
-    candidates (kind ``model``) that touch none of them. A NULL text is empty. Other columns are
+    candidates (kind ``model``), which touch none of them. A NULL text is empty. Other columns are
     ignored, NULL and repeated doc_ids stay, an empty table gives no rows. The network adds nothing
     where the table has fewer than eight findings or eight other candidates to learn from.
     """
-    seen = written(scan(docs), "candidates")
-    one = seen.select(F.explode("candidates").alias("c")).select("c.finding", "c.window")
-    net = docs.sparkSession.sparkContext.broadcast(train(one, sample, recall))
+    taught = train(written(windows(docs, sample), "least-windows"), sample)
+    net, hashes = taught or (None, np.zeros(0, np.uint64))
+    rows = written(scored(docs, net, hashes), "scored-candidates")
+    counts = score_counts(rows)
+    least = round(threshold(counts, recall) * BINS) if counts[1].any() else BINS
 
     def per_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        judge = net.value
         for batch in batches:
-            for begin in range(0, batch.num_rows, 2000):
-                part = batch.slice(begin, 2000)
-                spans = part.column("spans").to_pylist()
-                lists = [[c for c in row if c["finding"] is False] for row in part.column("candidates").to_pylist()]
-                flat = [c["window"] for row in lists for c in row]
-                scores = iter(judge.scores(characters(flat)) if judge and flat else np.zeros(len(flat)))
-                base, every, added = [], [], []
-                for row, more in zip(spans, lists):
-                    own = [(KINDS[s["kind"]], s["start"], s["end"]) for s in row]
-                    passed = {(c["start"], c["end"]) for c in more
-                              if next(scores) >= (judge.threshold if judge else 1.0)}
-                    extra = [("model", *c) for c in sorted(passed)]
-                    base.append(own)
-                    added.append(len(extra))
-                    every.append(sorted(own + extra, key=lambda s: (s[1], KINDS.index(s[0]))))
-                count = lambda kind: pa.array([sum(s[0] == kind for s in b) for b in base], pa.int64())
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), count("assign"), count("access"), count("hex"),
-                     pa.array([hashlib.sha256(spans_text(b).encode()).hexdigest() for b in base]),
-                     pa.array(list(map(spans_text, every))), pa.array(added, pa.int64())],
-                    ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_model"])
-
-    return seen.mapInArrow(per_task, "doc_id long, n_assign long, n_access long, n_hex long, "
+            bins = batch.column("bins")
+            flat = bins.flatten().to_numpy(zero_copy_only=False)
+            flat = np.where(flat < 0, -1 - flat, flat)
+            starts, sizes = (batch.column(c).flatten().to_numpy(zero_copy_only=False) for c in ("starts", "sizes"))
+            ends = np.cumsum(pc.list_value_length(bins).to_numpy(zero_copy_only=False).astype(np.int64))
+            passed = np.flatnonzero(flat >= least)
+            owner = np.searchsorted(ends, passed, "right")
+            base = batch.column("base").to_pylist()
+            spans, added = list(base), np.bincount(owner, minlength=batch.num_rows)
+            more: dict[int, list] = {}
+            for row, start, size in zip(owner.tolist(), starts[passed].tolist(), sizes[passed].tolist()):
+                more.setdefault(row, []).append(("model", start, start + size))
+            for row, extra in more.items():
+                own = [(k, int(s), int(e)) for k, s, e in (span.split(":") for span in base[row].split(",") if span)]
+                spans[row] = spans_text(sorted(own + extra, key=lambda s: (s[1], KINDS.index(s[0]))))
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(c) for c in ("doc_id", "n_assign", "n_access", "n_hex")),
+                 pa.array([hashlib.sha256(b.encode()).hexdigest() for b in base], pa.string()),
+                 pa.array(spans, pa.string()), pa.array(added.astype(np.int64))],
+                ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_model"])
+
+    return rows.mapInArrow(per_task, "doc_id long, n_assign long, n_access long, n_hex long, "
                                      "base_sha256 string, spans string, n_model long")
