@@ -1,8 +1,8 @@
 """URL filter: rules by host and path, and where no rule fits, the ratio of two character models.
 
 The models are Markov models of accepted and of rejected URLs, learnt from the URLs that a rule
-judges. A URL's score is the difference of its log-likelihoods by character. Four of five labelled
-URLs (by a hash of host and path) count for the models, the fifth is scored to find the threshold:
+judges. They read all of a URL after its ``://``, also query and fragment. A URL's score is the difference of its
+log-likelihoods by character. Four of five labelled URLs (by a hash) count for the models, the fifth is scored to find the threshold:
 the one with the best mean of both classes' shares of right verdicts.
 """
 
@@ -29,13 +29,14 @@ BIN, REACH = 0.01, 12.0
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
-def parts(url: Column) -> tuple[Column, Column]:
-    """Host (A-Z in lower case) and path of a URL, both empty without ``://`` or for NULL."""
+def parts(url: Column) -> tuple[Column, Column, Column]:
+    """Host (A-Z in lower case), path, and all that follows of a URL, empty without ``://`` or for NULL."""
     at = F.instr(url, "://")
     rest = F.when(at > 0, F.substring(url, at + 3, F.char_length(url))).otherwise("")
     host = F.regexp_extract(rest, "^[^/?#]*", 0)
     path = F.regexp_extract(F.substring(rest, F.char_length(host) + 1, F.char_length(url)), "^[^?#]*", 0)
-    return F.translate(host, _UPPER, _LOWER), F.coalesce(path, F.lit(""))
+    tail = F.substring(rest, F.char_length(host) + F.char_length(path) + 1, F.char_length(url))
+    return F.translate(host, _UPPER, _LOWER), F.coalesce(path, F.lit("")), F.coalesce(tail, F.lit(""))
 
 
 def _rule(host: Column, path: Column, rules) -> Column:
@@ -62,17 +63,19 @@ class RatioModel:
 
 
 def scored(urls: DataFrame, model: RatioModel) -> DataFrame:
-    """``urls`` (columns ``page_id, host, path, rule_at``) with the score of the model."""
-    sent = urls.sparkSession.sparkContext.broadcast(model)
+    """``urls`` (columns ``page_id, host, path, tail, rule_at``) with the score that the model gives the whole URL after
+    its ``://``."""
+    # arrays and numbers only: a class in a broadcast would need the package on the executors
+    sent = urls.sparkSession.sparkContext.broadcast((model.ratio, model.table, model.order, model.threshold))
 
     def per_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ratio = sent.value
+        ratio = RatioModel(*sent.value)
         for batch in steps(batches, "path"):
-            found = [ratio.score(h + p) for h, p in zip(utf8(batch.column("host")), utf8(batch.column("path")))]
+            found = [ratio.score(b"".join(url)) for url in zip(*(utf8(batch.column(c)) for c in ("host", "path", "tail")))]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.float64())],
                                              [*batch.schema.names, "score"])
 
-    return urls.mapInArrow(per_task, "page_id long, host string, path string, rule_at int, score double")
+    return urls.mapInArrow(per_task, "page_id long, host string, path string, tail string, rule_at int, score double")
 
 
 def fit(urls: DataFrame, rules=RULES, order: int = ORDER) -> RatioModel:
@@ -82,8 +85,8 @@ def fit(urls: DataFrame, rules=RULES, order: int = ORDER) -> RatioModel:
     allowed = F.array(*(F.lit(int(v == "allow")) for v, _, _ in rules))
     labelled = (urls.where("rule_at IS NOT NULL")
                 .withColumn("label", F.get(allowed, F.col("rule_at")))
-                .withColumn("fold", F.pmod(F.xxhash64("host", "path"), F.lit(FOLDS))))
-    texts = labelled.where("fold > 0").select("label", F.concat("host", "path").alias("text"))
+                .withColumn("fold", F.pmod(F.xxhash64("host", "path", "tail"), F.lit(FOLDS))))
+    texts = labelled.where("fold > 0").select("label", F.concat("host", "path", "tail").alias("text"))
     counts = count_ngrams(texts, "label", table, order).toArrow()
     kinds = counts.column("label").to_numpy()
     if len(np.unique(kinds)) < 2:
@@ -91,7 +94,7 @@ def fit(urls: DataFrame, rules=RULES, order: int = ORDER) -> RatioModel:
     by = [log_probabilities(counts.column("code").to_numpy()[kinds == k],
                             counts.column("n").to_numpy()[kinds == k], size, order) for k in (0, 1)]
     model = RatioModel(by[1] - by[0], table, order, 0.0)
-    held = labelled.where("fold = 0").select("page_id", "host", "path", "rule_at")
+    held = labelled.where("fold = 0").select("page_id", "host", "path", "tail", "rule_at")
     place = F.floor(F.least(F.greatest(F.col("score"), F.lit(-REACH)), F.lit(REACH)) / BIN).cast("int")
     bins = (scored(held, model).groupBy(place.alias("bin"), F.get(allowed, F.col("rule_at")).alias("label"))
             .count().toArrow())
@@ -116,8 +119,8 @@ def judged(pages: DataFrame, rules=RULES, order: int = ORDER) -> DataFrame:
     where none fits. Other columns are ignored, NULL and repeated page_ids stay, an empty table gives
     no rows; where rules label URLs of one kind only, all others are allowed.
     """
-    host, path = parts(F.coalesce("url", F.lit("")))
-    urls = pages.select("page_id", host.alias("host"), path.alias("path")).withColumn(
+    host, path, tail = parts(F.coalesce("url", F.lit("")))
+    urls = pages.select("page_id", host.alias("host"), path.alias("path"), tail.alias("tail")).withColumn(
         "rule_at", _rule(F.col("host"), F.col("path"), rules))
     model = fit(urls, rules, order)
     names = F.array(*(F.lit(h + p) for _, h, p in rules))
