@@ -17,7 +17,6 @@ from __future__ import annotations
 import re
 from array import array
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +27,7 @@ from tunemill.llm.common import steps
 MODEL = "piece_bpe_32k.model"
 UNKNOWN = 10.0
 #: Words whose ids a task keeps.
-KEPT = 400_000
+KEPT = 200_000
 MARKED = re.compile(r" *[^ \n]+| +|\n")
 
 
@@ -131,9 +130,9 @@ class Known:
 
 def _encoded(batches: Iterator[pa.RecordBatch], model: str | None):
     """Steps of rows with their texts, the flat ids of all, and the end of each row in them."""
-    pieces = _pieces(model or model_path())
+    pieces = Pieces(model or model_path())
     known = Known(pieces)
-    for batch in steps(batches, step_bytes=8 << 20):
+    for batch in steps(batches, step_bytes=2 << 20):
         texts = batch.column("text").to_pylist()
         words = [MARKED.findall(" " + t) if t else [] for t in texts]
         ids_of = known.of(set().union(*words))
@@ -148,11 +147,6 @@ def _lists(ids: np.ndarray, ends: np.ndarray, texts: list) -> pa.Array:
         mask=pa.array([t is None for t in texts], pa.bool_()))
 
 
-@lru_cache(maxsize=2)
-def _pieces(path: str) -> Pieces:
-    return Pieces(path)
-
-
 def model_path(name: str = MODEL) -> str:
     """Place of a public tokenizer file on the machine that asks."""
     import public_tokenizers
@@ -188,7 +182,7 @@ def decode(encoded: DataFrame, model: str | None = None, keep: tuple[str, ...] =
     decoded with replacement signs.
     """
     def per_task(batches):
-        pieces = _pieces(model or model_path())
+        pieces = Pieces(model or model_path())
         for batch in batches:
             for begin in range(0, batch.num_rows, 500):
                 part = batch.slice(begin, 500)
@@ -212,7 +206,7 @@ def round_trip(docs: DataFrame, model: str | None = None) -> DataFrame:
     has NULL ``n_pieces`` and ``ids``, and its ``round_trip`` is true.
     """
     def per_task(batches):
-        pieces = _pieces(model or model_path())
+        pieces = Pieces(model or model_path())
         for batch, texts, ids, ends in _encoded(batches, model):
             same, begin = [], 0
             while begin < len(texts):  # decoded about a million ids at a time

@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -132,11 +131,6 @@ class RankMerger:
             begin = end
 
 
-@lru_cache(maxsize=2)
-def _merger(path: str) -> RankMerger:
-    return RankMerger(path)
-
-
 def split_words(text: str) -> list[str]:
     """White-space words by the Unicode property."""
     if any(c in text for c in NOT_WHITE):
@@ -156,7 +150,7 @@ def token_counts(docs: DataFrame, vocabulary: str | None = None, limit: int = LI
     def per_task(batches):
         import public_tokenizers
 
-        merger = _merger(vocabulary or public_tokenizers.path(VOCABULARY))
+        merger = RankMerger(vocabulary or public_tokenizers.path(VOCABULARY))
         known: dict[str, int] = {}
         for batch in steps(batches, step_bytes=16 << 20):
             texts = [t or "" for t in batch.column("text").to_pylist()]
