@@ -136,12 +136,16 @@ def contained(docs: DataFrame, items: DataFrame, share: float = SHARE, width: in
     Containment counts distinct shingles of ``width`` words (punctuation around words and the case of
     A-Z don't matter) in the whole document. Items and documents with fewer words have no shingles
     and match nothing, likewise NULL texts and NULL ids. Rows that repeat an id count as one document
-    (or item) that holds the shingles of all of them. Empty tables give no rows, and columns beside
+    (or item) that holds the shingles of all of them; the sketch of an item of several rows is all of
+    its shingles. Empty tables give no rows, and columns beside
     the id and ``text`` are ignored.
     """
     if not 0 < share <= 1:
         raise ValueError("share must be over 0 and not over 1")
-    shingles = written(item_shingles(items, share, width), "item-shingles")
+    # a sketch of one row says nothing about the union of several, so all shingles of such items are in theirs
+    several = items.groupBy("item_id").agg((F.count("*") > 1).alias("several"))
+    shingles = written(item_shingles(items, share, width).join(several, "item_id").select(
+        "item_id", "hash", (F.col("in_sketch") | F.col("several")).alias("in_sketch")), "item-shingles")
     hits = _hits(docs, _bit_set(shingles.where("in_sketch"), bits), _bit_set(shingles, bits), bits,
                  width).distinct()
     sizes = shingles.groupBy("item_id").agg(F.countDistinct("hash").alias("size"))
