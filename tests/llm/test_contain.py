@@ -65,3 +65,23 @@ def test_nulls_repeats_and_empty_tables(spark):
     assert got == [(5, 1, 1.0), (8, 1, 1.0)]
     assert contain.contained(df.limit(0), items).count() == 0
     assert contain.contained(df, items.limit(0)).count() == 0
+
+
+def test_rows_that_repeat_an_item_are_one_item_and_lose_no_document(spark):
+    rng = random.Random(21)
+    word = lambda: "".join(rng.choices("abcdefghij", k=6))
+    items, docs, want = [], [], {}
+    for i in range(60):
+        parts = [[word() for _ in range(rng.randint(5, 40))] for _ in range(2)]
+        items += [(i, " ".join(p)) for p in parts]
+        sizes = [len(p) - 4 for p in parts]
+        for cut in (0, 1, 3, 8):  # a document that lacks the end of the shorter part
+            short = min(range(2), key=lambda k: sizes[k])
+            kept = parts[short][:len(parts[short]) - cut] if cut else parts[short]
+            held = sizes[1 - short] + max(0, len(kept) - 4)
+            docs.append((len(docs), " ".join(parts[1 - short]) + " zzzz yyyy xxxx wwww vvvv " + " ".join(kept)))
+            if held >= 0.8 * sum(sizes) - 1e-9:
+                want[len(docs) - 1, i] = held / sum(sizes)
+    found = contain.contained(spark.createDataFrame(docs, "doc_id long, text string"),
+                              spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r.doc_id, r.item_id): round(r.containment, 9) for r in found} == {k: round(v, 9) for k, v in want.items()}

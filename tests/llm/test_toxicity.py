@@ -177,3 +177,20 @@ def test_restored_texts(spark):
     df = docs_of(spark, [CLEAN] * 5 + ["What an 1d1ot, m-o-r-o-n!!", None])
     got = {r.doc_id: r.text for r in tox.restored(df).collect()}
     assert got[5] == "what an idiot moron" and got[6] is None and got[0] == CLEAN
+
+
+def test_shared_ends_and_look_ups_equal_the_search_of_each_lattice(restorer):
+    rng = random.Random(12)
+    words = ["".join(rng.choices("aabbeeiosst", k=rng.randint(1, 9))) for _ in range(150)]
+    for word in words:
+        lattice = restorer.inside(word)
+        assert reading_cost(restorer, lattice, restorer.doubled(word)) == pytest.approx(least_cost(restorer, lattice)), word
+    for word in words[:60] + ["1d10t", "s-s", "f*k"]:
+        before, behind = "".join(rng.choices("!(*.", k=rng.randint(0, 3))), "".join(rng.choices("!#*.+", k=rng.randint(0, 4)))
+        wanted = set()
+        for left in restorer.forced(before, -1):
+            for right in restorer.forced(behind, 0):
+                if left or right or tox.ODD.search(word):
+                    wanted.add(restorer.best((restorer.edge(before, left) if left else []) + restorer.inside(word)
+                                             + (restorer.edge(behind, right) if right else [])))
+        assert set(restorer.readings(before, word, behind)) == wanted, (before, word, behind)
