@@ -8,14 +8,15 @@ an earlier one (by document, then by line) is similar to is removed.
 
 Copies and near copies never make all pairs. A line equal to an earlier one of the same step is
 settled there, and short sets are grouped over all steps; at a meeting word a later line takes one earlier candidate and leaves. Only for lines
-whose candidates all fail, which few do, every candidate is tried in a second round. Meeting words
-of many lines are dealt out so that every pair of shares meets. The bit sets and bucket counts that
-tasks hold have a fixed size whatever the input.
+whose candidates all fail, which few do, every candidate is tried in a second round, where lines meet
+at pairs of words: similar lines share two words among the first ``n - ceil(t * n) + 2`` of each, and
+other lines hardly ever do. Meeting keys of many lines are dealt out so that every pair of shares
+meets. The bit sets and bucket counts that tasks hold have a bounded size whatever the input.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -36,10 +37,15 @@ BUCKETS = 20
 BIT_SET = 24
 #: Lines that meet at a word in one task.
 GROUP = 1 << 15
+#: Sets of more words meet at single words in the second round as well, as pairs of words grow with the square of a prefix.
+LONG = 160
+#: Most bits, as a power of two, of the set of keys in the second round.
+KEY_BITS = 28
 #: Text bytes that a task takes at once: arrays of some eighty times that live for a moment.
 STEP = 3 << 20
 _CHUNK = 1 << 12
-_HOT_BUCKETS = 1 << 16
+_HOT_BUCKETS = 16
+_KEY_ROWS = 2000
 
 
 def overlap_needed(total: np.ndarray, similarity: float) -> np.ndarray:
@@ -51,42 +57,58 @@ def prefix_size(n: np.ndarray, similarity: float) -> np.ndarray:
     return n - np.ceil(similarity * n - 1e-9).astype(np.int64) + 1
 
 
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[65:91] += 32
 _WHITE = np.isin(np.arange(256), list(b" \t\n\x0b\x0c\r"))
 _LETTER = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-_STEP = np.uint64(0xD6E8FEB86659FD93)
+_LETTER[65:91] = _LETTER[97:123]
+_LETTER[_WHITE] = 0
+_STEP = 0xD6E8FEB86659FD93
+#: The number that undoes a multiplication by ``_STEP``.
+_BACK = pow(_STEP, -1, 1 << 64)
+#: Powers are kept for so many letters; longer texts make their own.
+_KEPT = STEP + (1 << 16)
+_powers: dict[int, np.ndarray] = {}
+
+
+def _power(base: int, count: int) -> np.ndarray:
+    """The first ``count`` powers of ``base``, of 64 bits."""
+    if base not in _powers or count > _KEPT:
+        size = max(count, _KEPT)
+        with np.errstate(over="ignore"):
+            made = np.multiply.accumulate(np.concatenate((np.ones(1, np.uint64), np.full(size - 1, base, np.uint64))))
+        if size > _KEPT:
+            return made
+        _powers[base] = made
+    return _powers[base][:count]
 
 
 def hashed_words(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hashes of the words in UTF-8 bytes (A-Z as lower case), and where each begins.
 
-    Whole arrays at a time: numbers of the letters, each times a power for its place in the word.
+    Whole arrays at a time: numbers of the letters, each times a power for its place in the data; the
+    sum of a word is then moved to its beginning, and white space counts nothing.
     """
-    inside = ~_WHITE[data]
-    at = np.flatnonzero(inside)
-    if not len(at):
-        return np.zeros(0, np.uint64), at
-    first = np.concatenate(([True], np.diff(at) > 1))
-    begin = np.flatnonzero(first)
-    starts = at[begin]
-    size = np.diff(np.append(begin, len(at)))
+    inside = np.concatenate(([False], ~_WHITE[data], [False]))
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
+    starts, ends = edges[::2], edges[1::2]
+    if not len(starts):
+        return np.zeros(0, np.uint64), starts
     with np.errstate(over="ignore"):
-        powers = np.multiply.accumulate(np.concatenate(([np.uint64(1)], np.full(int(size.max()) - 1, _STEP))))
-        terms = _LETTER[_LOWER[data[at]]] * powers[at - np.repeat(starts, size)]
-        return mixed(np.add.reduceat(terms, begin) + size.astype(np.uint64)), starts
+        terms = _LETTER[data]
+        terms *= _power(_STEP, len(data))
+        sums = np.add.reduceat(terms, starts) * _power(_BACK, len(data))[starts]
+        return mixed(sums + (ends - starts).astype(np.uint64)), starts
 
 
-def rarity_levels(docs: DataFrame, buckets: int = BUCKETS) -> np.ndarray:
-    """Level of every bucket of words: the binary logarithm of how often its words stand in ``docs``."""
+def _bucket_sums(rows: DataFrame, hashed: Callable[[pa.RecordBatch], Iterable[np.ndarray]], buckets: int) -> np.ndarray:
+    """How many of the hashes that ``hashed`` makes of the batches of ``rows`` end in each of ``2 ** buckets`` numbers."""
     chunk = min(_CHUNK, 1 << buckets)
 
     def per_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros(1 << buckets, np.int64)
-        for batch in steps(batches, step_bytes=STEP):
-            hashes, _ = hashed_words(np.frombuffer(b"\n".join(utf8(batch.column("text"))), np.uint8))
-            sums += np.bincount((hashes & np.uint64(len(sums) - 1)).astype(np.int64), minlength=len(sums))
-        for at in range(0, len(sums), chunk):
+        for batch in batches:
+            for hashes in hashed(batch):
+                sums += np.bincount((hashes & np.uint64(len(sums) - 1)).astype(np.int64), minlength=len(sums))
+        for at in (at for at in range(0, len(sums), chunk) if sums[at:at + chunk].any()):
             yield pa.RecordBatch.from_arrays(
                 [pa.array([at // chunk], pa.int32()), pa.array([sums[at:at + chunk].tobytes()])], ["chunk", "sums"])
 
@@ -94,11 +116,21 @@ def rarity_levels(docs: DataFrame, buckets: int = BUCKETS) -> np.ndarray:
         total = sum((np.frombuffer(s, np.int64) for s in part["sums"]), np.zeros(chunk, np.int64))
         return pd.DataFrame({"chunk": part["chunk"].iloc[:1], "sums": [total.tobytes()]})
 
-    rows = (docs.select("text").mapInArrow(per_task, "chunk int, sums binary")
-            .groupBy("chunk").applyInPandas(added, "chunk int, sums binary").toArrow())
+    found = (rows.mapInArrow(per_task, "chunk int, sums binary")
+             .groupBy("chunk").applyInPandas(added, "chunk int, sums binary").toArrow())
     totals = np.zeros(1 << buckets, np.int64)
-    for at, sums in zip(rows.column("chunk").to_pylist(), rows.column("sums").to_pylist()):
+    for at, sums in zip(found.column("chunk").to_pylist(), found.column("sums").to_pylist()):
         totals[at * chunk:(at + 1) * chunk] = np.frombuffer(sums, np.int64)
+    return totals
+
+
+def rarity_levels(docs: DataFrame, buckets: int = BUCKETS) -> np.ndarray:
+    """Level of every bucket of words: the binary logarithm of how often its words stand in ``docs``."""
+    def hashed(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+        for step in steps([batch], step_bytes=STEP):
+            yield hashed_words(np.frombuffer(b"\n".join(utf8(step.column("text"))), np.uint8))[0]
+
+    totals = _bucket_sums(docs.select("text"), hashed, buckets)
     return np.ceil(np.log2(totals + 1)).astype(np.uint8)
 
 
@@ -137,11 +169,13 @@ class _Lines:
         # all lines of the step, whatever their words
         doc = np.repeat(np.array([ids[i] for i in kept], np.int64), counts)
         number = np.arange(int(counts.sum())) - np.repeat(np.cumsum(counts) - counts, counts)
+        if wanted is not None and len(doc):
+            take = _inside(wanted, line_hash(doc, number))
+            data = data[np.repeat(take, np.diff(np.concatenate(([-1], ends, [len(data) - 1]))))]
+            ends, doc, number = np.flatnonzero(data == 10), doc[take], number[take]
         hashes, starts = hashed_words(data)
         line = np.searchsorted(ends, starts)
         use = np.bincount(line, minlength=len(doc)) >= least
-        if wanted is not None:
-            use &= _inside(wanted, line_hash(doc, number))
         hashes, line = hashes[use[line]], (np.cumsum(use) - 1)[line[use[line]]]
         self.doc, self.number = doc[use], number[use]
         # a token: the level of its word above 59 bits of its hash, so that rare words come first
@@ -182,7 +216,8 @@ def _lists(tokens: np.ndarray, begin: np.ndarray, size: np.ndarray) -> pa.Array:
 
 def _prefixes(docs: DataFrame, levels: np.ndarray, similarity: float, least: int) -> DataFrame:
     """``(doc_id, line_no, n, low, high, prefix)`` (both halves of a signature) of the lines that go on, ``prefix`` NULL for those
-    that are settled: equal to an earlier line of the same step. Of a set of fewer than ``SHORT`` words it is the whole set."""
+    that are settled: equal to an earlier line of the same step. It is a word longer than one meeting word asks for; of a set of
+    fewer than ``SHORT`` words it is the whole set."""
     sent = docs.sparkSession.sparkContext.broadcast(levels)
 
     def per_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -201,7 +236,7 @@ def _prefixes(docs: DataFrame, levels: np.ndarray, similarity: float, least: int
                     found.tokens[found.begin[x]:found.begin[x] + found.size[x]],
                     found.tokens[found.begin[y]:found.begin[y] + found.size[y]])
                 settled[y] = same and (found.doc[x], found.number[x]) < (found.doc[y], found.number[y])
-            size = np.where(settled, 0, np.where(found.size < SHORT, found.size, prefix_size(found.size, similarity)))
+            size = np.where(settled, 0, np.where(found.size < SHORT, found.size, np.minimum(found.size, prefix_size(found.size, similarity) + 1)))
             lists = _lists(found.tokens, found.begin, size)
             lists = pa.ListArray.from_arrays(lists.offsets, lists.values, mask=pa.array(settled))
             yield pa.RecordBatch.from_arrays(
@@ -222,9 +257,7 @@ def _short_firsts(short: DataFrame, similarity: float) -> tuple[DataFrame, DataF
     sizes = np.arange(1, SHORT)
     fewest = np.ceil(similarity * sizes - 1e-9)
     meet = (fewest < sizes) | (np.floor(sizes / similarity + 1e-9) > sizes)
-    sized = F.element_at(F.array(*(F.lit(int(k)) for k in prefix_size(sizes, similarity))), F.col("n"))
-    meeting = firsts.where(F.col("n").isin([int(k) for k in sizes[meet]])).withColumn("prefix", F.slice("prefix", F.lit(1), sized))
-    return meeting, later
+    return firsts.where(F.col("n").isin([int(k) for k in sizes[meet]])), later
 
 
 def _bit_set(hashes: DataFrame, bits: int) -> np.ndarray:
@@ -252,46 +285,110 @@ def _places(rows: DataFrame) -> DataFrame:
     return rows.select("doc_id", "line_no").mapInArrow(per_task, "hash long")
 
 
-def _postings(prefixes: DataFrame, group: int, words: DataFrame | None = None) -> DataFrame:
-    """A row for every line and word of its prefix (with ``words``, column ``hash``, of those only):
+def _word_keys(batch: pa.RecordBatch, similarity: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, place and word of every word at which a line meets others in the first round."""
+    return _single(batch, np.arange(batch.num_rows), similarity)
+
+
+def _single(batch: pa.RecordBatch, rows: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    lists = batch.column("prefix")
+    n = batch.column("n").to_numpy(zero_copy_only=False).astype(np.int64)[rows]
+    size = prefix_size(n, similarity)
+    at = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
+    words = lists.values.to_numpy(zero_copy_only=False).view(np.uint64)
+    return np.repeat(rows, size), at, words[np.repeat(lists.offsets.to_numpy()[:-1].astype(np.int64)[rows], size) + at]
+
+
+def _pair_keys(batch: pa.RecordBatch, similarity: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, place and key of the pairs of words at which a line meets others in the second round.
+
+    Similar sets share ``max(ceil(t * n))`` words or more. Where that is two, both hold the first two
+    common words in a prefix one word longer; the second of them stands a place or more after the
+    first, so the place before it bounds what can be common. Single words stand in for pairs where one
+    common word can be enough, and for sets over ``LONG`` words; sets near ``LONG`` have both, so that
+    every two sets of sizes that can be similar have keys of one kind in common.
+    """
+    n = batch.column("n").to_numpy(zero_copy_only=False).astype(np.int64)
+    least = np.ceil(similarity * n - 1e-9)
+    parts = [_single(batch, np.flatnonzero((least < 2) | (n > np.floor(similarity * LONG))), similarity)]
+    words = batch.column("prefix").values.to_numpy(zero_copy_only=False).view(np.uint64)
+    begin = batch.column("prefix").offsets.to_numpy()[:-1].astype(np.int64)
+    size = np.where(n <= LONG, np.minimum(n, prefix_size(n, similarity) + 1), 0)
+    for p in np.unique(size[size > 1]):
+        rows = np.flatnonzero(size == p)
+        first, second = np.triu_indices(int(p), 1)
+        held = words[begin[rows][:, None] + np.arange(p)]
+        with np.errstate(over="ignore"):
+            keys = mixed(mixed(held[:, first]) + np.uint64(0x9E3779B97F4A7C15) * held[:, second])
+        parts.append((np.repeat(rows, len(first)), np.tile(second - 1, len(rows)), keys.ravel()))
+    return tuple(np.concatenate(v) for v in zip(*parts))
+
+
+def _small(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    for at in range(0, batch.num_rows, _KEY_ROWS):
+        # taken, not sliced, so that offsets of lists begin at 0
+        yield batch.take(pa.array(np.arange(at, min(at + _KEY_ROWS, batch.num_rows))))
+
+
+def _postings(prefixes: DataFrame, keys_of: Callable, similarity: float, group: int,
+              wanted: np.ndarray | None = None) -> DataFrame:
+    """A row for every line and key (with ``wanted``, a bit set of keys by two hashes, of those only):
     ``(word, doc_id, line_no, n, at, low, high)``.
 
-    Words that over ``group`` lines have are dealt out: ``word`` is then a hash of the word and two
-    shares, and a line goes to every pair of shares that has its own.
+    Keys that over ``group`` lines have, counted by hashed buckets, are dealt out: ``word`` is then a
+    hash of the key and two shares, and a line goes to every pair of shares that has its own.
     """
-    rows = prefixes.select("doc_id", "line_no", "n", "low", "high", F.posexplode("prefix").alias("at", "word"))
-    if words is not None:
-        # a bit set first, so that few rows are left to shuffle for the join
-        rows = _in_bit_set(rows, _bit_set(words, BIT_SET)).join(
-            words.withColumnRenamed("hash", "word"), "word", "left_semi").select(*rows.columns)
-    bucket = F.pmod(F.xxhash64("word"), F.lit(_HOT_BUCKETS)).cast("int")
-    hot = (prefixes.select(F.explode("prefix").alias("word")).groupBy(bucket.alias("bucket"))
-           .agg(F.count("*").alias("held")).where(F.col("held") > group)
-           .select("bucket", F.ceil(2 * F.col("held") / group).cast("int").alias("shares")))
-    found = hot.collect()  # no more rows than there are buckets
-    if not found:
-        return rows
-    few = F.broadcast(prefixes.sparkSession.createDataFrame(found, hot.schema))
-    dealt = rows.withColumn("bucket", bucket).join(few, "bucket", "left").withColumn(
-        "own", F.pmod(F.xxhash64("doc_id", "line_no"), F.coalesce("shares", F.lit(1))))
-    pairs = F.transform(
-        F.sequence(F.lit(0), F.col("shares") - 1),
-        lambda other: F.xxhash64("word", F.least(F.col("own").cast("int"), other), F.greatest(F.col("own").cast("int"), other)))
-    return dealt.select(
-        F.explode(F.when(F.col("shares").isNull(), F.array("word")).otherwise(pairs)).alias("word"),
-        "doc_id", "line_no", "n", "at", "low", "high")
-
-
-def _in_bit_set(rows: DataFrame, wanted: np.ndarray) -> DataFrame:
-    """Rows whose ``word`` is in a bit set."""
-    sent = rows.sparkSession.sparkContext.broadcast(wanted)
+    sc = prefixes.sparkSession.sparkContext
+    sent = sc.broadcast(wanted)
 
-    def per_task(batches):
+    def found(batch):
+        for part in _small(batch):
+            row, at, key = keys_of(part, similarity)
+            if sent.value is not None:
+                use = _inside(sent.value, key)
+                use[use] = _inside(sent.value, mixed(key[use]))
+                row, at, key = row[use], at[use], key[use]
+            yield part, row, at, key
+
+    totals = _bucket_sums(prefixes.select("n", "prefix"), lambda batch: (mixed(key) for *_, key in found(batch)), _HOT_BUCKETS)
+    shares = sc.broadcast(np.where(totals > group, -(-2 * totals // group), 0).astype(np.int32))
+
+    def per_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = shares.value
+        for batch in batches:
+            for lines, row, at, key in found(batch):
+                share = parts[(mixed(key) & np.uint64(len(parts) - 1)).astype(np.int64)].astype(np.int64)
+                if share.any():
+                    times = np.maximum(share, 1)
+                    other = np.arange(int(times.sum())) - np.repeat(np.cumsum(times) - times, times)
+                    row, at, key, share = (np.repeat(v, times) for v in (row, at, key, share))
+                    ids = (lines.column(c).to_numpy(zero_copy_only=False)[row] for c in ("doc_id", "line_no"))
+                    own = (line_hash(*ids) % np.maximum(share, 1).astype(np.uint64)).astype(np.int64)
+                    both = np.minimum(own, other) << 32 | np.maximum(own, other)
+                    with np.errstate(over="ignore"):
+                        key = np.where(share > 0, mixed(key + mixed(both.view(np.uint64) + np.uint64(1))), key)
+                at_row = pa.array(row)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(signed(key)), *(lines.column(c).take(at_row) for c in ("doc_id", "line_no", "n")),
+                     pa.array(at.astype(np.int32)), *(lines.column(c).take(at_row) for c in ("low", "high"))],
+                    ["word", "doc_id", "line_no", "n", "at", "low", "high"])
+
+    return prefixes.select("doc_id", "line_no", "n", "low", "high", "prefix").mapInArrow(
+        per_task, "word long, doc_id long, line_no int, n int, at int, low long, high long")
+
+
+def _keys_of_lines(prefixes: DataFrame, wanted: np.ndarray, similarity: float) -> DataFrame:
+    """Two hashes, column ``hash``, of every key that lines of a bit set have in the second round."""
+    sent = prefixes.sparkSession.sparkContext.broadcast(wanted)
+
+    def per_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            words = batch.column("word").to_numpy(zero_copy_only=False).view(np.uint64)
-            yield batch.filter(pa.array(_inside(sent.value, words)))
+            use = _inside(sent.value, line_hash(*(batch.column(c).to_numpy(zero_copy_only=False) for c in ("doc_id", "line_no"))))
+            for part in _small(batch.filter(pa.array(use))):
+                key = np.unique(_pair_keys(part, similarity)[2])
+                yield pa.RecordBatch.from_arrays([pa.array(signed(np.concatenate((key, mixed(key)))))], ["hash"])
 
-    return rows.mapInArrow(per_task, rows.schema)
+    return prefixes.select("doc_id", "line_no", "n", "prefix").mapInArrow(per_task, "hash long")
 
 
 def _large(batches: Iterator[pa.RecordBatch], rows: int = 200_000) -> Iterator[pa.RecordBatch]:
@@ -395,16 +492,16 @@ def removed_lines(docs: DataFrame, similarity: float = SIMILARITY, group: int =
     open_prefixes = prefixes.where("prefix IS NOT NULL")
     meeting, later = _short_firsts(open_prefixes.where(F.col("n") < SHORT), similarity)
     going = open_prefixes.where(F.col("n") >= SHORT).unionByName(meeting)
-    pairs = written(_candidates(_postings(going, group), similarity), "line-pairs")
+    pairs = written(_candidates(_postings(going, _word_keys, similarity, group), similarity), "line-pairs")
     similar = written(_verified(pairs, docs, levels, similarity, bits, least_words), "similar-lines")
     lines = similar.select(F.col("y_doc").alias("doc_id"), F.col("y_line").alias("line_no")).distinct()
     failed = written(pairs.select(F.col("y_doc").alias("doc_id"), F.col("y_line").alias("line_no")).distinct()
                      .join(lines, ["doc_id", "line_no"], "left_anti"), "unsettled-lines")
     if not failed.isEmpty():
         open_lines = _bit_set(_places(failed), bits)
-        words = (going.join(failed, ["doc_id", "line_no"], "left_semi")
-                 .select(F.explode("prefix").alias("hash")))
-        again = _postings(going, group, words.distinct())
+        keys = written(_keys_of_lines(going, open_lines, similarity), "open-keys")
+        key_bits = max(bits, min(KEY_BITS, int(np.log2(keys.count() + 1)) + 6))
+        again = _postings(going, _pair_keys, similarity, group, _bit_set(keys, key_bits))
         more = written(_candidates(again, similarity, open_lines)
                        .join(pairs, ["x_doc", "x_line", "y_doc", "y_line"], "left_anti"), "more-pairs")
         found = _verified(more, docs, levels, similarity, bits, least_words)
