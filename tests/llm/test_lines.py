@@ -125,3 +125,30 @@ def test_the_query_takes_all_lines(spark, tmp_path):
     docs_of(spark, [(1, "home\nall rights reserved."), (2, "all rights reserved.\nhome\nnew")]).write.parquet(f"{tmp_path}/documents.parquet")
     got = {r.doc_id: r.removed for r in QUERIES["op5_line_similarity"](spark, str(tmp_path)).collect()}
     assert got == {1: [], 2: [0, 1]}
+
+
+@pytest.mark.parametrize("similarity", [0.5, 0.6, 0.8, 1.0])
+def test_similar_sets_share_a_key_of_the_second_round(similarity):
+    import numpy as np
+    import pyarrow as pa
+
+    rng = random.Random(7)
+    sets = []
+    for n in [1, 2, 3, 4, 5, 7, 12, 40, 120, 127, 128, 129, 159, 160, 161, 200, 240] * 6:
+        first = rng.sample(range(1, 10_000), n)
+        second = first[rng.randint(0, n // 4):] + rng.sample(range(10_000, 20_000), rng.randint(0, n // 4 + 1))
+        sets += [sorted(first), sorted(second)]
+    prefixes = [s if len(s) < lines.SHORT else s[:int(lines.prefix_size(np.array(len(s)), similarity)) + 1] for s in sets]
+    batch = pa.record_batch({"n": pa.array([len(s) for s in sets], pa.int32()), "prefix": pa.array(prefixes, pa.list_(pa.int64()))})
+    held = [{} for _ in sets]
+    for row, at, key in zip(*(v.tolist() for v in lines._pair_keys(batch, similarity))):
+        held[row][key] = at
+    similar = 0
+    for i in range(0, len(sets), 2):
+        x, y = sets[i], sets[i + 1]
+        common = len(set(x) & set(y))
+        if common >= similarity * (len(x) + len(y) - common) - 1e-9:
+            similar += 1
+            need = int(lines.overlap_needed(np.array(len(x) + len(y)), similarity))
+            assert any(min(len(x) - held[i][k], len(y) - held[i + 1][k]) >= need for k in held[i].keys() & held[i + 1].keys())
+    assert similar >= (20 if similarity < 1 else 1)
