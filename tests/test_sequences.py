@@ -82,6 +82,29 @@ def test_histories_are_long_rows_of_any_length(spark):
     assert long.count() == n
 
 
+def test_whole_sequences_are_one_row_a_user(spark, df, plays):
+    """Also for a history of more pieces than ten, the last of them with one play; and one without an id."""
+    rows = seq.whole_sequences(seq.user_sequences(df)).collect()
+    assert {r.userId: r["items"] for r in rows} == by_user(plays) and len(rows) == len(by_user(plays))
+    n = 11 * seq.PIECE + 1
+    long = spark.range(n).selectExpr("1L AS userId", "timestamp_millis(id) AS ts", "concat('s', id) AS song")
+    few = spark.createDataFrame([(None, datetime(2024, 1, 2), "b"), (None, datetime(2024, 1, 1), "a")], PLAYS)
+    got = {r.userId: r["items"] for r in seq.whole_sequences(seq.user_sequences(long.unionByName(few))).collect()}
+    assert got == {1: [f"s{i}" for i in range(n)], None: ["a", "b"]}
+
+
+def test_the_query_of_histories_has_one_row_a_user(spark, given):
+    from tunemill.operators.staging import stg_listen_events
+    from tunemill.registry import QUERIES
+    rows = QUERIES["user_sequences"](spark, given.sf_dir)
+    plays = stg_listen_events(given.listen_raw()).orderBy("ts", "song").select("userId", "song").collect()
+    want = defaultdict(list)
+    for r in plays:
+        want[r.userId].append(r.song)
+    assert rows.columns == ["userId", "part", "songs"]
+    assert sorted(map(tuple, rows.collect())) == sorted((u, 0, ",".join(s)) for u, s in want.items())
+
+
 @pytest.mark.parametrize("shortest,longest", [(4, 20), (1, 1), (18, 19)])
 def test_bounded(df, plays, shortest, longest):
     rows = seq.bounded_sequences(df, shortest=shortest, longest=longest).collect()
