@@ -146,6 +146,29 @@ def test_three_topics_at_once(spark, given):
         assert sinks.read_quarantine(spark, f"{base}/lake/quarantine/{topic}").count() == 0
 
 
+def test_only_a_large_slot_is_dealt_to_several_tasks(spark):
+    """Of 3,000 rows 2,001 are in one slot: that one gets three shares of 1,000 rows, the others one each."""
+    rows = spark.range(3000).select(F.when(F.col("id") < 2001, 0).otherwise(F.col("id") % 9 + 1).cast("int").alias("hour"),
+                                    *[F.lit(1).alias(c) for c in ("year", "month", "day")],
+                                    F.lit("slot").alias("five_minute_interval"), "id")
+    dealt = sinks.spread_slots(rows, 64, 1000)
+    assert dealt.columns == rows.columns and dealt.exceptAll(rows).count() == 0 and dealt.count() == 3000
+    tasks = {r.hour: r.n for r in dealt.withColumn("_p", F.spark_partition_id()).groupBy("hour").agg(
+        F.count_distinct("_p").alias("n")).collect()}
+    assert 1 < tasks.pop(0) <= 3 and set(tasks) == set(range(1, 10)) and set(tasks.values()) == {1}
+
+
+def test_a_large_batch_lands_one_file_a_slot(spark, monkeypatch):
+    """60 rows in twelve slots, with a bound of 20 rows a task that no slot passes."""
+    monkeypatch.setattr(sinks, "TASK_ROWS", 20)
+    path = scratch_path(spark, "files")
+    put(spark, f"{path}/in", [listen(m, user=m) for m in range(60)])
+    df = ing.ingest_checked(source(spark, f"{path}/in"), schemas.LISTEN)
+    jobs.finish([sinks.checked_lake_sink(df, f"{path}/lake", f"{path}/bad", f"{path}/c", "available").start()])
+    landed = files.lake_scan(spark, f"{path}/lake", schemas.LISTEN)
+    assert landed.count() == 60 and len(landed.inputFiles()) == 12
+
+
 def landed_of(spark, path):
     rows = files.lake_scan(spark, f"{path}/lake", schemas.LISTEN)
     bad = sinks.read_quarantine(spark, f"{path}/bad")

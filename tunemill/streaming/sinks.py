@@ -32,6 +32,21 @@ def lake_sink(df: DataFrame, path: str, checkpoint: str, trigger: str = TRIGGER,
     return triggered(writer, trigger)
 
 
+def spread_slots(rows: DataFrame, tasks: int, most: int = TASK_ROWS) -> DataFrame:
+    """Lake rows dealt to ``tasks`` partitions by slot; a slot of more than ``most`` rows to as many as it fills.
+
+    So a slot has one file, however many rows the others have, and a slot with most of the rows has several.
+    """
+    parts = schemas.LAKE_PARTS
+    large = rows.groupBy(*parts).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > most).select(
+        *[F.col(c).alias(f"_{c}") for c in parts], F.ceil(F.col("_n") / most).alias("_shares"))
+    on = [F.col(c) == F.col(f"_{c}") for c in parts]
+    # One row per ``most`` rows at most, so the hint has a bound.
+    sized = rows.join(F.broadcast(large), on, "left")
+    share = F.pmod(F.xxhash64(*rows.columns), F.coalesce("_shares", F.lit(1)))
+    return sized.repartition(tasks, *parts, share).select(*rows.columns)
+
+
 def checked_lake_sink(df: DataFrame, path: str, quarantine: str, checkpoint: str,
                       trigger: str = TRIGGER) -> DataStreamWriter:
     """Rows of ``ingest_checked`` to two places: good ones to the lake, the text of the others to ``quarantine``.
@@ -52,10 +67,8 @@ def checked_lake_sink(df: DataFrame, path: str, quarantine: str, checkpoint: str
         batch.write.mode("overwrite").parquet(held.toString())
         rows = spark.read.schema(batch.schema).parquet(held.toString()).withColumn(LANDED, F.lit(landed))
         shares = 1 + rows.count() // TASK_ROWS  # from the file footers
-        good = rows.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
-        # Many small slots go to many tasks, and a slot with most rows of the batch to several.
-        good = good.repartition(max(shares, spark.sparkContext.defaultParallelism), *schemas.LAKE_PARTS,
-                                F.pmod(F.xxhash64(*good.columns), F.lit(shares)))
+        good = spread_slots(rows.where(F.col(CORRUPT).isNull()).drop(CORRUPT),
+                            max(shares, spark.sparkContext.defaultParallelism))
         bad = rows.where(F.col(CORRUPT).isNotNull()).select(F.col(CORRUPT).alias("value"), LANDED)
         for part, to, by in ((good, path, (*schemas.LAKE_PARTS, LANDED)), (bad, quarantine, (LANDED,))):
             (part.write.mode("overwrite" if tried else "append").option("partitionOverwriteMode", "dynamic")
