@@ -266,6 +266,18 @@ def test_an_applied_batch_and_a_torn_manifest_change_nothing(spark):
     assert {tuple(r) for r in keyed.read_state(spark, path, first).collect()} == {(1, "x"), (None, "m"), (2, "c")}
 
 
+def test_the_keyed_query_looks_up_songs_once(spark, monkeypatch):
+    """Its stream reads messages, so no batch joins the songs, and none sends them to the driver."""
+    from tunemill.registry import QUERIES
+    from tunemill.registry import streams
+    seen = []
+    sink = keyed.keyed_table_sink
+    monkeypatch.setattr(streams.keyed, "keyed_table_sink", lambda df, *a: (seen.append(df), sink(df, *a))[1])
+    assert QUERIES["table_sink_replace"](spark, SMALL).count() > 0
+    plans = [df._jdf.queryExecution().logical().toString() for df in seen]
+    assert len(plans) == 2 and all("Aggregate" in p and "Join" not in p and "p_partkey" not in p for p in plans)
+
+
 def test_memory_and_console_sinks(spark, capsys):
     path = scratch_path(spark, "mem")
     put(spark, f"{path}/in", [listen(1), listen(2)])
