@@ -286,3 +286,23 @@ def test_load_ledger_of_missing_empty_repeated_and_emptied_slots(spark):
     load(day + "00-00", day + "00-05")
     assert ledger() == {"00-00": ("empty", 0, 3), "00-05": ("loaded", 1, 2), "01-05": ("loaded", 1, 1)}
     assert staged() == ["00:06", "01:07"]
+
+
+def test_a_large_hour_is_written_by_small_tasks(spark):
+    """One hour of about 50 MB, which AQE would leave to one task; the session's own setting is as before."""
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(key, None)
+    rows = spark.range(0, 180_000, 1, 16).select(
+        F.lit(datetime(2024, 1, 1)).alias("ts"), *[F.sha2(F.concat("id", F.lit(f"-{i}")), 256).alias(f"c{i}") for i in range(4)])
+    path = scratch_path(spark, "large-hour")
+    tables.materialize(rows, path, "ts")
+    assert len(spark.read.parquet(path).inputFiles()) > 1 and spark.conf.get(key, None) == before
+    back = tables.read_table(spark, path, rows)
+    assert back.count() == 180_000 and back.select("c0").distinct().count() == 180_000
+    spark.conf.set(key, "4k")
+    try:
+        with tables.small_tasks(spark):
+            assert spark.conf.get(key) == "4096b"  # a session that asks for less gets less
+        assert spark.conf.get(key) == "4k"
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
