@@ -90,3 +90,32 @@ def test_paths_don_t_branch():
     piece = lambda a, z, head, left, right: {"from": a, "to": z, "head": head, "left": left, "right": right}
     assert spans.text_paths([piece(5, 9, 2, True, False), piece(0, 4, 1, False, True), piece(10, 11, 3, True, True),
                              piece(13, 14, 4, True, True), piece(15, 15, 5, True, True)]) == [(0, 9, 1), (10, 11, 3), (13, 15, 4)]
+
+
+def test_a_step_and_its_batches_stay_small(spark, monkeypatch):
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from tunemill.llm.common import steps
+
+    draw = random.Random(7)
+    texts = [" ".join(str(draw.randint(0, 9999)) for _ in range(400)) for _ in range(2000)]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], ["text"])
+    tracemalloc.start()
+    for step in steps(iter([batch]), step_bytes=spans.STEP):
+        spans._Windows(spans.utf8(step.column("text")), 35, 16).chosen()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 40 << 20
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows])], ["n"])
+
+    seen = []
+    monkeypatch.setattr(spans, "_deduplicated", lambda docs, *_: seen.extend(
+        r.n for r in docs.mapInArrow(sizes, "n long").collect()))
+    spans.deduplicated(spark.range(5000).repartition(1).selectExpr("id AS doc_id", "'a' AS text"))
+    assert sum(seen) == 5000 and max(seen) <= 1000
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) == 10000

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tunemill.llm.common import mixed, runs, signed, steps, utf8
+from tunemill.llm.common import mixed, runs, signed, small_batches, steps, utf8
 from tunemill.session import written
 
 WINDOW = 35
@@ -35,8 +35,8 @@ ANCHOR = 16
 RUN = 32
 #: Bits of a bit set of hashes that tasks test before a join, as a power of two: 4 MB at most.
 MOST_BITS = 25
-#: Bytes of text, and words, that a step takes at once.
-STEP = 2 << 20
+#: Bytes of text that a step takes at once: arrays of some forty times that live for a moment.
+STEP = 1 << 19
 
 _WHITE = np.isin(np.arange(256), list(b" \t\n\x0b\x0c\r"))
 _BYTE = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xA24BAED4963EE407))
@@ -373,6 +373,11 @@ def deduplicated(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) ->
     """
     if not 0 < anchor < window:
         raise ValueError("anchor must be under window")
+    with small_batches(docs.sparkSession):
+        return _deduplicated(docs, window, anchor)
+
+
+def _deduplicated(docs: DataFrame, window: int, anchor: int) -> DataFrame:
     spark = docs.sparkSession
     text = F.coalesce("text", F.lit(""))
     keyed = docs.select("doc_id", text.alias("text"), F.xxhash64(text).alias("t1"), F.xxhash64(F.lit(1), text).alias("t2"))
@@ -385,7 +390,7 @@ def deduplicated(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) ->
         *(f(c).alias(f.__name__ + c) for f in (F.min, F.max) for c in ("d1", "d2")))
     heads = written(told.where("mind1 <> maxd1 OR mind2 <> maxd2").select("head"), "false-paths")
     if not heads.isEmpty():
-        kept = _taken_apart(keyed, kept, heads, window)
+        kept = written(_taken_apart(keyed, kept, heads, window), "kept-words")
     return kept.select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
