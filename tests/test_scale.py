@@ -126,3 +126,22 @@ def test_calendar_is_made_by_many_tasks_and_ignores_broken_clocks(spark):
     assert century.rdd.getNumPartitions() > 1 and century.count() == 36525 * 24
     assert "Generate" not in plan_of(century)
     assert dims.dim_datetime_of(events.where("false")).count() == 0
+
+
+def star_parts(given):
+    events = written(stg_listen_events(given.listen_raw()), "staged")
+    tables = (dims.dim_users(events), dims.dim_artists(given.songs()), dims.dim_songs(given.songs()),
+              dims.dim_location(events, given.state_codes()), dims.dim_datetime_of(events))
+    return written(facts.fact_streams(events, *tables), "fact"), tables
+
+
+def test_wide_view_sorts_no_plays_for_users_and_songs(given, small_partitions):
+    fact, tables = star_parts(given)
+    wide = facts.wide_streams(fact, *tables, small=0)
+    plan = plan_of(wide)
+    for key in ("userKey", "songKey"):
+        assert [j for j in plan.splitlines() if "SortMergeJoin" in j and key in j] == []
+        assert len([j for j in plan.splitlines() if "ShuffledHashJoin" in j and key in j]) >= 1
+    plain = facts.wide_streams(fact, *tables)
+    assert "ShuffledHashJoin" not in plan_of(plain)
+    assert wide.exceptAll(plain).isEmpty() and plain.exceptAll(wide).isEmpty() and not plain.isEmpty()
