@@ -145,3 +145,24 @@ def test_wide_view_sorts_no_plays_for_users_and_songs(given, small_partitions):
     plain = facts.wide_streams(fact, *tables)
     assert "ShuffledHashJoin" not in plan_of(plain)
     assert wide.exceptAll(plain).isEmpty() and plain.exceptAll(wide).isEmpty() and not plain.isEmpty()
+
+
+def test_listening_of_a_long_fact_is_taken_in_slices(spark, given, monkeypatch):
+    from tunemill.registry import star
+    from tunemill.registry.base import QUERIES
+
+    sizes = []
+
+    def counted(df, name):
+        stored = written(df, name)
+        sizes.append((name, stored.agg(F.sum("plays")).first()[0] if name == "listening" else None))
+        return stored
+
+    query = QUERIES["wide_projection"]
+    want = sorted(map(tuple, query(spark, given.sf_dir).collect()), key=repr)
+    monkeypatch.setattr(star, "SLICE_ROWS", 5)
+    monkeypatch.setattr(star, "written", counted)
+    got = sorted(map(tuple, query(spark, given.sf_dir).collect()), key=repr)
+    plays = [n for name, n in sizes if name == "listening"]
+    assert got == want and len(plays) > 3
+    assert sum(plays) == sum(row[2] for row in want) and max(plays) < sum(plays) / 2
