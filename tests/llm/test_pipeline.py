@@ -1,11 +1,16 @@
 import random
 
+import pyarrow as pa
+import pytest
+
 import corpus_pipeline
 from tests.llm.brute import docs_of
 from tests.llm.test_contain import plain_shingles
 from tests.llm.test_lines import plain as plain_lines
 from tests.llm.test_simhash import plain_components, plain_fingerprint
 from tests.llm.test_toxicity import LABELS, corpus
+from tunemill.llm import lines, pieces, toxicity
+from tunemill.llm.common import BATCH_BYTES
 from tunemill.llm.pieces import Pieces, model_path
 
 
@@ -71,3 +76,26 @@ def test_pipeline_equals_brute_force(spark, tmp_path):
             assert b"".join(model.text[i] for i in r.ids) == (b" " if r.ids else b"") + texts[r.doc_id].encode()
     assert sorted(map(repr, (r.doc_id for r in corpus_pipeline.run(spark, str(tmp_path)).collect()))) == sorted(
         map(repr, (d for d, _ in want)))
+
+
+@pytest.mark.parametrize("stage, module, name", [
+    ("toxicity", toxicity, "scored"), ("line", lines, "clean"), ("encoding", pieces, "round_trip")])
+def test_stages_give_python_tasks_few_megabytes_at_a_time(spark, tmp_path, monkeypatch, stage, module, name):
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows]), pa.array([batch.nbytes]), pa.array([0])],
+                                             ["doc_id", "text", "predicted"])
+
+    bound = "spark.sql.execution.arrow.maxBytesPerBatch"
+    spark.createDataFrame([(1, 0)], "doc_id long, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    docs = spark.range(0, 4000, 1, 1).selectExpr("id AS doc_id", "repeat('a word ', 500) AS text")
+    monkeypatch.setattr(module, name, lambda d, *_, **__: d.mapInArrow(sizes, "doc_id long, text long, predicted long"))
+    spark.conf.unset(bound)
+    try:
+        found = getattr(corpus_pipeline, f"{stage}_stage")(spark, docs, str(tmp_path)).collect()
+        assert sum(r[0] for r in found) == 4000 and max(r[1] for r in found) < 1.5 * BATCH_BYTES
+        spark.conf.set(bound, str(1 << 20))  # a session's own bound stays
+        corpus_pipeline.encoding_stage(spark, docs, str(tmp_path))
+        assert spark.conf.get(bound) == str(1 << 20)
+    finally:
+        spark.conf.unset(bound)
