@@ -183,3 +183,26 @@ def test_letters_only_and_all_of_a_long_run_are_candidates(spark):
     assert any(b"Kq7ZxV9w" in w for w in shown) and any(w == middle[-secrets.OWN:].encode() for w in shown)
     assert all(c.finding for c in rows[2])
     assert all(any(middle[i:i + 20].encode() in w for w in shown) for i in range(len(middle) - 20))
+
+
+def test_zeros_behind_short_candidates_are_worked_out_once(monkeypatch):
+    rng = np.random.default_rng(5)
+    chars = rng.integers(1, 128, (400, secrets.WIDTH)).astype(np.uint8)
+    size = rng.integers(0, secrets.OWN + 1, len(chars))
+    chars[:, secrets.BEFORE:secrets.BEFORE + secrets.OWN][np.arange(secrets.OWN) >= size[:, None]] = 0
+    net, seen = secrets.CharNet(), []
+    plain = secrets.CharNet._places
+    monkeypatch.setattr(secrets.CharNet, "_places", lambda self, part, tables: (seen.append(part.shape), plain(self, part, tables))[1])
+    found = net.scores(chars)
+    assert np.abs(found - 1 / (1 + np.exp(-net._forward(chars.astype(np.int64))[-1]))).max() < 1e-5
+    assert sum(rows * width for rows, width in seen) < 0.9 * chars.size
+    seen.clear()
+    net.scores(chars[size <= 10])
+    assert max(width for _, width in seen) <= secrets.WIDTH - 20
+    assert len(net.scores(chars[:0])) == 0
+
+
+def test_values_among_sorted_ones():
+    known = np.array([3, 7, 2 ** 63 + 1], np.uint64)
+    assert secrets._among(np.array([7, 8, 2 ** 63 + 1, 2 ** 64 - 1, 0], np.uint64), known).tolist() == [True, False, True, False, False]
+    assert secrets._among(known, known[:0]).tolist() == [False] * 3

@@ -46,7 +46,9 @@ OTHERS = 0.001
 #: Bins of the scores that the threshold is set on.
 BINS = 10_000
 #: Windows that are gathered and scored at once.
-AT_ONCE = 2048
+AT_ONCE = 8192
+#: Candidates are scored together by their length, in steps of so many characters.
+STEP = 2
 SEED = 7
 
 
@@ -108,16 +110,15 @@ class Candidates:
         number = np.where(size <= OWN, 1, -(-(size - OWN) // (OWN // 2)) + 1)
         ends = np.cumsum(number)
         total = int(ends[-1]) if len(ends) else 0
+        befores, parts, afters = (np.lib.stride_tricks.sliding_window_view(self.data, n) for n in (BEFORE, OWN, AFTER))
         for first in range(0, total, AT_ONCE):
             at = np.arange(first, min(first + AT_ONCE, total))
             of = np.searchsorted(ends, at, "right")
             step = at - (ends[of] - number[of])
             begin = np.minimum(self.start[of] + step * (OWN // 2), np.maximum(self.start[of], self.end[of] - OWN))
             end = np.minimum(begin + OWN, self.end[of])
-            places = begin[:, None] + np.arange(OWN)
-            own = np.where(places < end[:, None], self.data[np.minimum(places, len(self.data) - 1)], 0)
-            yield of, np.concatenate([self.data[begin[:, None] + np.arange(-BEFORE, 0)], own,
-                                      self.data[end[:, None] + np.arange(AFTER)]], axis=1) & 127
+            own = np.where(np.arange(OWN) < (end - begin)[:, None], parts[begin], 0)
+            yield of, np.concatenate([befores[begin - BEFORE], own, afters[end]], axis=1) & 127
 
 
 def window_hashes(chars: np.ndarray) -> np.ndarray:
@@ -129,6 +130,13 @@ def window_hashes(chars: np.ndarray) -> np.ndarray:
     return out
 
 
+def _among(values: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Which of ``values`` are in the sorted ``known``."""
+    if not len(known):
+        return np.zeros(len(values), bool)
+    return known[np.minimum(np.searchsorted(known, values), len(known) - 1)] == values
+
+
 def windows(docs: DataFrame, least: int | None = None) -> DataFrame:
     """``(doc_id, start, end, finding, window, hash)``, a row for each window of every candidate.
 
@@ -202,32 +210,56 @@ class CharNet:
         return u1, h1, u2, h2, top, pooled, (pooled @ w3 + b3)[:, 0]
 
     def scores(self, chars: np.ndarray) -> np.ndarray:
-        """Probability of a secret for rows of character numbers.
+        """Probability of a secret for rows of character numbers, in single precision.
 
-        The first convolution is a sum of look-ups, by place in the filter and character; single precision.
+        The zeros behind a short candidate give one value at all places that see nothing else. Rows are taken by length, one
+        such place is worked out, and the others count for the mean.
         """
-        table, w1, b1, w2, b2, w3, b3 = (w.astype(np.float32) for w in self.weights)
+        tables = self._tables()
+        w3, b3 = (w.astype(np.float32) for w in self.weights[-2:])
+        alone = 2 * self.SPAN - 1  # characters that a place sees
+        empty = self._places(np.zeros((1, alone), np.uint8), tables)[0, 0]
+        own = chars[:, BEFORE:BEFORE + OWN] != 0
+        size = np.where(own.any(axis=1), OWN - own[:, ::-1].argmax(axis=1), 0)
+        room = np.minimum(-(-size // STEP) * STEP + alone, OWN)
+        out = np.zeros(len(chars))
+        for kept in np.unique(room).tolist():
+            rows, left = np.flatnonzero(room == kept), OWN - kept
+            for i in range(0, len(rows), 256):
+                at = rows[i:i + 256]
+                part = chars[at]
+                h2 = self._places(np.concatenate([part[:, :BEFORE + kept], part[:, BEFORE + OWN:]], axis=1), tables)
+                mean = (h2.sum(axis=1) + np.float32(left) * empty) / np.float32(h2.shape[1] + left)
+                logit = np.concatenate([h2.max(axis=1), mean], 1) @ w3 + b3
+                out[at] = 1 / (1 + np.exp(-np.clip(logit[:, 0].astype(np.float64), -30, 30)))
+        return out
+
+    def _tables(self) -> tuple:
+        """What :meth:`_places` needs: the first convolution as look-ups, by place in the filter and character, the first two
+        places by the pair of both; and the filters and bias of the second."""
+        table, w1, b1, w2, b2 = (w.astype(np.float32) for w in self.weights[:5])
         first, second = self.FILTERS
         looked = [table @ w1.reshape(self.SPAN, self.CHANNELS, first)[k] for k in range(self.SPAN)]
-        looked[0] = looked[0] + b1
-        wide = w2.reshape(self.SPAN, first, second).transpose(1, 0, 2).reshape(first, -1)
-        out = [np.zeros(0)]
-        for i in range(0, len(chars), 256):
-            part = chars[i:i + 256]
-            width = part.shape[1] - self.SPAN + 1
-            h1 = looked[0][part[:, :width]]
-            for k in range(1, self.SPAN):
-                h1 += looked[k][part[:, k:k + width]]
-            np.maximum(h1, 0, out=h1)
-            apart = (h1.reshape(-1, first) @ wide).reshape(len(part), width, self.SPAN, second)
-            width -= self.SPAN - 1
-            h2 = apart[:, :width, 0] + b2
-            for k in range(1, self.SPAN):
-                h2 += apart[:, k:k + width, k]
-            np.maximum(h2, 0, out=h2)
-            logit = np.concatenate([h2.max(axis=1), h2.mean(axis=1)], 1) @ w3 + b3
-            out.append(1 / (1 + np.exp(-np.clip(logit[:, 0].astype(np.float64), -30, 30))))
-        return np.concatenate(out)
+        pairs = ((looked[0] + b1)[:, None] + looked[1]).reshape(-1, first)
+        wide = np.ascontiguousarray(w2.reshape(self.SPAN, first, second).transpose(1, 0, 2).reshape(first, -1))
+        return pairs, looked[2:], wide, b2
+
+    def _places(self, chars: np.ndarray, tables: tuple) -> np.ndarray:
+        """Values of the second convolution at all places of rows of any width."""
+        pairs, looked, wide, b2 = tables
+        first, second = self.FILTERS
+        at = chars.astype(np.intp)
+        width = at.shape[1] - self.SPAN + 1
+        h1 = np.take(pairs, at[:, :width] * 128 + at[:, 1:width + 1], axis=0, mode="clip")
+        for k, own in enumerate(looked, 2):
+            h1 += np.take(own, at[:, k:k + width], axis=0, mode="clip")
+        np.maximum(h1, 0, out=h1)
+        apart = (h1.reshape(-1, first) @ wide).reshape(len(at), width, self.SPAN, second)
+        width -= self.SPAN - 1
+        h2 = apart[:, :width, 0] + b2
+        for k in range(1, self.SPAN):
+            h2 += apart[:, k:k + width, k]
+        return np.maximum(h2, 0, out=h2)
 
     def _gradients(self, chars: np.ndarray, labels: np.ndarray) -> list[np.ndarray]:
         table, w1, b1, w2, b2, w3, b3 = self.weights
@@ -336,7 +368,7 @@ def scored(docs: DataFrame, net: CharNet | None, taught: np.ndarray) -> DataFram
             learnt = np.zeros(len(seen.start), bool)
             for of, chars in seen.windows() if weights is not None else ():
                 np.maximum.at(best[0], of, judge.scores(chars))
-                learnt[of[np.isin(window_hashes(chars), known)]] = True
+                learnt[of[_among(window_hashes(chars), known)]] = True
                 named = seen.finding[of]
                 if named.any():
                     for k, shown in enumerate(forms(chars[named])[1:], 1):
