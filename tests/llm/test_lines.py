@@ -152,3 +152,57 @@ def test_similar_sets_share_a_key_of_the_second_round(similarity):
             need = int(lines.overlap_needed(np.array(len(x) + len(y)), similarity))
             assert any(min(len(x) - held[i][k], len(y) - held[i + 1][k]) >= need for k in held[i].keys() & held[i + 1].keys())
     assert similar >= (20 if similarity < 1 else 1)
+
+
+def test_pairs_of_a_key_are_handed_on_in_pieces():
+    import numpy as np
+
+    found = np.zeros(1500, lines.POSTING)
+    found["n"], found["doc"] = 10, np.arange(1500)
+    # every line is to meet every earlier one, as unsettled lines do
+    pieces = list(lines._pairs_met(found, 0.8, np.full(4, np.uint64(-1 % 2 ** 64))))
+    assert sum(p.num_rows for p in pieces) == 1500 * 1499 // 2
+    assert len(pieces) > 3 and max(p.num_rows for p in pieces) < lines._PAIRS + 1500
+    pairs = {(a, b) for p in pieces for a, b in zip(p.column("x_doc").to_pylist(), p.column("y_doc").to_pylist())}
+    assert len(pairs) == 1500 * 1499 // 2 and all(a < b for a, b in pairs)
+
+
+def test_partner_size_is_the_largest_that_the_filters_pass():
+    import numpy as np
+
+    for similarity in (0.5, 0.6, 0.8, 1.0):
+        n, at = (v.ravel() for v in np.meshgrid(np.arange(1, 200), np.arange(60)))
+        n, at = n[at < n], at[at < n]
+        most = lines.partner_size(n, at, similarity)
+        assert (lines.overlap_needed(n + most, similarity) <= n - at).all()
+        assert (lines.overlap_needed(n + most + 1, similarity) > n - at).all()
+
+
+def test_a_step_of_a_task_stays_small():
+    import tracemalloc
+
+    import numpy as np
+    import pyarrow as pa
+
+    from tunemill.llm.common import steps
+
+    rng = random.Random(13)
+    texts = ["\n".join(" ".join(f"w{rng.randrange(5000)}" for _ in range(12)) for _ in range(30)) for _ in range(3000)]
+    batch = pa.record_batch({"doc_id": pa.array(range(3000), pa.int64()), "text": texts})
+    levels = np.zeros(1 << 10, np.uint8)
+    lines._Lines(next(steps([batch], step_bytes=lines.STEP)), levels, 1)  # the kept powers are made
+    tracemalloc.start()
+    for step in steps([batch], step_bytes=lines.STEP):
+        lines._Lines(step, levels, 1)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 70 << 20
+
+
+def test_batches_of_texts_are_bounded_while_lines_are_found(spark, monkeypatch):
+    name, seen = "spark.sql.execution.arrow.maxBytesPerBatch", []
+    before = spark.conf.get(name, None)
+    real = lines._candidates
+    monkeypatch.setattr(lines, "_candidates", lambda *rest: seen.append(spark.conf.get(name)) or real(*rest))
+    lines.removed_lines(docs_of(spark, [(1, "a b c d e f"), (2, "a b c d e f")])).collect()
+    assert int(seen[0]) <= 4 << 20 and spark.conf.get(name, None) == before

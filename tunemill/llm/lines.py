@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tunemill.llm.common import mixed, runs, signed, steps, utf8, whole_groups
+from tunemill.llm.common import bounded_batches, mixed, runs, signed, steps, utf8, whole_groups
 from tunemill.session import written
 
 SIMILARITY = 0.8
@@ -42,7 +42,15 @@ LONG = 160
 #: Most bits, as a power of two, of the set of keys in the second round.
 KEY_BITS = 28
 #: Text bytes that a task takes at once: arrays of some eighty times that live for a moment.
-STEP = 3 << 20
+STEP = 3 << 19
+#: A line at a key, as packs of them go through the shuffle: key, document, line, size, place, and both halves of a signature.
+POSTING = np.dtype([("word", "<u8"), ("doc", "<i8"), ("low", "<u8"), ("high", "<u8"), ("line", "<i4"), ("n", "<i4"), ("at", "<i4")])
+#: Packs are made of so many postings at a time; of a place there are two to the power of ``_PLACES`` at least, with ``_PLACE`` postings at most.
+_PACKED = 1 << 18
+_PLACES = 11
+_PLACE = 1 << 16
+#: Pairs that a task holds before it hands them on.
+_PAIRS = 1 << 18
 _CHUNK = 1 << 12
 _HOT_BUCKETS = 16
 _KEY_ROWS = 2000
@@ -53,6 +61,14 @@ def overlap_needed(total: np.ndarray, similarity: float) -> np.ndarray:
     return np.ceil(similarity / (1 + similarity) * total - 1e-9).astype(np.int64)
 
 
+def partner_size(n: np.ndarray, at: np.ndarray, similarity: float) -> np.ndarray:
+    """Most words of a set that can be similar to one of ``n`` words, if the first common word stands at ``at`` of these."""
+    total = np.floor((n - at + 1e-9) * (1 + similarity) / similarity).astype(np.int64) + 1
+    while (over := overlap_needed(total, similarity) > n - at).any():
+        total -= over
+    return total - n
+
+
 def prefix_size(n: np.ndarray, similarity: float) -> np.ndarray:
     return n - np.ceil(similarity * n - 1e-9).astype(np.int64) + 1
 
@@ -330,51 +346,91 @@ def _small(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         yield batch.take(pa.array(np.arange(at, min(at + _KEY_ROWS, batch.num_rows))))
 
 
+def _in_packs(arrays: Iterator[np.ndarray], places: int) -> Iterator[pa.RecordBatch]:
+    """Postings as ``(place, postings)``: in packs of those that some ``_PACKED`` have for one of ``2 ** places`` places."""
+    for made in _together(arrays, _PACKED):
+        place = (mixed(made["word"]) >> np.uint64(64 - places)).astype(np.int64)
+        order = np.argsort(place, kind="stable")
+        place, made = place[order], made[order]
+        starts = runs(place)
+        for some in range(0, len(starts) - 1, _KEY_ROWS):
+            edges = starts[some:some + _KEY_ROWS + 1]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(place[edges[:-1]]), pa.array([made[a:b].tobytes() for a, b in zip(edges[:-1], edges[1:])], pa.binary())],
+                ["place", "postings"])
+
+
+def _unpacked(batch: pa.RecordBatch) -> np.ndarray:
+    return np.frombuffer(b"".join(batch.column("postings").to_pylist()), POSTING)
+
+
+def _made(batches: Iterator[pa.RecordBatch], keys_of: Callable, similarity: float) -> Iterator[np.ndarray]:
+    """The postings of lines, by the keys of ``keys_of``."""
+    for batch in batches:
+        for part in _small(batch):
+            row, at, key = keys_of(part, similarity)
+            out = np.empty(len(key), POSTING)
+            out["word"], out["at"] = key, at
+            for name, column in (("doc", "doc_id"), ("line", "line_no"), ("n", "n"), ("low", "low"), ("high", "high")):
+                out[name] = part.column(column).to_numpy(zero_copy_only=False).view(POSTING[name])[row]
+            yield out
+
+
 def _postings(prefixes: DataFrame, keys_of: Callable, similarity: float, group: int,
               wanted: np.ndarray | None = None) -> DataFrame:
-    """A row for every line and key (with ``wanted``, a bit set of keys by two hashes, of those only):
-    ``(word, doc_id, line_no, n, at, low, high)``.
+    """A posting for every line and key (with ``wanted``, a bit set of keys by two hashes, of those only), in
+    packs of those that a step has for a meeting place: ``(place, postings)``, bytes of ``POSTING``.
 
-    Keys that over ``group`` lines have, counted by hashed buckets, are dealt out: ``word`` is then a
-    hash of the key and two shares, and a line goes to every pair of shares that has its own.
+    A place is that of many keys, told by a hash; their number grows with the postings, so that those of
+    a place do not. Keys that over ``group`` lines have, counted by hashed buckets, are dealt out: ``word``
+    is then a hash of the key and two shares, and a line goes to every pair of shares that has its own.
     """
     sc = prefixes.sparkSession.sparkContext
-    sent = sc.broadcast(wanted)
+    rows = prefixes.select("doc_id", "line_no", "n", "low", "high", "prefix")
 
-    def found(batch):
-        for part in _small(batch):
-            row, at, key = keys_of(part, similarity)
-            if sent.value is not None:
-                use = _inside(sent.value, key)
-                use[use] = _inside(sent.value, mixed(key[use]))
-                row, at, key = row[use], at[use], key[use]
-            yield part, row, at, key
+    def hashed(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+        return (mixed(keys_of(part, similarity)[2]) for part in _small(batch))
 
-    totals = _bucket_sums(prefixes.select("n", "prefix"), lambda batch: (mixed(key) for *_, key in found(batch)), _HOT_BUCKETS)
-    shares = sc.broadcast(np.where(totals > group, -(-2 * totals // group), 0).astype(np.int32))
+    by_lines = wanted is None
+    if by_lines:
+        totals = _bucket_sums(rows.select("n", "prefix"), hashed, _HOT_BUCKETS)
+    else:
+        # few of many keys: found once, and kept
+        sent = sc.broadcast(wanted)
 
-    def per_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def wanted_keys(part: pa.RecordBatch, similarity: float) -> tuple[np.ndarray, ...]:
+            row, at, key = keys_of(part, similarity)
+            use = np.flatnonzero(_inside(sent.value, key))
+            use = use[_inside(sent.value, mixed(key[use]))]
+            return row[use], at[use], key[use]
+
+        rows = written(rows.mapInArrow(lambda batches: _in_packs(_made(batches, wanted_keys, similarity), 1),
+                                       "place long, postings binary").select("postings"), "open-postings")
+        totals = _bucket_sums(rows, lambda batch: [mixed(_unpacked(batch)["word"])], _HOT_BUCKETS)
+    dealt = np.where(totals > group, -(-2 * totals // group), 0).astype(np.int32)
+    count = int((totals * np.maximum(dealt, 1)).sum())
+    places = max(_PLACES, (count // _PLACE).bit_length())
+    shares = sc.broadcast(dealt)
+
+    def in_shares(arrays: Iterator[np.ndarray]) -> Iterator[np.ndarray]:
         parts = shares.value
-        for batch in batches:
-            for lines, row, at, key in found(batch):
-                share = parts[(mixed(key) & np.uint64(len(parts) - 1)).astype(np.int64)].astype(np.int64)
-                if share.any():
-                    times = np.maximum(share, 1)
-                    other = np.arange(int(times.sum())) - np.repeat(np.cumsum(times) - times, times)
-                    row, at, key, share = (np.repeat(v, times) for v in (row, at, key, share))
-                    ids = (lines.column(c).to_numpy(zero_copy_only=False)[row] for c in ("doc_id", "line_no"))
-                    own = (line_hash(*ids) % np.maximum(share, 1).astype(np.uint64)).astype(np.int64)
-                    both = np.minimum(own, other) << 32 | np.maximum(own, other)
-                    with np.errstate(over="ignore"):
-                        key = np.where(share > 0, mixed(key + mixed(both.view(np.uint64) + np.uint64(1))), key)
-                at_row = pa.array(row)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(signed(key)), *(lines.column(c).take(at_row) for c in ("doc_id", "line_no", "n")),
-                     pa.array(at.astype(np.int32)), *(lines.column(c).take(at_row) for c in ("low", "high"))],
-                    ["word", "doc_id", "line_no", "n", "at", "low", "high"])
+        for made in arrays:
+            share = parts[(mixed(made["word"]) & np.uint64(len(parts) - 1)).astype(np.int64)].astype(np.int64)
+            if share.any():
+                times = np.maximum(share, 1)
+                other = np.arange(int(times.sum())) - np.repeat(np.cumsum(times) - times, times)
+                made, share = np.repeat(made, times), np.repeat(share, times)
+                own = (line_hash(made["doc"], made["line"]) % np.maximum(share, 1).astype(np.uint64)).astype(np.int64)
+                both = np.minimum(own, other) << 32 | np.maximum(own, other)
+                with np.errstate(over="ignore"):
+                    made["word"] = np.where(share > 0, mixed(made["word"] + mixed(both.view(np.uint64) + np.uint64(1))), made["word"])
+            yield made
 
-    return prefixes.select("doc_id", "line_no", "n", "low", "high", "prefix").mapInArrow(
-        per_task, "word long, doc_id long, line_no int, n int, at int, low long, high long")
+    def per_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        made = _made(batches, keys_of, similarity) if by_lines else map(_unpacked, batches)
+        return _in_packs(in_shares(made), places)
+
+    return rows.mapInArrow(per_task, "place long, postings binary")
 
 
 def _keys_of_lines(prefixes: DataFrame, wanted: np.ndarray, similarity: float) -> DataFrame:
@@ -391,17 +447,57 @@ def _keys_of_lines(prefixes: DataFrame, wanted: np.ndarray, similarity: float) -
     return prefixes.select("doc_id", "line_no", "n", "prefix").mapInArrow(per_task, "hash long")
 
 
-def _large(batches: Iterator[pa.RecordBatch], rows: int = 200_000) -> Iterator[pa.RecordBatch]:
-    """Batches put together until they have ``rows`` rows."""
+def _together(arrays: Iterator[np.ndarray], rows: int) -> Iterator[np.ndarray]:
+    """Arrays put together until they have ``rows`` rows."""
     held, count = [], 0
-    for batch in batches:
-        held.append(batch)
-        count += batch.num_rows
+    for array in arrays:
+        held.append(array)
+        count += len(array)
         if count >= rows:
-            yield pa.concat_batches(held)
+            yield np.concatenate(held)
             held, count = [], 0
     if held:
-        yield pa.concat_batches(held)
+        yield np.concatenate(held)
+
+
+def _meetings(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
+    """The postings of packs sorted by place, of some whole places at a time, ordered by key, document and line."""
+    for found in _together(map(_unpacked, whole_groups(batches, "place")), _PACKED):
+        yield found[np.lexsort((found["line"], found["doc"], found["word"]))]
+
+
+def _pairs_met(found: np.ndarray, similarity: float, wanted: np.ndarray | None) -> Iterator[pa.RecordBatch]:
+    """Pairs of lines that pass the filters at a key, of postings ordered by key, document and line; ``wanted`` as targets of
+    :func:`_candidates`. They are handed on as they are found, as a key can make the square of its lines."""
+    word, doc, number, low, high = (np.ascontiguousarray(found[c]) for c in ("word", "doc", "line", "low", "high"))
+    n = found["n"].astype(np.int64)
+    most = partner_size(n, found["at"], similarity)
+    starts = runs(word)
+    before = np.arange(len(word)) - np.repeat(starts[:-1], np.diff(starts))
+    y = np.arange(len(word))
+    if wanted is not None:
+        y = y[_inside(wanted, line_hash(doc, number))]
+    shift, xs, ys, held = 1, [], [], 0
+    while held or len(y):
+        y = y[before[y] >= shift]
+        x = y - shift
+        good = (n[x] <= most[y]) & (n[y] <= most[x])
+        where = np.flatnonzero(good)
+        a, b = x[where], y[where]
+        total = n[a] + n[b]
+        apart = np.bitwise_count(low[a] ^ low[b]).astype(np.int64) + np.bitwise_count(high[a] ^ high[b])
+        good[where] = (apart <= total - 2 * overlap_needed(total, similarity)) & ((doc[a] != doc[b]) | (number[a] != number[b]))
+        xs.append(x[good])
+        ys.append(y[good])
+        held += len(xs[-1])
+        if held >= _PAIRS or held and not len(y):
+            x, y_met = np.concatenate(xs), np.concatenate(ys)
+            yield pa.RecordBatch.from_arrays([pa.array(v) for v in (doc[x], number[x], doc[y_met], number[y_met])],
+                                             ["x_doc", "x_line", "y_doc", "y_line"])
+            xs, ys, held = [], [], 0
+        if wanted is None:
+            y = y[~good]
+        shift += 1
 
 
 def _candidates(postings: DataFrame, similarity: float, targets: np.ndarray | None = None) -> DataFrame:
@@ -413,40 +509,10 @@ def _candidates(postings: DataFrame, similarity: float, targets: np.ndarray | No
     sent = postings.sparkSession.sparkContext.broadcast(targets)
 
     def per_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wanted = sent.value
-        for batch in whole_groups(_large(batches), "word"):
-            word, doc, number, n, at, low, high = (
-                batch.column(c).to_numpy(zero_copy_only=False)
-                for c in ("word", "doc_id", "line_no", "n", "at", "low", "high"))
-            n, at, low, high = n.astype(np.int64), at.astype(np.int64), low.view(np.uint64), high.view(np.uint64)
-            starts = runs(word)
-            begin = np.repeat(starts[:-1], np.diff(starts))
-            y = np.arange(len(word))
-            if wanted is not None:
-                y = y[_inside(wanted, line_hash(doc, number))]
-            shift, xs, ys = 1, [], []
-            while len(y := y[y - shift >= begin[y]]):
-                x = y - shift
-                total = n[x] + n[y]
-                need = overlap_needed(total, similarity)
-                good = np.minimum(n[x] - at[x], n[y] - at[y]) >= need
-                good &= np.minimum(n[x], n[y]) >= need
-                at_most = total - 2 * need
-                where = np.flatnonzero(good)
-                a, b = x[where], y[where]
-                apart = np.bitwise_count(low[a] ^ low[b]).astype(np.int64) + np.bitwise_count(high[a] ^ high[b])
-                good[where] = (apart <= at_most[where]) & ((doc[a] != doc[b]) | (number[a] != number[b]))
-                xs.append(x[good])
-                ys.append(y[good])
-                if wanted is None:
-                    y = y[~good]
-                shift += 1
-            x, y = (np.concatenate(v) if v else np.zeros(0, np.int64) for v in (xs, ys))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(doc[x]), pa.array(number[x]), pa.array(doc[y]), pa.array(number[y])],
-                ["x_doc", "x_line", "y_doc", "y_line"])
+        for found in _meetings(batches):
+            yield from _pairs_met(found, similarity, sent.value)
 
-    return (postings.repartition("word").sortWithinPartitions("word", "doc_id", "line_no")
+    return (postings.repartition("place").sortWithinPartitions("place")
             .mapInArrow(per_task, "x_doc long, x_line int, y_doc long, y_line int").distinct())
 
 
@@ -487,6 +553,12 @@ def removed_lines(docs: DataFrame, similarity: float = SIMILARITY, group: int =
     """
     if not 0.5 <= similarity <= 1:
         raise ValueError("similarity must be between 0.5 and 1")
+    with bounded_batches(docs.sparkSession):
+        return _removed(docs, similarity, group, buckets, bits, least_words)
+
+
+def _removed(docs: DataFrame, similarity: float, group: int, buckets: int, bits: int, least_words: int) -> DataFrame:
+    """The lines of :func:`removed_lines`; all that takes texts or postings is done when this returns."""
     levels = rarity_levels(docs, buckets)
     prefixes = written(_prefixes(docs, levels, similarity, least_words), "line-prefixes")
     open_prefixes = prefixes.where("prefix IS NOT NULL")
@@ -504,7 +576,7 @@ def removed_lines(docs: DataFrame, similarity: float = SIMILARITY, group: int =
         again = _postings(going, _pair_keys, similarity, group, _bit_set(keys, key_bits))
         more = written(_candidates(again, similarity, open_lines)
                        .join(pairs, ["x_doc", "x_line", "y_doc", "y_line"], "left_anti"), "more-pairs")
-        found = _verified(more, docs, levels, similarity, bits, least_words)
+        found = written(_verified(more, docs, levels, similarity, bits, least_words), "more-similar")
         lines = lines.union(found.select("y_doc", "y_line")).distinct()
     settled = prefixes.where("prefix IS NULL").select("doc_id", "line_no")
     return lines.union(settled).union(later).distinct()
@@ -514,7 +586,9 @@ def line_report(docs: DataFrame, similarity: float = SIMILARITY, least_words: in
     """``(doc_id, n_lines, n_removed, removed)`` for every row: lines, and the numbers of those removed."""
     found = (removed_lines(docs, similarity, least_words=least_words).groupBy("doc_id")
              .agg(F.sort_array(F.collect_list("line_no")).alias("removed")))
-    rows = docs.select("doc_id", F.size(F.split(F.coalesce("text", F.lit("")), "\n", -1)).cast("long").alias("n_lines"))
+    text = F.coalesce("text", F.lit(""))
+    breaks = F.octet_length(text) - F.octet_length(F.replace(text, F.lit("\n")))
+    rows = docs.select("doc_id", (breaks + 1).cast("long").alias("n_lines"))
     removed = F.coalesce("removed", F.array().cast("array<int>"))
     return rows.join(found, "doc_id", "left").select(
         "doc_id", "n_lines", F.size(removed).cast("long").alias("n_removed"), removed.alias("removed"))
