@@ -147,6 +147,45 @@ def test_wide_view_sorts_no_plays_for_users_and_songs(given, small_partitions):
     assert wide.exceptAll(plain).isEmpty() and plain.exceptAll(wide).isEmpty() and not plain.isEmpty()
 
 
+def test_wide_view_of_an_unstored_fact_shuffles_no_multiplied_play(spark, given, monkeypatch):
+    """The songs are met last, and neither an exchange nor a file comes after them."""
+    from tunemill.registry import star
+    from tunemill.registry.base import QUERIES
+
+    stored = []
+    monkeypatch.setattr(star, "written", lambda df, name: stored.append(name) or written(df, name))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_of(QUERIES["wide_streams"](spark, given.sf_dir)).splitlines()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    top = next(i for i, line in enumerate(plan) if "Join" in line)
+    assert "_title" in plan[top] and not [line for line in plan[:top] if "Exchange" in line]
+    assert stored == ["staged", "dim_users"]
+
+
+def test_wide_view_of_an_unstored_fact_has_the_rows_of_a_stored_one(given):
+    """Also where keys repeat with other attributes, and where plays find nothing."""
+    events = written(stg_listen_events(given.listen_raw()), "staged")
+    users, artists, songs, places, hours = (
+        dims.dim_users(events), dims.dim_artists(given.songs()), dims.dim_songs(given.songs()),
+        dims.dim_location(events, given.state_codes()), dims.dim_datetime_of(events))
+    tables = (users.unionByName(users.where("userId % 3 = 0").withColumn("gender", F.lit("X"))),
+              artists.unionByName(artists.where("latitude > 20").withColumn("latitude", F.lit(None).cast("double"))),
+              songs.unionByName(songs.where("year < 1990").withColumns({"title": F.lit("other"), "tempo": F.lit(1.5)})),
+              places.unionByName(places.where("city = 'City_3'")),
+              hours.unionByName(hours.where("dayOfMonth = 5").withColumn("date", F.lit(None).cast("timestamp")))
+              .where("dayOfMonth <> 7"))
+    want = facts.wide_streams(written(facts.fact_streams(events, *tables), "fact"), *tables)
+    for small in (0, facts.SMALL_ROWS):
+        fact = facts.fact_streams(events, *tables, with_attributes=True, small=small)
+        got = facts.wide_streams(fact, *tables)
+        assert got.schema.names == want.schema.names and got.dtypes == want.dtypes
+        assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+        assert want.count() > want.distinct().count() > 0
+
+
 def test_listening_of_a_long_fact_is_taken_in_slices(spark, given, monkeypatch):
     from tunemill.registry import star
     from tunemill.registry.base import QUERIES
