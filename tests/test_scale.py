@@ -205,3 +205,23 @@ def test_listening_of_a_long_fact_is_taken_in_slices(spark, given, monkeypatch):
     plays = [n for name, n in sizes if name == "listening"]
     assert got == want and len(plays) > 3
     assert sum(plays) == sum(row[2] for row in want) and max(plays) < sum(plays) / 2
+
+
+@pytest.mark.parametrize("slices", [1, 2, 7, 50])
+def test_listening_in_slices_counts_each_play_and_distinct_song_once(spark, slices):
+    """Against the plain counts of the rows: songs that users share, repeated plays, missing keys."""
+    from tunemill.registry.star import listening
+
+    rows = [(user, level, song, 1000 * n + user % 7 if user is not None else n)
+            for n, (user, level, song) in enumerate(
+                (None if i % 11 == 0 else i % 5, None if i % 13 == 0 else ("free", "paid")[i % 2],
+                 None if i % 9 == 0 else f"song{i * i % 17}") for i in range(300))]
+    wide = spark.createDataFrame(rows, "userId long, level string, songKey string, timestamp long")
+    groups = {}
+    for user, level, song, at in rows:
+        groups.setdefault((user, level), []).append((song, at))
+    want = {(*key, len(of), len({song for song, _ in of} - {None}), min(at for _, at in of), max(at for _, at in of))
+            for key, of in groups.items()}
+    got = listening(wide, slices)
+    assert got.columns == ["userId", "level", "plays", "songs", "first_play", "last_play"]
+    assert {*map(tuple, got.collect())} == want and got.count() == len(want)
